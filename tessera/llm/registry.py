@@ -7,6 +7,7 @@ from importlib import import_module
 #: Query name -> its module.
 MODULES = {
     "op1_url_filter": "url_filter",
+    "op2_mix_sources": "mixing",
 }
 SQL: dict[str, str] = {}
 
