@@ -9,6 +9,7 @@ MODULES = {
     "op1_url_filter": "url_filter",
     "op2_mix_sources": "mixing",
     "op7_token_files": "tokens",
+    "op8_simhash": "simhash",
 }
 SQL: dict[str, str] = {}
 
