@@ -8,6 +8,7 @@ from importlib import import_module
 MODULES = {
     "op1_url_filter": "url_filter",
     "op2_mix_sources": "mixing",
+    "op3_toxicity": "toxicity",
     "op7_token_files": "tokens",
     "op8_simhash": "simhash",
 }
