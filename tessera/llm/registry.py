@@ -9,8 +9,10 @@ MODULES = {
     "op1_url_filter": "url_filter",
     "op2_mix_sources": "mixing",
     "op3_toxicity": "toxicity",
+    "op4_language_id": "langid",
     "op7_token_files": "tokens",
     "op8_simhash": "simhash",
+    "op10_decontaminate": "decontam",
 }
 SQL: dict[str, str] = {}
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -171,8 +171,8 @@ def training_sample(documents: DataFrame, labels: DataFrame, chars: dict[int, in
     return documents.join(chosen, "doc_id").select(F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"), "toxic").orderBy(F.xxhash64("text"), "toxic")
 
 
-def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """documents -> its columns doc_id with held_out, score, predicted."""
+def toxicity_scorer(documents: DataFrame, labels: DataFrame):
+    """Learn from labelled documents; gives a function of a text column (binary) to a score column."""
     sample = training_sample(documents, labels).toArrow()
     texts, y = sample["text"].to_pylist(), np.array(sample["toxic"].to_pylist(), float)
     if len(set(y.tolist())) == 2:
@@ -185,18 +185,28 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
     del sample, texts
     model = documents.sparkSession.sparkContext.broadcast((weights, bias))  # BUCKETS doubles: 512 kB
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(*model.value)
         for b in batches:
-            for at in range(0, len(b), 256):
-                part = b.slice(at, 256)
-                z = np.array(scorer.best([t or b"" for t in part["text"].to_pylist()]))
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["held_out"], pa.array(1 / (1 + np.exp(-np.clip(z, -50, 50))))], ["doc_id", "held_out", "score"])
+            z = [x for at in range(0, len(b), 256) for x in scorer.best([t or b"" for t in b.iloc[at : at + 256]])]
+            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(z, float), -50, 50))))
+
+    return score
+
 
-    rows = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("binary").alias("text"))
-    out = rows.mapInArrow(run, "doc_id long, held_out boolean, score double")
+def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """documents -> doc_id, held_out, score, predicted."""
+    score = toxicity_scorer(documents, labels)(F.col("text").cast("binary"))
+    out = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """documents without those predicted toxic, all columns kept."""
+    score = toxicity_scorer(documents, labels)(F.col("text").cast("binary"))
+    return documents.withColumn("__toxicity", score).filter("__toxicity < 0.5").drop("__toxicity")
+
+
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
