@@ -12,6 +12,7 @@ Strings of special tokens inside a text are treated as the tokenizer treats them
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,38 +24,95 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import read, shared_path
 
-#: Words whose ids a worker remembers.
-CACHE_WORDS = 200_000
+#: Words whose ids a worker remembers, from task to task.
+CACHE_WORDS = 500_000
 SHARD_BYTES = 64 << 20
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 256 << 10
+#: Words that normalization leaves as they are and that are pre-tokenized whole.
+_PLAIN = re.compile("[a-zà-öø-ÿ]+")
 
 
-@lru_cache(1)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
+class WordEncoder:
+    """Encodes texts word by word with a tokenizer that drops white space and merges nothing across it.
 
-    return Tokenizer.from_file(path)
+    Words between ASCII white space are encoded once and remembered. A word of letters and one full stop or comma is
+    put together from the two. Plain lower-case words skip the tokenizer's normalizer and are encoded many at a time:
+    a token that ends a word shows where the next begins. All else goes through the whole tokenizer, each by itself.
+    """
 
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole, self.fast = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        vocab = self.whole.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        self.plain = "the</w>" in vocab and self.whole.encode("The", add_special_tokens=False).ids == [vocab["the</w>"]]
+        self.fast.normalizer = None
+        self.fast.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ids: dict[bytes, bytes] = {}
+
+    def _whole(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), 10_000):
+            part = words[at : at + 10_000]
+            for w, e in zip(part, self.whole.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
+                self.ids[w] = np.array(e.ids, "<i4").tobytes()
+
+    def _fast(self, words: list[bytes]) -> None:
+        for at in range(0, len(words), 10_000):
+            part = words[at : at + 10_000]
+            lines = [b" ".join(part[i : i + 500]).decode() for i in range(0, len(part), 500)]
+            ids = np.concatenate([np.array(e.ids, "<i4") for e in self.fast.encode_batch_fast(lines, add_special_tokens=False)])
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                self._whole(part)
+                continue
+            flat, start = ids.tobytes(), 0
+            for w, end in zip(part, ends):
+                self.ids[w] = flat[4 * start : 4 * end]
+                start = end
+
+    def learn(self, words: set[bytes]) -> None:
+        if not self.plain:
+            return self._whole(list(words))
+        fast, whole, joined = set(), [], []
+        for w in words:
+            core, tail = (w[:-1], w[-1:]) if w[-1:] in (b",", b".") else (w, b"")
+            low = core.decode().lower()
+            if not _PLAIN.fullmatch(low):
+                whole.append(w)
+                continue
+            low = low.encode()
+            if low not in self.ids:
+                fast.add(low)
+            if low != w:
+                joined.append((w, low, tail))
+        self._fast(list(fast))
+        self._whole(whole + [t for t in (b",", b".") if t not in self.ids])
+        for w, low, tail in joined:
+            self.ids[w] = self.ids[low] + (self.ids[tail] if tail else b"")
+
+    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each ended by end_id, and their counts."""
+        split = [t.split() for t in texts]
+        if len(self.ids) > CACHE_WORDS:
+            self.ids.clear()
+        get = self.ids.get
+        found = [[*map(get, words)] for words in split]
+        gaps = [k for k, ids in enumerate(found) if None in ids]
+        if gaps:
+            self.learn({w for k in gaps for w, x in zip(split[k], found[k]) if x is None})
+            for k in gaps:
+                found[k] = map(get, split[k])
+        end = np.array([end_id], "<i4").tobytes()
+        docs = [b"".join([*ids, end]) for ids in found]
+        return np.frombuffer(b"".join(docs), "<i4"), np.array([len(d) // 4 for d in docs], np.int64)
 
-def encode_words(texts: list[bytes], tokenizer, cache: dict[bytes, np.ndarray], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts, each ended by end_id, and their counts.
 
-    The tokenizer drops white space and merges nothing across it, so words between ASCII white space are encoded once
-    and remembered.
-    """
-    split = [t.split() for t in texts]
-    new = list({w for words in split for w in words if w not in cache})
-    if len(cache) + len(new) > CACHE_WORDS:
-        cache.clear()
-        new = list({w for words in split for w in words})
-    for at in range(0, len(new), 50_000):
-        part = new[at : at + 50_000]
-        for w, e in zip(part, tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-            cache[w] = np.array(e.ids, "<i4").tobytes()
-    end = np.array([end_id], "<i4").tobytes()
-    docs = [b"".join([*map(cache.__getitem__, words), end]) for words in split]
-    counts = np.array([len(d) // 4 for d in docs], np.int64)
-    return np.frombuffer(b"".join(docs), "<i4"), counts
+@lru_cache(1)
+def word_encoder(path: str) -> WordEncoder:
+    return WordEncoder(path)
 
 
 def encode(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
@@ -62,11 +120,11 @@ def encode(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, cache = _tokenizer(tokenizer), {}
+        words = word_encoder(tokenizer)
         for b in batches:
-            for at in range(0, len(b), 512):
-                part = b.slice(at, 512)
-                flat, counts = encode_words([t or b"" for t in part["text"].to_pylist()], tok, cache, end_id)
+            for at in range(0, len(b), 1024):
+                part = b.slice(at, 1024)
+                flat, counts = words.encode([t or b"" for t in part["text"].to_pylist()], end_id)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], schema=schema)
 
