@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +70,45 @@ def hot_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame
     return warm.unionByName(cold)
 
 
+def deal_blocks(rows: DataFrame, key: str, node: str, block: int) -> DataFrame:
+    """Deal rows (key, node, home, ...) out so that each pair of a home and another row of its key meets in one group.
+
+    Groups are (key, i, j). A key of more than `block` rows is cut into blocks by a hash of the node: homes of block i
+    meet all rows of block j, so no group holds more than about two blocks. Groups lie whole and sorted in partitions.
+    """
+    hot = stash(rows.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > block), "hot_keys")
+    none = F.lit(0)
+    if hot.isEmpty():
+        dealt = rows.select(none.alias("i"), none.alias("j"), "*")
+    else:
+        marked = sized_join(rows, hot, key, "left")
+        cool = marked.filter("__n IS NULL").drop("__n").select(none.alias("i"), none.alias("j"), "*")
+        k = F.ceil(F.col("__n") / block).cast("int")
+        warm = marked.filter("__n IS NOT NULL").withColumn("__k", k).withColumn("__own", F.pmod(F.xxhash64(node), F.col("__k")).cast("int"))
+        every = F.explode(F.expr("sequence(0, __k - 1)"))
+        homes = warm.filter("home").select("*", F.col("__own").alias("i"), every.alias("j"))
+        others = warm.withColumn("home", F.lit(False)).select("*", every.alias("i"), F.col("__own").alias("j"))
+        dealt = cool.unionByName(homes.unionByName(others).drop("__n", "__k", "__own"))
+    return dealt.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
+
+
+def whole_groups(batches, keys: list[str]):
+    """From batches sorted by keys, frames that hold whole groups, with the bounds of the groups in each."""
+    kept = None
+    for b in itertools.chain(batches, [None]):
+        if b is not None:
+            kept = b if kept is None else pd.concat([kept, b], ignore_index=True)
+        if kept is None or not len(kept):
+            continue
+        key = kept[keys].to_numpy()
+        bounds = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(kept)]])
+        if b is not None:  # the last group may go on
+            bounds = bounds[:-1]
+        if len(bounds) > 1:
+            yield kept.iloc[: bounds[-1]], bounds
+        kept = kept.iloc[bounds[-1] :].reset_index(drop=True) if b is not None else None
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected components of edges (a, b): rows (node, root), root the least node reachable; lone nodes are absent.
 

@@ -10,6 +10,7 @@ MODULES = {
     "op2_mix_sources": "mixing",
     "op3_toxicity": "toxicity",
     "op4_language_id": "langid",
+    "op5_embedding_dedup": "embedding_dedup",
     "op7_token_files": "tokens",
     "op8_simhash": "simhash",
     "op10_decontaminate": "decontam",

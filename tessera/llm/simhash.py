@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, hot_safe_left_join, read, sized_join, stash
+from tessera.llm.common import components, deal_blocks, hot_safe_left_join, read, stash, whole_groups
 
 SHINGLE_WORDS, SEED, MAX_DIFF = 3, 42, 3
 #: Rows of one anchor beyond which it is cut into blocks of about so many.
@@ -109,49 +109,18 @@ def links(fps: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(x[at : at + 4096][i]), pa.array(home)], ["anchor", "fp", "home"])
 
     copies = fps.mapInArrow(copy, "anchor long, fp long, home boolean")
-    hot = stash(copies.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK), "anchors")
-    if hot.isEmpty():
-        rows = copies.select("anchor", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "home")
-    else:
-        side = F.ceil(F.col("n") / BLOCK).cast("int")
-        marked = sized_join(copies, hot, "anchor", "left")
-        cool = marked.filter("n IS NULL").select("anchor", F.lit(0).alias("i"), F.lit(0).alias("j"), "fp", "home")
-        marked = marked.filter("n IS NOT NULL").withColumn("k", side).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("k")).cast("int"))
-        every = F.explode(F.expr("sequence(0, k - 1)"))
-        homes = marked.filter("home").select("anchor", F.col("own").alias("i"), every.alias("j"), "fp", "home")
-        others = marked.select("anchor", every.alias("i"), F.col("own").alias("j"), "fp", F.lit(False).alias("home"))
-        rows = cool.unionByName(homes).unionByName(others)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
-        for b in _with_end(batches):
-            if b is not None:
-                kept = b if kept is None else pd.concat([kept, b], ignore_index=True)
-                if not len(kept):
-                    continue
-            if kept is None or not len(kept):
-                return
-            key = kept[["anchor", "i", "j"]].to_numpy()
-            cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            bounds = np.concatenate([[0], cut, [len(kept)]])
-            last = len(bounds) - 1 if b is None else len(bounds) - 2  # the last group may go on
-            fp, home = kept["fp"].to_numpy(), kept["home"].to_numpy()
-            n_home = np.add.reduceat(home.astype(int), bounds[:-1])
+        for rows, bounds in whole_groups(batches, ["anchor", "i", "j"]):
+            fp, home = rows["fp"].to_numpy(), rows["home"].to_numpy()
+            homes = np.add.reduceat(home.astype(int), bounds[:-1])
             edges = []
-            for g in np.flatnonzero((np.diff(bounds) > 1) & (n_home > 0))[:]:
-                if g < last:
-                    x, y = fp[bounds[g] : bounds[g + 1]], home[bounds[g] : bounds[g + 1]]
-                    edges += forest(x[y], x)
+            for g in np.flatnonzero((np.diff(bounds) > 1) & (homes > 0)):
+                x, y = fp[bounds[g] : bounds[g + 1]], home[bounds[g] : bounds[g + 1]]
+                edges += forest(x[y], x)
             yield pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
-            kept = kept.iloc[bounds[last] :] if b is not None else None
 
-    dealt = rows.repartition("anchor", "i", "j").sortWithinPartitions("anchor", "i", "j")
-    return dealt.mapInPandas(compare, "a long, b long")
-
-
-def _with_end(batches):
-    yield from batches
-    yield None
+    return deal_blocks(copies, "anchor", "fp", BLOCK).mapInPandas(compare, "a long, b long")
 
 
 def simhash_groups(documents: DataFrame) -> DataFrame:
