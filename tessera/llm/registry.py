@@ -11,6 +11,7 @@ MODULES = {
     "op3_toxicity": "toxicity",
     "op4_language_id": "langid",
     "op5_embedding_dedup": "embedding_dedup",
+    "op6_lm_score": "lm_score",
     "op7_token_files": "tokens",
     "op8_simhash": "simhash",
     "op10_decontaminate": "decontam",
