@@ -14,6 +14,7 @@ MODULES = {
     "op6_lm_score": "lm_score",
     "op7_token_files": "tokens",
     "op8_simhash": "simhash",
+    "op9_suffix_dedup": "suffix_dedup",
     "op10_decontaminate": "decontam",
 }
 SQL: dict[str, str] = {}
