@@ -79,13 +79,22 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return edge.select("sid", F.col("low").alias("cut"), "used")
 
 
-def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MAX_REPEAT, seed: str = "mix") -> DataFrame:
-    """documents -> doc_id, size, source, source_size, target, taken, copies, row_hash (of doc_id, that was judged)."""
-    h = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 4)
-    d = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), h.alias("h"))
-    d = stash(d.withColumn("sid", F.xxhash64(F.lit("source"), F.col("source").isNull(), "source")), "sized")
+def with_keys(documents: DataFrame, seed: str) -> DataFrame:
+    """Adds __size (words), __h (60-bit hash of doc_id) and __sid (of the source)."""
+    return documents.withColumns({
+        "__size": word_count(F.col("text")), "__h": F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 4), "__sid": source_key()})
+
+
+def source_key() -> Column:
+    return F.xxhash64(F.lit("source"), F.col("source").isNull(), "source")
+
+
+def mixing_plan(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MAX_REPEAT, seed: str = "mix") -> DataFrame:
+    """A row for each source: __sid, __source_size, __target, __whole copies, and its nested thresholds."""
+    d = with_keys(documents.select("doc_id", "source", "text"), seed)
+    d = stash(d.select("source", F.col("__size").alias("size"), F.col("__h").alias("h"), F.col("__sid").alias("sid")), "sized")
     sizes = d.groupBy("sid").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
-    plan = targets(sizes, weights, cap).withColumn("sid", F.xxhash64(F.lit("source"), F.col("source").isNull(), "source"))
+    plan = targets(sizes.select("source", "source_size"), weights, cap).withColumn("sid", source_key())
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     plan = stash(plan.withColumn("whole", F.least(whole, F.lit(int(cap))).cast("long")), "plan")
     left = plan.select("sid", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget"))
@@ -98,19 +107,40 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float =
         used = F.coalesce("used", F.lit(0)) if cuts else F.col("used")
         done = left.join(found, "sid").withColumn("used", used)
         done = stash(done.withColumn("room", F.when(F.col("used").isNull(), 0.0).otherwise(F.col("budget") - F.col("used"))), "cut")
-        cuts.append(done.select("sid", F.col("cut").alias(f"cut{k}"), F.col("budget").alias(f"room{k}")))
+        cuts.append(done.select("sid", F.col("cut").alias(f"__cut{k}"), F.col("budget").alias(f"__room{k}")))
         open_ = done.select("sid", "cut", "room")
         left = done.select("sid", F.col("room").alias("budget"))
     for c in cuts:
         plan = plan.join(c, "sid", "left")
-    plan = stash(plan.drop("source"), "plan")
-    take = F.col("h") < F.col("cut0")
+    names = {k: f"__{k}" for k in ("sid", "source_size", "target", "whole")}
+    return stash(plan.drop("source", "weight").withColumnsRenamed(names), "plan")
+
+
+def copies(cap: float = MAX_REPEAT) -> Column:
+    """Copies the mix takes of a row of with_keys joined to its plan."""
+    h, size, take = F.col("__h"), F.col("__size"), F.col("__h") < F.col("__cut0")
     for k in range(1, PASSES):
-        take = take | ((F.col("h") > F.col(f"cut{k - 1}")) & (F.col("h") < F.col(f"cut{k}")) & (F.col("size") <= F.col(f"room{k}")))
-    copies = F.col("whole") + F.when(take & (F.col("whole") < int(cap)), 1).otherwise(0)
-    out = sized_join(d, plan, "sid", "inner").withColumn("copies", copies)
-    return out.select("doc_id", "size", "source", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies")
+        take = take | ((h > F.col(f"__cut{k - 1}")) & (h < F.col(f"__cut{k}")) & (size <= F.col(f"__room{k}")))
+    return F.col("__whole") + F.when(take & (F.col("__whole") < int(cap)), 1).otherwise(0)
+
+
+def mix_documents(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MAX_REPEAT, seed: str = "mix") -> DataFrame:
+    """The mix: each document as often as it is taken, with all its columns."""
+    plan = mixing_plan(documents, weights, cap, seed)
+    out = sized_join(with_keys(documents, seed), plan, "__sid", "inner")
+    times = F.when(F.col("__size") > 0, copies(cap)).otherwise(0).cast("int")
+    out = out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times)))
+    return out.select(*(F.col(f"`{c}`") for c in documents.columns))
+
+
+def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MAX_REPEAT, seed: str = "mix") -> DataFrame:
+    """documents -> doc_id, size, source_size, target, taken."""
+    plan = mixing_plan(documents, weights, cap, seed)
+    out = sized_join(with_keys(documents.select("doc_id", "source", "text"), seed), plan, "__sid", "inner")
+    return out.select(
+        "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
+        (F.col("__size") * copies(cap)).alias("taken"))
 
 
 def op2_mix_sources(spark, sf_dir: str) -> DataFrame:
-    return mix(read(spark, sf_dir, "documents")).drop("source", "copies")
+    return mix(read(spark, sf_dir, "documents"))

@@ -21,10 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, deal_blocks, hot_safe_left_join, read, stash, whole_groups
+from tessera.llm.common import components, deal_blocks, hot_safe_left_join, read, sized_join, stash, whole_groups
 
 SHINGLE_WORDS, SEED, MAX_DIFF = 3, 42, 3
 #: Rows of one anchor beyond which it is cut into blocks of about so many.
@@ -51,15 +51,19 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
-    """(doc_id, text) -> doc_id, fp (64 bits as a signed long)."""
+    """(doc_id, text) -> doc_id, rid (hash of both), fp (64 bits as a signed long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t.as_py() or b"") for t in b["text"]]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["rid"], pa.array(fps, pa.int64())], ["doc_id", "rid", "fp"])
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = documents.select(F.col("doc_id").cast("long"), row_hash().alias("rid"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, rid long, fp long")
+
+
+def row_hash() -> Column:
+    return F.xxhash64("doc_id", "text")
 
 
 def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -124,15 +128,28 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def simhash_groups(documents: DataFrame) -> DataFrame:
-    """documents -> doc_id, fp, fingerprint, component_id."""
+    """documents -> doc_id, rid, fingerprint, component_id, root (a name of the component, unlike its id never shared)."""
     docs = stash(fingerprints(documents), "fingerprints")
     fps = stash(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
     roots = components(links(fps.select("fp"))).withColumnRenamed("node", "fp")
     joined = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stash(joined.join(least, "root").select("fp", "component_id"), "named")
+    named = stash(joined.join(least, "root").select("fp", "component_id", "root"), "named")
     out = hot_safe_left_join(docs, named, "fp")
-    return out.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return out.select("doc_id", "rid", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
+
+
+def drop_near_duplicates(documents: DataFrame) -> DataFrame:
+    """One document of each component, that of the smallest doc_id, with all its columns."""
+    groups = stash(simhash_groups(documents), "groups")
+    kept = stash(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("rid").alias("__rid")).select("__rid"), "kept")
+    out = sized_join(documents.withColumn("__rid", row_hash()), kept, "__rid", "left_semi")
+    again = groups.groupBy("rid").agg(F.count("*").alias("n")).filter("n > 1").selectExpr("rid AS __rid")
+    again = stash(again.join(kept.hint("merge"), "__rid", "left_semi"), "again")
+    if not again.isEmpty():  # rows alike in doc_id and text: the first of each stays
+        single = sized_join(out, again, "__rid", "left_anti")
+        out = single.unionByName(sized_join(out, again, "__rid", "left_semi").dropDuplicates(["__rid"]))
+    return out.drop("__rid")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
