@@ -25,18 +25,20 @@ from pyspark.sql import functions as F
 from tessera.llm.common import read, shared_path
 
 #: Words whose ids a worker remembers, from task to task.
-CACHE_WORDS = 500_000
+CACHE_WORDS, CACHE_CORES, CACHE_TAILS = 400_000, 300_000, 10_000
 SHARD_BYTES = 64 << 20
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 256 << 10
-#: Words that normalization leaves as they are and that are pre-tokenized whole.
-_PLAIN = re.compile("[a-zà-öø-ÿ]+")
+#: Of each line: letters that normalization leaves as they are and that are pre-tokenized whole, and marks after them, also whole.
+_PARTS = re.compile(r"^(?:([a-zà-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.*)$", re.MULTILINE)
+#: A mark after a word and before a blank, which is a token run of its own.
+_MARK = re.compile(rb"(?<=[a-z0-9])([,.])(?= )")
 
 
 class WordEncoder:
     """Encodes texts word by word with a tokenizer that drops white space and merges nothing across it.
 
-    Words between ASCII white space are encoded once and remembered. A word of letters and one full stop or comma is
-    put together from the two. Plain lower-case words skip the tokenizer's normalizer and are encoded many at a time:
+    Words between ASCII white space are encoded once and remembered. A word of letters and marks after them is put
+    together from the two. Plain lower-case words skip the tokenizer's normalizer and are encoded many at a time:
     a token that ends a word shows where the next begins. All else goes through the whole tokenizer, each by itself.
     """
 
@@ -52,61 +54,65 @@ class WordEncoder:
         self.fast.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ids: dict[bytes, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
-    def _whole(self, words: list[bytes]) -> None:
+    def _whole(self, words: list[bytes]) -> list[bytes]:
+        out = []
         for at in range(0, len(words), 10_000):
-            part = words[at : at + 10_000]
-            for w, e in zip(part, self.whole.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)):
-                self.ids[w] = np.array(e.ids, "<i4").tobytes()
+            texts = [w.decode() for w in words[at : at + 10_000]]
+            out += [np.array(e.ids, "<i4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        return out
 
-    def _fast(self, words: list[bytes]) -> None:
+    def _fast(self, words: list[str]) -> list[bytes]:
+        out = []
         for at in range(0, len(words), 10_000):
             part = words[at : at + 10_000]
-            lines = [b" ".join(part[i : i + 500]).decode() for i in range(0, len(part), 500)]
+            lines = [" ".join(part[i : i + 500]) for i in range(0, len(part), 500)]
             ids = np.concatenate([np.array(e.ids, "<i4") for e in self.fast.encode_batch_fast(lines, add_special_tokens=False)])
-            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(ends) != len(part) or ends[-1] != len(ids):
-                self._whole(part)
+            ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(ends) != len(part) or ends[-1] != 4 * len(ids):
+                out += self._whole([w.encode() for w in part])
                 continue
-            flat, start = ids.tobytes(), 0
-            for w, end in zip(part, ends):
-                self.ids[w] = flat[4 * start : 4 * end]
-                start = end
+            flat = ids.tobytes()
+            out += [flat[i:j] for i, j in zip([0, *ends[:-1]], ends)]
+        return out
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: list[bytes]) -> None:
         if not self.plain:
-            return self._whole(list(words))
-        fast, whole, joined = set(), [], []
-        for w in words:
-            core, tail = (w[:-1], w[-1:]) if w[-1:] in (b",", b".") else (w, b"")
-            low = core.decode().lower()
-            if not _PLAIN.fullmatch(low):
-                whole.append(w)
-                continue
-            low = low.encode()
-            if low not in self.ids:
-                fast.add(low)
-            if low != w:
-                joined.append((w, low, tail))
-        self._fast(list(fast))
-        self._whole(whole + [t for t in (b",", b".") if t not in self.ids])
-        for w, low, tail in joined:
-            self.ids[w] = self.ids[low] + (self.ids[tail] if tail else b"")
+            self.ids.update(zip(words, self._whole(words)))
+            return
+        parts = _PARTS.findall(b"\n".join(words).decode().lower())
+        if len(self.cores) > CACHE_CORES:
+            self.cores.clear()
+        cores = self.cores
+        new = list({c for c, _ in parts if c and c not in cores})
+        cores.update(zip(new, self._fast(new)))
+        tails = list({t for _, t in parts if t not in self.tails})
+        if len(self.tails) > CACHE_TAILS:
+            self.tails, tails = {"": b""}, list({t for _, t in parts if t})
+        self.tails.update(zip(tails, self._whole([t.encode() for t in tails])))
+        tails = self.tails
+        self.ids.update([(w, cores[c] + tails[t] if t else cores[c]) for w, (c, t) in zip(words, parts) if c])
+        odd = [w for w, (c, _) in zip(words, parts) if not c]
+        self.ids.update(zip(odd, self._whole(odd)))
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each ended by end_id, and their counts."""
+        if self.plain:  # lower case first, but not where that could make the string of a special token
+            texts = [t if b"<|" in t else _MARK.sub(rb" \1", t.lower()) for t in texts]
         split = [t.split() for t in texts]
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
-        get = self.ids.get
+        ids, get = self.ids, self.ids.get
         found = [[*map(get, words)] for words in split]
         gaps = [k for k, ids in enumerate(found) if None in ids]
         if gaps:
-            self.learn({w for k in gaps for w, x in zip(split[k], found[k]) if x is None})
+            self.learn(list({w for k in gaps for w, x in zip(split[k], found[k]) if x is None}))
             for k in gaps:
-                found[k] = map(get, split[k])
+                found[k] = [x if x is not None else ids[w] for w, x in zip(split[k], found[k])]
         end = np.array([end_id], "<i4").tobytes()
-        docs = [b"".join([*ids, end]) for ids in found]
+        docs = [b"".join([*x, end]) for x in found]
         return np.frombuffer(b"".join(docs), "<i4"), np.array([len(d) // 4 for d in docs], np.int64)
 
 
@@ -122,8 +128,8 @@ def encode(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_encoder(tokenizer)
         for b in batches:
-            for at in range(0, len(b), 1024):
-                part = b.slice(at, 1024)
+            for at in range(0, len(b), 512):
+                part = b.slice(at, 512)
                 flat, counts = words.encode([t or b"" for t in part["text"].to_pylist()], end_id)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], schema=schema)
@@ -140,7 +146,7 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str, end_id: int, s
     d = d.withColumn("tie", F.xxhash64("text")).repartitionByRange(int(n), "doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
     out = encode(d, tokenizer, end_id).select("doc_id", F.spark_partition_id().alias("file"), "n_tokens", "ids")
     (
-        out.write.option("compression", "zstd").option("parquet.writer.version", "v2")
+        out.write.option("compression", "snappy").option("parquet.writer.version", "v2")
         .option("parquet.enable.dictionary", "true").option("parquet.block.size", ROW_GROUP_BYTES)
         .option("parquet.page.size", PAGE_BYTES).option("parquet.dictionary.page.size", 1 << 20).parquet(path)
     )
