@@ -19,6 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 256 << 10
 #: Of each line: letters that normalization leaves as they are and that are pre-tokenized whole, and marks after them, also whole.
 _PARTS = re.compile(r"^(?:([a-zà-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.*)$", re.MULTILINE)
 #: A mark after a word and before a blank, which is a token run of its own.
-_MARK = re.compile(rb"(?<=[a-z0-9])([,.])(?= )")
+_MARK = r"([a-z0-9])([,.]) "
 
 
 class WordEncoder:
@@ -53,15 +54,14 @@ class WordEncoder:
         self.fast.normalizer = None
         self.fast.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
-        self.ids: dict[bytes, bytes] = {}
+        self.ids: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
 
-    def _whole(self, words: list[bytes]) -> list[bytes]:
+    def _whole(self, texts: list[str]) -> list[bytes]:
         out = []
-        for at in range(0, len(words), 10_000):
-            texts = [w.decode() for w in words[at : at + 10_000]]
-            out += [np.array(e.ids, "<i4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        for at in range(0, len(texts), 10_000):
+            out += [np.array(e.ids, "<i4").tobytes() for e in self.whole.encode_batch_fast(texts[at : at + 10_000], add_special_tokens=False)]
         return out
 
     def _fast(self, words: list[str]) -> list[bytes]:
@@ -72,17 +72,17 @@ class WordEncoder:
             ids = np.concatenate([np.array(e.ids, "<i4") for e in self.fast.encode_batch_fast(lines, add_special_tokens=False)])
             ends = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
             if len(ends) != len(part) or ends[-1] != 4 * len(ids):
-                out += self._whole([w.encode() for w in part])
+                out += self._whole(part)
                 continue
             flat = ids.tobytes()
             out += [flat[i:j] for i, j in zip([0, *ends[:-1]], ends)]
         return out
 
-    def learn(self, words: list[bytes]) -> None:
+    def learn(self, words: list[str]) -> None:
         if not self.plain:
             self.ids.update(zip(words, self._whole(words)))
             return
-        parts = _PARTS.findall(b"\n".join(words).decode().lower())
+        parts = _PARTS.findall("\n".join(words).lower())
         if len(self.cores) > CACHE_CORES:
             self.cores.clear()
         cores = self.cores
@@ -91,29 +91,38 @@ class WordEncoder:
         tails = list({t for _, t in parts if t not in self.tails})
         if len(self.tails) > CACHE_TAILS:
             self.tails, tails = {"": b""}, list({t for _, t in parts if t})
-        self.tails.update(zip(tails, self._whole([t.encode() for t in tails])))
+        self.tails.update(zip(tails, self._whole(tails)))
         tails = self.tails
         self.ids.update([(w, cores[c] + tails[t] if t else cores[c]) for w, (c, t) in zip(words, parts) if c])
         odd = [w for w, (c, _) in zip(words, parts) if not c]
         self.ids.update(zip(odd, self._whole(odd)))
 
-    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each ended by end_id, and their counts."""
-        if self.plain:  # lower case first, but not where that could make the string of a special token
-            texts = [t if b"<|" in t else _MARK.sub(rb" \1", t.lower()) for t in texts]
-        split = [t.split() for t in texts]
+    def encode(self, texts: pa.StringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, each ended by end_id, and their counts. The different words of a slice are looked up once."""
+        # lower case first, but not where that could make the string of a special token
+        if self.plain and not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), _MARK, r"\1 \2 ")
+        split = pc.ascii_split_whitespace(texts)
+        offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
+        words = split.flatten().dictionary_encode()
+        names = words.dictionary.to_pylist()
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
-        ids, get = self.ids, self.ids.get
-        found = [[*map(get, words)] for words in split]
-        gaps = [k for k, ids in enumerate(found) if None in ids]
-        if gaps:
-            self.learn(list({w for k in gaps for w, x in zip(split[k], found[k]) if x is None}))
-            for k in gaps:
-                found[k] = [x if x is not None else ids[w] for w, x in zip(split[k], found[k])]
-        end = np.array([end_id], "<i4").tobytes()
-        docs = [b"".join([*x, end]) for x in found]
-        return np.frombuffer(b"".join(docs), "<i4"), np.array([len(d) // 4 for d in docs], np.int64)
+        found = [*map(self.ids.get, names)]
+        new = [w for w, x in zip(names, found) if x is None]
+        if new:
+            self.learn(new)
+            ids = self.ids
+            found = [x if x is not None else ids[w] for w, x in zip(names, found)]
+        flat = np.frombuffer(b"".join(found), "<i4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        start = np.cumsum(size) - size
+        at = words.indices.to_numpy()
+        each = size[at]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        ids = flat[np.repeat(start[at] - upto[:-1], each) + np.arange(upto[-1])]
+        counts = np.diff(upto[offsets])
+        return np.insert(ids, upto[offsets[1:]], end_id), counts + 1
 
 
 @lru_cache(1)
@@ -128,13 +137,13 @@ def encode(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_encoder(tokenizer)
         for b in batches:
-            for at in range(0, len(b), 512):
-                part = b.slice(at, 512)
-                flat, counts = words.encode([t or b"" for t in part["text"].to_pylist()], end_id)
+            for at in range(0, len(b), 1024):
+                part = b.slice(at, 1024)
+                flat, counts = words.encode(part["text"], end_id)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], schema=schema)
 
-    rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"))
+    rows = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
 
