@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,7 @@ K1, B = 1.2, 0.75
 MIN_SCORE, MIN_OVERLAP, MIN_ANSWER = 0.6, 0.8, 0.5
 SHINGLE_WORDS, BLOCK_ITEMS, LEAST_CLASS = 5, 16, 32
 MAX_POSTINGS = 500_000
+LEAK_FIELDS = ["item_id", "bm25", "item_overlap", "question_overlap", "answer_overlap", "first_word"]
 LEAK = "array<struct<item_id:bigint,bm25:double,item_overlap:double,question_overlap:double,answer_overlap:double,first_word:bigint>>"
 _WORD = re.compile(r"\w+")
 _SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
@@ -78,44 +80,92 @@ class Index:
         self.texts = [(question_answer(t), words_of(t)) for t in self.items["text"]]
         self.shingles = [shingles(w) for _, w in self.texts]
 
-    def _spread(self, first: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    def _spread(self, first: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         size = first[terms + 1] - first[terms]
-        return np.repeat(first[terms] - np.cumsum(size) + size, size) + np.arange(size.sum())
-
-    def retrieve(self, words: list[str]) -> Iterator[tuple[int, int, float]]:
-        """(first word of the passage, item, score) of every score of MIN_SCORE or more."""
-        get = self.terms.get
-        ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        upto = np.concatenate([[0], np.cumsum(np.where(ids >= 0, self.most[ids], 0))])
-        start = np.arange(0, max(1, len(words) - self.length), self.length)
-        end = np.minimum(start + 2 * self.length, len(words))
-        for k in np.flatnonzero(upto[end] - upto[start] >= MIN_SCORE):
-            here = np.unique(ids[start[k] : end[k]])
-            here = here[here >= 0]
-            if self.most[here].sum() < MIN_SCORE:
-                continue
-            at = self._spread(self.block_first, here)
-            good = np.bincount(self.block[at], self.block_most[at], self.n_blocks) >= MIN_SCORE - 1e-9
-            if not good.any():
-                continue
-            at = self._spread(self.first, here)
-            at = at[good[self.place[at] // BLOCK_ITEMS]]
-            score = np.bincount(self.place[at], self.impact[at], len(self.items))
-            for i in np.flatnonzero(score >= MIN_SCORE):
-                yield int(start[k]), int(i), float(score[i])
-
-    def leaks(self, words: list[str]) -> list[tuple]:
-        best: dict[int, tuple] = {}
-        for start, i, score in self.retrieve(words):
-            passage = words[start : start + 2 * self.length]
+        return np.repeat(first[terms] - np.cumsum(size) + size, size) + np.arange(size.sum()), size
+
+    def retrieve(self, ids: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """(text, first word of the passage, item, score) of every score of MIN_SCORE or more.
+
+        ids are this index's term numbers, -1 for others, of texts of the given sizes one after the other.
+        """
+        length, n_terms, least = self.length, len(self.most), MIN_SCORE - 1e-9
+        n_pass = np.maximum(1, -(-(sizes - length) // length))
+        first_pass = np.cumsum(n_pass) - n_pass
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        step = (np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) // length
+        # a word lies in the passage that begins in its step and in the one before
+        here, before = step < n_pass[text], step > 0
+        known = ids >= 0
+        a, b = known & here, known & before
+        w = np.concatenate([first_pass[text[a]] + step[a], first_pass[text[b]] + step[b] - 1])
+        t = np.concatenate([ids[a], ids[b]])
+        total = int(n_pass.sum())
+        ok = (np.bincount(w, self.most[t], total) >= least)[w]
+        if not ok.any():
+            return
+        w, t = np.divmod(np.unique(w[ok] * n_terms + t[ok]), n_terms)  # each word of a passage once
+        ok = (np.bincount(w, self.most[t], total) >= least)[w]
+        w, t = w[ok], t[ok]
+        if not len(w):
+            return
+        names, w = np.unique(w, return_inverse=True)
+        at, size = self._spread(self.block_first, t)
+        bound = np.bincount(np.repeat(w, size) * self.n_blocks + self.block[at], self.block_most[at], len(names) * self.n_blocks)
+        good = bound.reshape(len(names), self.n_blocks) >= least
+        ok = good.any(axis=1)[w]
+        w, t = w[ok], t[ok]
+        at, size = self._spread(self.first, t)
+        w = np.repeat(w, size)
+        ok = good[w, self.place[at] // BLOCK_ITEMS]
+        w, at = w[ok], at[ok]
+        pair, back = np.unique(w * len(self.items) + self.place[at], return_inverse=True)
+        score = np.bincount(back, self.impact[at])
+        for k in np.flatnonzero(score >= least):
+            p, i = divmod(int(pair[k]), len(self.items))
+            p = int(names[p])
+            x = int(np.searchsorted(first_pass, p, "right")) - 1
+            yield x, (p - int(first_pass[x])) * length, i, float(score[k])
+
+    def leaks(self, texts: list[list[str]], ids: np.ndarray, sizes: np.ndarray) -> Iterator[tuple]:
+        """(text, leak) of each item that a text holds, its best passage."""
+        best: dict[tuple[int, int], tuple] = {}
+        for x, start, i, score in self.retrieve(ids, sizes):
+            passage = texts[x][start : start + 2 * self.length]
             own, had = self.shingles[i], set(passage)
             k = min(SHINGLE_WORDS, len(self.texts[i][1]))
             overlap = len(own & shingles(passage, k)) / len(own)
             (question, answer), _ = self.texts[i]
-            q, a = (sum(w in had for w in x) / len(x) if x else 1.0 for x in (question, answer))
-            if overlap >= MIN_OVERLAP and q >= MIN_OVERLAP and a >= MIN_ANSWER and overlap > best.get(i, (0, 0, 0))[2]:
-                best[i] = (int(self.items["item_id"][i]), score, overlap, q, a, start)
-        return list(best.values())
+            q, a = (sum(w in had for w in y) / len(y) if y else 1.0 for y in (question, answer))
+            if overlap >= MIN_OVERLAP and q >= MIN_OVERLAP and a >= MIN_ANSWER and overlap > best.get((x, i), (0, 0, 0))[2]:
+                best[x, i] = (int(self.items["item_id"][i]), score, overlap, q, a, start)
+        for (x, _), leak in best.items():
+            yield x, leak
+
+
+class Finder:
+    """Finds leaks of a shard's indexes, many texts at a time; words are numbered once for all length classes."""
+
+    def __init__(self, shard: list[Index]):
+        self.shard = shard
+        self.numbers = {w: k for k, w in enumerate({w for index in shard for w in index.terms})}
+        self.tables = []
+        for index in shard:
+            table = np.full(len(self.numbers) + 1, -1)  # the last for words of no index
+            for w, k in index.terms.items():
+                table[self.numbers[w]] = k
+            self.tables.append(table)
+
+    def find(self, texts: list[str | None]) -> list[list[dict]]:
+        words = [words_of(t) for t in texts]
+        sizes = np.array([len(x) for x in words], np.int64)
+        get, none = self.numbers.get, repeat(len(self.numbers))
+        ids = np.fromiter(chain.from_iterable(map(get, x, none) for x in words), np.int64, int(sizes.sum()))
+        out: list[list[dict]] = [[] for _ in texts]
+        for index, table in zip(self.shard, self.tables):
+            for x, leak in index.leaks(words, table[ids], sizes):
+                out[x].append(dict(zip(LEAK_FIELDS, leak)))
+        return out
 
 
 def build(items: DataFrame) -> list[list[Index]]:
@@ -159,13 +209,9 @@ def leak_finder(spark, shard: list[Index]):
 
     @F.pandas_udf(LEAK)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        keys = ["item_id", "bm25", "item_overlap", "question_overlap", "answer_overlap", "first_word"]
+        finder = Finder(model.value)
         for b in batches:
-            out = []
-            for text in b:
-                words = words_of(text)
-                out.append([dict(zip(keys, x)) for index in model.value if words for x in index.leaks(words)])
-            yield pd.Series(out, dtype=object)
+            yield pd.Series([x for at in range(0, len(b), 32) for x in finder.find(b.iloc[at : at + 32].tolist())], dtype=object)
 
     return find
 
