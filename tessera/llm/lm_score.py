@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import read, stash
 
 ORDER, ALPHA, HASH_BITS = 2, 0.4, 56
-BATCH_BYTES, BATCH_DOCS = 8 << 20, 20_000
+BATCH_BYTES, BATCH_DOCS = 4 << 20, 10_000
 #: Entries that a part of the hash range holds, about.
-PART_ENTRIES = 4_000_000
-CACHE_WORDS = 400_000
+PART_ENTRIES = 2_000_000
+CACHE_WORDS = 200_000
 _ZSTD = "zstd"
 
 
