@@ -35,8 +35,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
 
 
 def stash(df: DataFrame, name: str = "stash") -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write df to the shared folder and read it back: cuts lineage, survives lost executors.
+
+    Once a query has ended its shuffle files go, as what they gave is in the shared folder.
+    """
     spark = df.sparkSession
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

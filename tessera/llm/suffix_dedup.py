@@ -33,6 +33,8 @@ from tessera.llm.common import drop_path, read, shared_path, sized_join, stash
 
 LENGTH, GRAM, NODE = 400, 100, 16
 BATCHES = 4
+#: Bits by which a bitmap of the met keys is addressed: 2**26 bits are 8 MB, however many keys there are.
+BITMAP = 26
 #: Bytes whose anchors are looked for at once.
 CHUNK = 1 << 20
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
@@ -123,50 +125,68 @@ def suffixes(documents: DataFrame) -> DataFrame:
 
 
 class IndexFamily:
-    """Levels of sorted suffix arrays; level k holds 2**k batches."""
+    """Levels of sorted suffix arrays, each the leading hashes with how many suffixes have them; level k holds 2**k batches.
+
+    Where the suffixes lie is kept by batch, in what suffixes() gave, and looked up by the hashes that were met.
+    """
 
     def __init__(self, spark):
         self.spark, self.levels = spark, {}
 
-    def _write(self, rows: DataFrame, partitions: int) -> str:
+    def _write(self, rows: DataFrame) -> str:
         path = shared_path(self.spark, "suffixes")
-        rows.repartitionByRange(partitions, "key").sortWithinPartitions("key").write.option("compression", "zstd").parquet(path)
+        rows.sortWithinPartitions("key").write.option("compression", "zstd").parquet(path)
         return path
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """Scan a batch (key, ...) against all levels and itself, then add it; gives the keys met (key)."""
-        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        path = self._write(batch.select("key", "rid", "at"), n)
-        new = self.spark.read.parquet(path).select("key")
-        own = new.groupBy("key").agg(F.count("*").alias("n"))
-        met = own.filter("n > 1").select("key")
-        for level, _ in self.levels.values():
-            old = self.spark.read.parquet(level).select("key").distinct()
-            met = met.unionByName(own.select("key").join(old.hint("merge"), "key", "left_semi"))
+        """Scan a batch (key) against all levels and itself, then add it; gives the keys met (key)."""
+        path = self._write(batch.groupBy("key").agg(F.count("*").alias("n")))
+        new = self.spark.read.parquet(path)
+        met = new.filter("n > 1").select("key")
+        for level in self.levels.values():
+            met = met.unionByName(new.select("key").join(self.spark.read.parquet(level).hint("merge"), "key", "left_semi"))
         met = stash(met.distinct(), "met")
         size, paths = 0, [path]
         while size in self.levels:  # as a binary counter carries
-            paths.append(self.levels.pop(size)[0])
+            paths.append(self.levels.pop(size))
             size += 1
         if len(paths) > 1:
-            merged = self._write(self.spark.read.parquet(*paths), n << size)
+            path = self._write(self.spark.read.parquet(*paths).groupBy("key").agg(F.sum("n").alias("n")))
             for p in paths:
                 drop_path(self.spark, p)
-            path = merged
-        self.levels[size] = (path, 1 << size)
+        self.levels[size] = path
         return met
 
 
+def only_met(entries: DataFrame, met: DataFrame) -> DataFrame:
+    """Suffixes whose key was met. A bitmap of 2**BITMAP bits, of fixed size, keeps most others out of the shuffle."""
+    bit = F.shiftrightunsigned("key", 64 - BITMAP) + 1  # Spark numbers bits from 1
+    maps = met.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
+    size = 1 << 12  # bytes of one of Spark's bitmaps
+    bits = np.zeros((1 << BITMAP) // 8, np.uint8)
+    for k, found in maps.toLocalIterator():
+        bits[(k - 1) * size : k * size] = np.frombuffer(found, np.uint8)
+    shared = entries.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = (b["key"].to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP)).astype(np.int64)
+            yield b.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0))
+
+    kept = entries.mapInArrow(run, entries.schema)
+    return kept.join(met.hint("merge"), "key", "left_semi")
+
+
 def _contexts(batches: Iterator[pa.RecordBatch], places) -> Iterator[pa.RecordBatch]:
-    """Rows (kid, key, n, o, h1, h2) of hashed parts of contexts; places gives offsets o, starts and ends."""
-    names = ["kid", "key", "n", "o", "h1", "h2"]
+    """Rows (kid, n, o, h1, h2) of hashed parts of contexts; places gives offsets o, starts and ends."""
+    names = ["kid", "n", "o", "h1", "h2"]
     for b in batches:
         held = []
         for row in b.to_pylist():
             roll = Rolling(row["context"])
             o, start, end = places(row)
             h1, h2 = (roll.of(start, end, k).view(np.int64) for k in (0, 1))
-            held.append((*(np.full(len(o), row[c]) for c in names[:3]), o, h1, h2))
+            held.append((*(np.full(len(o), row[c]) for c in names[:2]), o, h1, h2))
         for at in range(0, len(held), 500):
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held[at : at + 500])], names)
 
@@ -183,8 +203,8 @@ def _windows(row: dict) -> tuple[np.ndarray, ...]:
 
 
 def _again(rows: DataFrame) -> DataFrame:
-    """Of rows (kid, key, n, o, h1, h2), those whose key, o and hashes hold for two suffixes or more: kid, o."""
-    on = ["key", "o", "h1", "h2"]
+    """Of rows (kid, n, o, h1, h2), those whose bytes two suffixes or more have: kid, o."""
+    on = ["h1", "h2"]  # of bytes that hold an anchor at a place, so both follow
     twice = rows.groupBy(*on).agg(F.sum("n").alias("all")).filter("all > 1").drop("all")
     return rows.join(twice.hint("merge"), on, "left_semi").select("kid", "o")
 
@@ -197,16 +217,18 @@ def repeated_windows(entries: DataFrame, documents: DataFrame) -> DataFrame:
     mixed = stash(kinds.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("key"), "mixed")
     alike = kinds.join(mixed.hint("merge"), "key", "left_anti").filter("n > 1").selectExpr("kid", "o1 AS low", "o2 AS high")
 
-    one = kinds.join(mixed.hint("merge"), "key", "left_semi").select("kid", "key", "n", "o1", "o2", "one.rid", "one.at")
-    wanted = stash(one.groupBy("rid").agg(F.collect_list(F.struct("kid", "key", "n", "o1", "o2", "at")).alias("w")), "wanted")
+    one = kinds.join(mixed.hint("merge"), "key", "left_semi").select("kid", "n", "o1", "o2", "one.rid", "one.at")
+    wanted = stash(one.groupBy("rid").agg(F.collect_list(F.struct("kid", "n", "o1", "o2", "at")).alias("w")), "wanted")
     texts = sized_join(documents, wanted, "rid", "inner").select("text", F.explode("w").alias("w")).select("text", "w.*")
     context = F.expr(f"substring(text, cast(at - o2 + 1 AS int), o2 - o1 + {LENGTH})")
-    contexts = stash(texts.select("kid", "key", "n", "o1", "o2", context.alias("context")), "contexts").dropDuplicates(["kid"])
+    contexts = stash(texts.select("kid", "n", "o1", "o2", context.alias("context")), "contexts")
+    if contexts.count() != wanted.agg(F.sum(F.size("w"))).first()[0]:  # rows alike in doc_id and text
+        contexts = stash(contexts.dropDuplicates(["kid"]), "contexts")
 
-    schema = "kid long, key long, n long, o long, h1 long, h2 long"
+    schema = "kid long, n long, o long, h1 long, h2 long"
     nodes = stash(contexts.mapInArrow(lambda b: _contexts(b, _nodes), schema), "nodes")
     open_ = _again(nodes).groupBy("kid").agg(F.collect_list("o").alias("nodes"))
-    windows = stash(contexts.join(open_.hint("merge"), "kid").mapInArrow(lambda b: _contexts(b, _windows), schema), "windows")
+    windows = contexts.join(open_.hint("merge"), "kid").mapInArrow(lambda b: _contexts(b, _windows), schema)
     w = Window.partitionBy("kid").orderBy("o")
     runs = _again(windows).withColumn("run", F.col("o") - F.row_number().over(w)).groupBy("kid", "run").agg(F.min("o").alias("low"), F.max("o").alias("high"))
     runs = runs.select("kid", F.col("low").cast("int"), F.col("high").cast("int")).unionByName(alike)
@@ -227,7 +249,7 @@ def strip_repeats(documents: DataFrame, batches: int = BATCHES) -> DataFrame:
         keys = family.add(entries.filter(F.pmod(F.xxhash64("rid"), F.lit(batches)) == k))
         met = keys if met is None else met.unionByName(keys)
     met = stash(met.distinct(), "met_keys")
-    hit = stash(entries.join(met.hint("merge"), "key", "left_semi"), "hit")
+    hit = stash(only_met(entries, met), "hit")
     spans = repeated_windows(hit, docs.select("rid", "text"))
     spans = stash(spans.groupBy("rid").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
 
