@@ -34,10 +34,11 @@ def with_peptides(df: DataFrame, sequence: str, rule: str = "trypsin", missed: i
     pieces = F.filter(F.split(F.coalesce(F.col(sequence), F.lit("")), CUT_RULES[rule]), lambda x: x != "")
     df = df.withColumn("__fragments", pieces)
     f = F.col("__fragments")
-    runs = [f] + [
-        F.transform(F.slice(f, 1, F.greatest(F.size(f) - m, F.lit(0))), lambda x, i, m=m: F.array_join(F.slice(f, i + 1, m + 1), ""))
-        for m in range(1, missed + 1)
-    ]
+
+    def joined(m: int) -> Column:
+        return F.transform(F.slice(f, 1, F.greatest(F.size(f) - m, F.lit(0))), lambda x, i: F.array_join(F.slice(f, i + 1, m + 1), ""))
+
+    runs = [f, *map(joined, range(1, missed + 1))]
     return df.withColumn(out, F.array_distinct(F.concat(*runs))).drop("__fragments")
 
 
