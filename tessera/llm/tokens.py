@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import read, shared_path
 
 #: Words whose ids a worker remembers, from task to task.
-CACHE_WORDS, CACHE_CORES, CACHE_TAILS = 400_000, 300_000, 10_000
+CACHE_WORDS, CACHE_CORES, CACHE_TAILS = 250_000, 200_000, 10_000
 SHARD_BYTES = 64 << 20
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 256 << 10
 #: Of each line: letters that normalization leaves as they are and that are pre-tokenized whole, and marks after them, also whole.
@@ -120,7 +120,9 @@ class WordEncoder:
         at = words.indices.to_numpy()
         each = size[at]
         upto = np.concatenate([[0], np.cumsum(each)])
-        ids = flat[np.repeat(start[at] - upto[:-1], each) + np.arange(upto[-1])]
+        place = np.repeat(start[at] - upto[:-1], each)
+        place += np.arange(len(place))
+        ids = flat[place]
         counts = np.diff(upto[offsets])
         return np.insert(ids, upto[offsets[1:]], end_id), counts + 1
 
@@ -137,8 +139,8 @@ def encode(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_encoder(tokenizer)
         for b in batches:
-            for at in range(0, len(b), 1024):
-                part = b.slice(at, 1024)
+            for at in range(0, len(b), 512):
+                part = b.slice(at, 512)
                 flat, counts = words.encode(part["text"], end_id)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], schema=schema)
