@@ -25,11 +25,12 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import read, shared_path
 
-#: Words whose ids a worker remembers, from task to task.
-CACHE_WORDS, CACHE_CORES, CACHE_TAILS = 250_000, 200_000, 10_000
+#: Words of a generation, of which a worker remembers two, from task to task.
+CACHE_WORDS, CACHE_TAILS = 200_000, 10_000
 SHARD_BYTES = 64 << 20
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 256 << 10
 #: Of each line: letters that normalization leaves as they are and that are pre-tokenized whole, and marks after them, also whole.
+_PLAIN = re.compile("[a-zà-öø-ÿ]+")
 _PARTS = re.compile(r"^(?:([a-zà-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)|.*)$", re.MULTILINE)
 #: A mark after a word and before a blank, which is a token run of its own.
 _MARK = r"([a-z0-9])([,.]) "
@@ -55,7 +56,7 @@ class WordEncoder:
         self.fast.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.ids: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.last: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
@@ -82,21 +83,30 @@ class WordEncoder:
         if not self.plain:
             self.ids.update(zip(words, self._whole(words)))
             return
-        parts = _PARTS.findall("\n".join(words).lower())
-        if len(self.cores) > CACHE_CORES:
-            self.cores.clear()
-        cores = self.cores
-        new = list({c for c, _ in parts if c and c not in cores})
+        whole = _PLAIN.fullmatch
+        plain = [w for w in words if (w.isalpha() and w.islower() if w.isascii() else whole(w))]
+        self.ids.update(zip(plain, self._fast(plain)))
+        rest = [w for w in words if w not in self.ids]
+        parts = _PARTS.findall("\n".join(rest).lower()) if rest else []
+        cores = {c: self._known(c) for c, _ in parts if c}
+        new = [c for c, x in cores.items() if x is None]
         cores.update(zip(new, self._fast(new)))
         tails = list({t for _, t in parts if t not in self.tails})
         if len(self.tails) > CACHE_TAILS:
             self.tails, tails = {"": b""}, list({t for _, t in parts if t})
         self.tails.update(zip(tails, self._whole(tails)))
         tails = self.tails
-        self.ids.update([(w, cores[c] + tails[t] if t else cores[c]) for w, (c, t) in zip(words, parts) if c])
-        odd = [w for w, (c, _) in zip(words, parts) if not c]
+        self.ids.update([(w, cores[c] + tails[t]) for w, (c, t) in zip(rest, parts) if c])
+        odd = [w for w, (c, _) in zip(rest, parts) if not c]
         self.ids.update(zip(odd, self._whole(odd)))
 
+    def _known(self, word: str) -> bytes | None:
+        """Ids of a word met in this generation or the last, which passes on what is still in use."""
+        x = self.ids.get(word)
+        if x is None and (x := self.last.get(word)) is not None:
+            self.ids[word] = x
+        return x
+
     def encode(self, texts: pa.StringArray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each ended by end_id, and their counts. The different words of a slice are looked up once."""
         # lower case first, but not where that could make the string of a special token
@@ -105,13 +115,16 @@ class WordEncoder:
         split = pc.ascii_split_whitespace(texts)
         offsets = split.offsets.to_numpy() - split.offsets[0].as_py()
         words = split.flatten().dictionary_encode()
-        names = words.dictionary.to_pylist()
+        names = words.dictionary
+        names = pc.binary_join(pa.ListArray.from_arrays([0, len(names)], names), "\n")[0].as_py().split("\n") if len(names) else []
         if len(self.ids) > CACHE_WORDS:
-            self.ids.clear()
+            self.ids, self.last = {}, self.ids
         found = [*map(self.ids.get, names)]
-        new = [w for w, x in zip(names, found) if x is None]
-        if new:
-            self.learn(new)
+        known = self._known
+        new = [w for w, x in zip(names, found) if x is None and known(w) is None]
+        if None in found:
+            if new:
+                self.learn(new)
             ids = self.ids
             found = [x if x is not None else ids[w] for w, x in zip(names, found)]
         flat = np.frombuffer(b"".join(found), "<i4")
@@ -144,6 +157,7 @@ def encode(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 flat, counts = words.encode(part["text"], end_id)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], schema=schema)
+            pa.default_memory_pool().release_unused()
 
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
