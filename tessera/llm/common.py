@@ -79,20 +79,21 @@ def deal_blocks(rows: DataFrame, key: str, node: str, block: int) -> DataFrame:
 
     Groups are (key, i, j). A key of more than `block` rows is cut into blocks by a hash of the node: homes of block i
     meet all rows of block j, so no group holds more than about two blocks. Groups lie whole and sorted in partitions.
+    Where `cut` is true homes meet the other rows alone, among which they are again; else they meet all rows.
     """
     hot = stash(rows.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > block), "hot_keys")
     none = F.lit(0)
     if hot.isEmpty():
-        dealt = rows.select(none.alias("i"), none.alias("j"), "*")
+        dealt = rows.select(none.alias("i"), none.alias("j"), F.lit(False).alias("cut"), "*")
     else:
         marked = sized_join(rows, hot, key, "left")
-        cool = marked.filter("__n IS NULL").drop("__n").select(none.alias("i"), none.alias("j"), "*")
+        cool = marked.filter("__n IS NULL").drop("__n").select(none.alias("i"), none.alias("j"), F.lit(False).alias("cut"), "*")
         k = F.ceil(F.col("__n") / block).cast("int")
         warm = marked.filter("__n IS NOT NULL").withColumn("__k", k).withColumn("__own", F.pmod(F.xxhash64(node), F.col("__k")).cast("int"))
         every = F.explode(F.expr("sequence(0, __k - 1)"))
         homes = warm.filter("home").select("*", F.col("__own").alias("i"), every.alias("j"))
         others = warm.withColumn("home", F.lit(False)).select("*", every.alias("i"), F.col("__own").alias("j"))
-        dealt = cool.unionByName(homes.unionByName(others).drop("__n", "__k", "__own"))
+        dealt = cool.unionByName(homes.unionByName(others).drop("__n", "__k", "__own").withColumn("cut", F.lit(True)))
     return dealt.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
 
 

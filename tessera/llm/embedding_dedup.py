@@ -72,20 +72,20 @@ def hashes(unit: np.ndarray, seed: int = SEED) -> np.ndarray:
     return out
 
 
-def meet(vec: np.ndarray, home: np.ndarray, node: np.ndarray, count: np.ndarray, label: np.ndarray, codes: np.ndarray, table: int, least: float):
-    """Links of one group: how many vectors each row gains, and forest edges between rows, as places in the group.
+def meet(vec: np.ndarray, home: np.ndarray, other: np.ndarray, node: np.ndarray, count: np.ndarray, codes: np.ndarray, table: int, least: float):
+    """Links of one group's homes and others: how many vectors each row gains, and forest edges, as places in the group.
 
     A pair counts only in the first table where one's home is among the other's probes, and in the lesser of the two
     homes' buckets if both would do.
     """
-    h = np.flatnonzero(home)
+    h, e = np.flatnonzero(home), np.flatnonzero(other)
     gained, root = np.zeros(len(node), np.int64), np.arange(len(node))
-    near = vec[h] @ vec.T >= least
-    near &= (node[h][:, None] != node[None, :]) & (label[h][:, None] == label[None, :])
+    near = vec[h] @ vec[e].T >= least
+    near &= node[h][:, None] != node[e][None, :]
     if not near.any():
         return gained, root
     a, b = np.nonzero(near)
-    a = h[a]
+    a, b = h[a], e[b]
     for at in range(0, len(a), 1 << 16):
         x, y = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
         ab = (codes[x][:, :, :1] == codes[y]).any(axis=2)  # home of x among the probes of y
@@ -120,56 +120,60 @@ def classes(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
 def links(found: DataFrame, least: float = MIN_COSINE) -> DataFrame:
     """Classes -> rows (cid, root, gained): counts of vectors linked, and edges cid - root of forests."""
 
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pa.RecordBatch]:
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["label", "dim", "table", "code", "home", "cid", "n", "vec", "codes"]
         for b in batches:
             for at in range(0, len(b), 512):
                 part = b.slice(at, 512)
                 sizes = np.array([len(v) for v in part["embedding"]])
                 for dim in np.unique(sizes):
                     p = part.take(pa.array(np.flatnonzero(sizes == dim)))
-                    x = np.asarray(p["embedding"].flatten(), dtype=np.float64).reshape(-1, dim)
-                    x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow in the norm
-                    codes = hashes(x / np.linalg.norm(x, axis=1, keepdims=True))
-                    row = np.repeat(np.arange(len(x)), TABLES * PROBES)
-                    table = np.tile(np.repeat(np.arange(TABLES), PROBES), len(x))
-                    flat = codes.reshape(-1)
+                    x = p["embedding"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                    vecs, x = [v.tobytes() for v in x], unit(x)
+                    codes = hashes(x)
+                    # a probe that is the home again is left out
                     new = np.ones(codes.shape, bool)
                     new[:, :, 1:] = codes[:, :, 1:] != codes[:, :, :1]
-                    ok = np.flatnonzero(new.reshape(-1))
-                    blobs = pa.array([c.tobytes() for c in codes], pa.binary())
-                    cols = p.take(pa.array(row[ok]))
+                    row, table, probe = np.nonzero(new)
+                    take = pa.array(row)
                     yield pa.RecordBatch.from_arrays([
-                        cols["label"], pa.array(np.full(len(ok), dim)), pa.array(table[ok]), pa.array(flat[ok]), pa.array((np.arange(len(flat)) % PROBES == 0)[ok]),
-                        cols["cid"], cols["n"], cols["embedding"], blobs.take(pa.array(row[ok]))],
-                        ["label", "dim", "table", "code", "home", "cid", "n", "embedding", "codes"])
+                        p["label"].take(take), pa.array(np.full(len(row), dim)), pa.array(table), pa.array(codes[new]), pa.array(probe == 0),
+                        p["cid"].take(take), p["n"].take(take), pa.array(vecs, pa.binary()).take(take), pa.array([c.tobytes() for c in codes], pa.binary()).take(take)], names)
 
-    kind = found.schema["embedding"].dataType.simpleString()
+    kind = "<f4" if found.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
     rows = found.select("label", "cid", "n", "embedding").mapInArrow(
-        spread, f"label string, dim long, table long, code long, home boolean, cid long, n long, embedding {kind}, codes binary")
-    rows = rows.withColumn("bucket", F.xxhash64("label", "dim", "table", "code"))
+        spread, "label string, dim long, table long, code long, home boolean, cid long, n long, vec binary, codes binary")
+    key = ["label", "dim", "table", "code"]
+    # two hashes: buckets that clash in the one are told apart by the other
+    rows = rows.withColumns({"bucket": F.xxhash64(*key), "bucket2": F.xxhash64(F.lit("b"), *key)}).drop("label", "dim", "code")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g, bounds in whole_groups(batches, ["bucket", "i", "j"]):
-            home = g["home"].to_numpy()
+            home, node, count, table, second, cut = (g[c].to_numpy() for c in ("home", "cid", "n", "table", "bucket2", "cut"))
+            vec, codes = g["vec"].to_numpy(), g["codes"].to_numpy()
             homes = np.add.reduceat(home.astype(int), bounds[:-1])
             out = []
             for k in np.flatnonzero((np.diff(bounds) > 1) & (homes > 0)):
-                whole = g.iloc[bounds[k] : bounds[k + 1]]
-                # buckets whose hashes clash are told apart here
-                for (_, dim, table, code), p in whole.groupby(["label", "dim", "table", "code"], sort=False) if len(whole) > 1 else ():
-                    x = np.array(p["embedding"].tolist(), np.float64)
-                    x = x / np.abs(x).max(axis=1, keepdims=True)
-                    x /= np.linalg.norm(x, axis=1, keepdims=True)
-                    codes = np.frombuffer(b"".join(p["codes"]), np.int64).reshape(-1, TABLES, PROBES)
-                    node = p["cid"].to_numpy()
-                    gained, root = meet(x, p["home"].to_numpy(), node, p["n"].to_numpy(), np.zeros(len(p)), codes, int(table), least)
-                    at = np.flatnonzero((gained > 0) | (root != np.arange(len(p))))
-                    out.append(pd.DataFrame({"cid": node[at], "root": node[root[at]], "gained": gained[at]}))
-            yield pd.concat(out) if out else pd.DataFrame({"cid": [], "root": [], "gained": []}).astype("int64")
+                at = np.arange(bounds[k], bounds[k + 1])
+                for part in [at] if (second[at] == second[at[0]]).all() else [at[second[at] == s] for s in np.unique(second[at])]:
+                    x = unit(np.frombuffer(b"".join(vec[part]), kind).reshape(len(part), -1))
+                    c = np.frombuffer(b"".join(codes[part]), np.int64).reshape(-1, TABLES, PROBES)
+                    gained, root = meet(x, home[part], ~home[part] | ~cut[part], node[part], count[part], c, int(table[part[0]]), least)
+                    told = np.flatnonzero((gained > 0) | (root != np.arange(len(part))))
+                    if len(told):
+                        out.append((node[part][told], node[part][root[told]], gained[told]))
+            yield pd.DataFrame(dict(zip(("cid", "root", "gained"), map(np.concatenate, zip(*out)))) if out else {"cid": [], "root": [], "gained": []}).astype("int64")
 
     return deal_blocks(rows, "bucket", "cid", BLOCK).mapInPandas(compare, "cid long, root long, gained long")
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length one, in double precision; scaled first, so that no square overflows."""
+    x = x.astype(np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def near_duplicates(embeddings: DataFrame, least: float = MIN_COSINE) -> DataFrame:
     """embeddings(vec_id, embedding, label) -> vec_id, n_links, component_id, kept."""
     rows, found = classes(embeddings)

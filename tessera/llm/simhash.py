@@ -116,12 +116,12 @@ def links(fps: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows, bounds in whole_groups(batches, ["anchor", "i", "j"]):
-            fp, home = rows["fp"].to_numpy(), rows["home"].to_numpy()
+            fp, home, cut = (rows[c].to_numpy() for c in ("fp", "home", "cut"))
             homes = np.add.reduceat(home.astype(int), bounds[:-1])
             edges = []
             for g in np.flatnonzero((np.diff(bounds) > 1) & (homes > 0)):
                 x, y = fp[bounds[g] : bounds[g + 1]], home[bounds[g] : bounds[g + 1]]
-                edges += forest(x[y], x)
+                edges += forest(x[y], x[~y] if cut[bounds[g]] else x)
             yield pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
     return deal_blocks(copies, "anchor", "fp", BLOCK).mapInPandas(compare, "a long, b long")
