@@ -40,7 +40,7 @@ def test_mix_meets_targets_and_repeats(spark):
         assert r["taken"] <= 3 * r["size"] and again[r["doc_id"]] == r["taken"]
         by[r["source_size"]] = r["target"]
     for (_, target), t in taken.items():
-        assert abs(t - target) <= 3
+        assert 0 <= target - t < 50  # less than the largest document
     assert sum(by.values()) == pytest.approx(sum(by))
 
 
