@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import read, stash
 
 WINDOW, BUCKETS, DIM, GRAMS = 3, 1 << 16, 16, (3, 4, 5)
-TRAIN_CHARS = {1: 8_000_000, 0: 12_000_000}
+TRAIN_CHARS = {1: 4_000_000, 0: 6_000_000}
 EPOCHS, RATE, DECAY, SEED = 80, 0.1, 1e-4, 7
 #: Words whose features are remembered in a worker.
 CACHE_WORDS = 200_000
@@ -60,16 +60,17 @@ def words_of(text: bytes) -> list[bytes]:
 def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Weight of each bucket (its vector through the softmax, toxic less clean) and the bias. Full-batch Adagrad."""
     ids: dict[bytes, int] = {}
-    docs = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t)] or [ids.setdefault(b"", len(ids))], np.int64) for t in texts]
+    docs = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t)] or [ids.setdefault(b"", len(ids))], np.int32) for t in texts]
     bucket, count = word_grams(list(ids))
     size = np.array([len(d) for d in docs])
     tokens = np.concatenate(docs)
     start = np.cumsum(size) - size
-    doc = np.repeat(np.arange(len(docs)), size)
-    first = np.maximum(np.arange(len(tokens)) - WINDOW + 1, start[doc])  # a window ends at each token
-    grams_to = np.concatenate([[0], np.cumsum(count[tokens])])
-    here = np.arange(len(tokens))
-    width = np.maximum(grams_to[here + 1] - grams_to[first], 1)
+    doc = np.repeat(np.arange(len(docs), dtype=np.int32), size)
+    first = np.maximum(np.arange(len(tokens), dtype=np.int32) - (WINDOW - 1), start.astype(np.int32)[doc])  # a window ends at each token
+    grams_to = np.concatenate([[0], np.cumsum(count[tokens])]).astype(np.int32)
+    width = np.maximum(grams_to[1:] - grams_to[first], 1)
+    bucket, count = bucket.astype(np.int32), count.astype(np.int32)
+    del docs, ids, grams_to
     word_at = np.cumsum(count) - count
     filled = count > 0
     rng = np.random.default_rng(SEED)
@@ -85,13 +86,14 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
         of_word = np.zeros(len(count))
         of_word[filled] = np.add.reduceat(score[bucket], word_at[filled]) if filled.any() else 0
         upto = np.concatenate([[0], np.cumsum(of_word[tokens])])
-        z = (upto[here + 1] - upto[first]) / width
+        z = (upto[1:] - upto[first]) / width
         top = np.maximum.reduceat(z, start)
         a = np.exp(np.minimum(sharp * (z - top[doc]), 0))
         a /= np.add.reduceat(a, start)[doc]
         pooled = np.add.reduceat(a * z, start) + bias
         err = weight * (1 / (1 + np.exp(-pooled)) - labels)
         dz = err[doc] * a / width
+        del a, z, top, upto
         edge = np.zeros(len(tokens) + 1)
         np.add.at(edge, first, dz)
         edge[1:] -= dz  # a window adds to its tokens, first to here
