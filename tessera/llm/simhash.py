@@ -21,10 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import components, deal_blocks, hot_safe_left_join, read, sized_join, stash, whole_groups
+from tessera.llm.near_copies import near_copy_groups, row_hash
 
 SHINGLE_WORDS, SEED, MAX_DIFF = 3, 42, 3
 #: Rows of one anchor beyond which it is cut into blocks of about so many.
@@ -62,10 +63,6 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, rid long, fp long")
 
 
-def row_hash() -> Column:
-    return F.xxhash64("doc_id", "text")
-
-
 def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For each copy: index of the fingerprint, anchor, and whether it is at home there."""
     place = np.arange(1, CODE_BITS + 1)
@@ -140,8 +137,11 @@ def simhash_groups(documents: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
-    """One document of each component, that of the smallest doc_id, with all its columns."""
-    groups = stash(simhash_groups(documents), "groups")
+    """One document of each component of near copies, that of the smallest doc_id, with all its columns.
+
+    The components are those of five-word Jaccard similarity (near_copies.py), not of op8's fingerprints.
+    """
+    groups = stash(near_copy_groups(documents), "groups")
     kept = stash(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("rid").alias("__rid")).select("__rid"), "kept")
     out = sized_join(documents.withColumn("__rid", row_hash()), kept, "__rid", "left_semi")
     again = groups.groupBy("rid").agg(F.count("*").alias("n")).filter("n > 1").selectExpr("rid AS __rid")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tessera.llm import embedding_dedup, simhash, suffix_dedup
+from tessera.llm import embedding_dedup, near_copies, simhash, suffix_dedup
 from tessera.llm.common import components
 
 
@@ -83,6 +83,37 @@ def test_simhash_edges(odd_docs, no_docs):
     assert simhash.drop_near_duplicates(no_docs).count() == 0
 
 
+def _five(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_near_copies_against_brute_force(spark, monkeypatch, block):
+    """Texts at a similarity about 0.8 of which most differ in more than 3 bits of op8's fingerprints."""
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    rng = random.Random(4)
+    base = [" ".join(rng.choice("abcdefghij") + str(rng.randint(0, 500)) for _ in range(n)) for n in (6, 30, 80, 200, 900)]
+    line = " ".join(f"common{k}" for k in range(12))
+    texts = []
+    for k in range(90):
+        words = base[k % 5].split()
+        for _ in range(rng.choice([0, 1, 1, 2, 3]) if len(words) < 300 else rng.randint(0, 40)):
+            words[rng.randrange(len(words))] = f"x{rng.randint(0, 9)}"
+        texts.append(" ".join(words) + (f" {line}" if k % 3 == 0 else ""))
+    texts += [None, "", " \t", "one", "One", "one two", "a b c d e", "a b c d e f"]
+    sets = [_five(t) for t in texts]
+
+    def linked(i, j):
+        return sets[i] == sets[j] or bool(sets[i] & sets[j]) and 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j]))
+
+    want = _groups(len(texts), linked)
+    assert 15 < len(set(want)) < 85
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copy_groups(docs).collect()} == dict(enumerate(want))
+    assert {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()} == set(want)
+
+
 @pytest.mark.parametrize("block", [1024, 7])
 def test_embeddings_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(embedding_dedup, "BLOCK", block)
