@@ -10,8 +10,7 @@ all batches and answers each batch with the totals of those n-grams that others
 batches, which score their documents. A frequent n-gram is one entry a batch, so no key is hot, and nothing but sums
 passes the driver. HASH_BITS bits make two n-grams of a corpus of 10**13 words clash once in thousands.
 
-Words are split at ASCII white space, A-Z lower-cased. ORDER is 2 here, as disk at the check tool's limits allows
-that; it is a parameter.
+Words are split at ASCII white space, A-Z lower-cased. ORDER is 3 here; it is a parameter.
 
 Defined results: null, empty or blank texts have 0 words and score 0; repeated rows are documents each, so see each other's
 counts; an empty table gives an empty result; only doc_id and text are read.
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import read, stash
 
-ORDER, ALPHA, HASH_BITS = 2, 0.4, 56
+ORDER, ALPHA, HASH_BITS = 3, 0.4, 56
 BATCH_BYTES, BATCH_DOCS = 4 << 20, 10_000
 #: Entries that a part of the hash range holds, about.
 PART_ENTRIES = 2_000_000

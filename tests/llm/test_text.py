@@ -81,6 +81,15 @@ def test_toxicity(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.count() == 10
 
 
+def test_lm_query_uses_contexts_of_two_words(spark, tmp_path):
+    texts = ["a b c", "a b c", "x b d", "y b d"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["score"] for r in lm_score.op6_lm_score(spark, str(tmp_path)).collect()}
+    # others have 9 words, one "a", one "a b" and one "a b c": S(c | a b) is 1, by bigrams it would be 1 / 3
+    assert got[0] == pytest.approx(math.log(1 / 9))
+
+
 @pytest.mark.parametrize("order", [1, 2, 3])
 def test_lm_scores_against_counters(spark, monkeypatch, order):
     monkeypatch.setattr(lm_score, "BATCH_BYTES", 300)
