@@ -9,7 +9,7 @@ of the question's words and MIN_ANSWER of the answer's. An item's last sentence
 question; an item of one sentence has its last third as answer.
 
 The index is collected and broadcast in shards of at most MAX_POSTINGS postings by count (an item larger than that is
-a shard of its own); beyond one shard the documents are scanned once a shard.
+a shard of its own), one at a time in the driver; beyond one shard the documents are scanned once a shard.
 
 Defined results: null or empty texts hold and are no leaks; an item of fewer than five words is one shingle; repeated
 items are reported each, repeated documents likewise; empty tables give an empty result. Of documents only doc_id and
@@ -168,8 +168,8 @@ class Finder:
         return out
 
 
-def build(items: DataFrame) -> list[list[Index]]:
-    """Shards of the items' index; each shard is a list of length classes."""
+def build(items: DataFrame) -> Iterator[list[Index]]:
+    """Shards of the items' index, one at a time; each shard is a list of length classes."""
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -184,7 +184,7 @@ def build(items: DataFrame) -> list[list[Index]]:
     per_item = tf.groupBy("item_no").agg(F.first("length").alias("length"), F.count("*").alias("terms"))
     n, mean, total = per_item.agg(F.count("*"), F.avg("length"), F.sum("terms")).first()
     if not n:
-        return []
+        return
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     impact = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / mean))
@@ -193,14 +193,12 @@ def build(items: DataFrame) -> list[list[Index]]:
     n_shards = -(-total // MAX_POSTINGS)
     shard = F.pmod(F.xxhash64("item_no"), F.lit(n_shards))
     scored = stash(scored.join(whole, "item_no").select("item_no", "term", "length", (F.col("impact") / F.col("whole")).alias("impact"), shard.alias("shard")), "postings")
-    shards = []
     for k in range(n_shards):
         p = scored.filter(F.col("shard") == k).toPandas()
         t = named.filter(shard == k).toPandas()
         if len(p):
             level = np.ceil(np.log2(np.maximum(p["length"] / LEAST_CLASS, 1))).astype(int)
-            shards.append([Index(LEAST_CLASS << x, t[t["item_no"].isin(p["item_no"][level == x])], p[level == x]) for x in sorted(set(level))])
-    return shards
+            yield [Index(LEAST_CLASS << x, t[t["item_no"].isin(p["item_no"][level == x])], p[level == x]) for x in sorted(set(level))]
 
 
 def leak_finder(spark, shard: list[Index]):

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import gc
 import math
 import random
+import weakref
 import zlib
 from collections import Counter
 
@@ -157,3 +159,21 @@ def test_index_in_shards(spark, monkeypatch):
     bench = spark.createDataFrame([(k, f"a{k} b{k} c{k} d{k} e{k} f{k}. g{k} h{k}.") for k in range(12)], "item_id long, text string")
     docs = spark.createDataFrame([(k, f"x y a{k} b{k} c{k} d{k} e{k} f{k} g{k} h{k} z") for k in range(12)], "doc_id long, text string")
     assert {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(docs, bench).collect()} == {(k, k) for k in range(12)}
+
+
+def test_one_shard_at_a_time(spark, monkeypatch):
+    """No shard is alive in the driver once it is broadcast and the next is asked for."""
+    monkeypatch.setattr(decontam, "MAX_POSTINGS", 20)
+    alive, most, made = weakref.WeakSet(), [], decontam.Index.__init__
+
+    def init(self, *args):
+        made(self, *args)
+        gc.collect()
+        alive.add(self)
+        most.append(len(alive))
+
+    monkeypatch.setattr(decontam.Index, "__init__", init)
+    bench = spark.createDataFrame([(k, f"a{k} b{k} c{k} d{k} e{k} f{k}. g{k} h{k}.") for k in range(12)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x y")], "doc_id long, text string")
+    decontam.find_leaks(docs, bench)
+    assert len(most) > 2 and max(most) <= 2
