@@ -177,3 +177,15 @@ def test_one_shard_at_a_time(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "x y")], "doc_id long, text string")
     decontam.find_leaks(docs, bench)
     assert len(most) > 2 and max(most) <= 2
+
+
+@pytest.mark.parametrize("changed", [[7], [5, 10], [2, 9]])
+def test_edited_items_are_leaks(spark, tmp_path, changed):
+    item = [f"q{k}" for k in range(12)] + [f"a{k}" for k in range(6)]
+    words = ["other" if k in changed else w for k, w in enumerate(item)]
+    rows = [(1, " ".join(["x", "y", *words, "z"])), (2, " ".join(reversed(item))), (3, " ".join(item[:9]))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(5, f"{' '.join(item[:12])}. {' '.join(item[12:])}.")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [(r["doc_id"], r["item_id"]) for r in decontam.op10_decontaminate(spark, str(tmp_path)).collect()] == [(1, 5)]
+    docs, bench = (spark.read.parquet(f"{tmp_path}/{x}.parquet") for x in ("documents", "benchmark"))
+    assert {r["doc_id"] for r in decontam.drop_leaks(docs, bench, edited=True).collect()} == {2, 3}
