@@ -5,14 +5,19 @@ from __future__ import annotations
 import itertools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows a side may have to be broadcast; beyond it joins shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes a side may have to be broadcast; beyond them joins shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 24 << 20
+#: Bits of a bitmap of keys: the least and the most powers of two, 32 MB at most however many keys there are.
+BITMAP_BITS = (20, 28)
 #: A key is hot when it holds more than this share of the rows, so hot keys number at most 1 / share.
 HOT_SHARE = 1 / 2000
 
@@ -22,9 +27,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir; a temporary one only where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir; a temporary one only where it is unset and all is on one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tessera-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -34,16 +41,28 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stash(df: DataFrame, name: str = "stash") -> DataFrame:
+def stash(df: DataFrame, name: str = "stash", done: tuple[DataFrame, ...] = ()) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage, survives lost executors.
 
-    Once a query has ended its shuffle files go, as what they gave is in the shared folder.
+    The query's shuffle files go once it has ended, and so do the stashes `done`, which only df was made from.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    path = shared_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = shared_path(spark, name), spark.conf.get(cleanup, None)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(cleanup, before) if before is not None else spark.conf.unset(cleanup)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stash_path = path
+    unstash(*done)
+    return out
+
+
+def unstash(*stashes: DataFrame) -> None:
+    """Delete stashes that nothing reads any more."""
+    for x in stashes:
+        drop_path(x.sparkSession, x.stash_path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -52,18 +71,88 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def row_name() -> Column:
+    """A name of 128 bits of a row by its doc_id and text; rows alike in both share it."""
+    return F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit("b"), "doc_id", "text").alias("b"))
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row, about."""
+    total = F.lit(16).cast("long")
+    for f in df.schema.fields:
+        c, kind = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif isinstance(kind, T.ArrayType):
+            inner = kind.elementType
+            total = total + F.greatest(F.size(c), F.lit(0)) * (8 * len(inner.fields) if isinstance(inner, T.StructType) else 32 if isinstance(inner, T.StringType) else 8) + 8
+        else:
+            total = total + (8 * len(kind.fields) if isinstance(kind, T.StructType) else 8)
+    return total
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    rows, size = df.select(row_bytes(df).alias("n")).limit(max_rows + 1).agg(F.count("*"), F.sum("n")).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
+
+
 def sized_join(left: DataFrame, right: DataFrame, on, how: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast `right` if a count shows at most max_rows rows, else a shuffle join (AQE splits skewed keys)."""
-    small = right.limit(max_rows + 1).count() <= max_rows
-    return left.join(F.broadcast(right) if small else right.hint("merge"), on, how)
+    """Broadcast `right` if its rows and bytes are counted as few, else a shuffle join (AQE splits skewed keys)."""
+    return left.join(F.broadcast(right) if is_small(right, max_rows) else right.hint("merge"), on, how)
+
+
+class Bitmap:
+    """A bitmap of hashed keys, broadcast: rows whose bit is unset have none of the keys; the others may."""
+
+    def __init__(self, keys: DataFrame, key: Column):
+        n, self.spark = keys.count(), keys.sparkSession
+        self.bits = max(BITMAP_BITS[0], min(BITMAP_BITS[1], (16 * n).bit_length()))
+        at = F.shiftrightunsigned(key, 64 - self.bits) + 1  # Spark numbers bits from 1
+        maps = keys.select(at.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
+        size = 1 << 12  # bytes of one of Spark's bitmaps
+        bits = np.zeros((1 << self.bits) // 8, np.uint8)
+        for k, found in maps.toLocalIterator():
+            bits[(k - 1) * size : k * size] = np.frombuffer(found, np.uint8)
+        self.shared = self.spark.sparkContext.broadcast(bits)
+
+    def split(self, rows: DataFrame, key: str, may: bool = True) -> DataFrame:
+        """Rows, with the long column `key`, that may hold one of the keys; or, with may=False, those that cannot."""
+        shared, shift = self.shared, np.uint64(64 - self.bits)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                at = (b[key].to_numpy(zero_copy_only=False).view(np.uint64) >> shift).astype(np.int64)
+                hit = (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+                yield b.filter(pa.array(hit if may else ~hit))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    def holds(self, key: Column) -> Column:
+        """The same as a boolean column, for wide rows of which the rest should not pass through Python."""
+        shared, shift = self.shared, np.uint64(64 - self.bits)
+
+        @F.pandas_udf("boolean")
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for b in batches:
+                at = (b.to_numpy(np.int64).view(np.uint64) >> shift).astype(np.int64)
+                yield pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
+
+        return run(key)
 
 
 def hot_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join on one key when a few keys may hold most rows of `left`; keys of `right` are unique.
 
-    Keys above HOT_SHARE of the rows, at most 1 / HOT_SHARE of them, are joined by broadcast, the rest by shuffle.
+    Keys above HOT_SHARE of the rows, at most 1 / HOT_SHARE of them, are joined by broadcast, the rest by shuffle. Rows
+    with a null key have no match and take part in no join.
     """
-    counts = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
+    if is_small(right):
+        return left.join(F.broadcast(right), key, "left")
+    lone = left.filter(F.col(key).isNull())
+    for f in right.drop(key).schema.fields:
+        lone = lone.withColumn(f.name, F.lit(None).cast(f.dataType))
+    left = left.filter(F.col(key).isNotNull())
+    counts = left.groupBy(key).agg(F.count("*").alias("__n"))
     total = left.count()
     hot = counts.filter(F.col("__n") > max(1, total * HOT_SHARE)).select(key, F.lit(True).alias("__hot"))
     hot = stash(hot, "hot")
@@ -71,7 +160,7 @@ def hot_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame
     hot_right = right.join(F.broadcast(hot), key, "left_semi")
     warm = marked.filter(F.col("__hot")).drop("__hot").join(F.broadcast(hot_right), key, "left")
     cold = marked.filter(F.col("__hot").isNull()).drop("__hot").join(right, key, "left")
-    return warm.unionByName(cold)
+    return warm.unionByName(cold).unionByName(lone)
 
 
 def deal_blocks(rows: DataFrame, key: str, node: str, block: int) -> DataFrame:
@@ -120,20 +209,19 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     Alternating large-star and small-star steps; each is a pre-aggregated minimum and a join, so no neighbour
     list is ever gathered. Raises if max_rounds do not suffice.
     """
-    e = edges.filter("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v").distinct()
-    e = stash(e, "edges")
+    e = stash(edges.filter("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v").distinct(), "edges")
     state = None
     for _ in range(max_rounds):
         both = e.unionByName(e.selectExpr("v AS u", "u AS v"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.filter("v > u").join(low, "u").selectExpr("v AS u", "m AS v").filter("u <> v").distinct()
-        large = stash(large, "large")
+        large = both.filter("v > u").join(low.hint("merge"), "u").selectExpr("v AS u", "m AS v").filter("u <> v").distinct()
+        large = stash(large, "large", (e,))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(low, "u").selectExpr("v AS u", "m AS v").filter("u <> v")
+            large.join(low.hint("merge"), "u").selectExpr("v AS u", "m AS v").filter("u <> v")
             .unionByName(low.selectExpr("u", "m AS v")).distinct()
         )
-        e = stash(small, "small")
+        e = stash(small, "small", (large,))
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

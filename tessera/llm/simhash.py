@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, deal_blocks, hot_safe_left_join, read, sized_join, stash, whole_groups
-from tessera.llm.near_copies import near_copy_groups, row_hash
+from tessera.llm.common import Bitmap, components, deal_blocks, hot_safe_left_join, read, row_name, sized_join, stash, whole_groups
+from tessera.llm.near_copies import near_copy_groups
 
 SHINGLE_WORDS, SEED, MAX_DIFF = 3, 42, 3
 #: Rows of one anchor beyond which it is cut into blocks of about so many.
@@ -52,15 +52,15 @@ def fingerprint(text: bytes) -> int:
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
-    """(doc_id, text) -> doc_id, rid (hash of both), fp (64 bits as a signed long)."""
+    """(doc_id, text) -> doc_id, rid (a name of both), fp (64 bits as a signed long)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t.as_py() or b"") for t in b["text"]]
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["rid"], pa.array(fps, pa.int64())], ["doc_id", "rid", "fp"])
 
-    rows = documents.select(F.col("doc_id").cast("long"), row_hash().alias("rid"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, rid long, fp long")
+    rows = documents.select(F.col("doc_id").cast("long"), row_name().alias("rid"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, rid struct<a:long,b:long>, fp long")
 
 
 def anchors(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,7 +131,7 @@ def simhash_groups(documents: DataFrame) -> DataFrame:
     roots = components(links(fps.select("fp"))).withColumnRenamed("node", "fp")
     joined = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = stash(joined.join(least, "root").select("fp", "component_id", "root"), "named")
+    named = stash(joined.join(least, "root").select("fp", "component_id", "root"), "named", (fps,))
     out = hot_safe_left_join(docs, named, "fp")
     return out.select("doc_id", "rid", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "root")
 
@@ -139,17 +139,24 @@ def simhash_groups(documents: DataFrame) -> DataFrame:
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     """One document of each component of near copies, that of the smallest doc_id, with all its columns.
 
-    The components are those of five-word Jaccard similarity (near_copies.py), not of op8's fingerprints.
+    The components are those of five-word Jaccard similarity (near_copies.py), not of op8's fingerprints. Of rows alike in
+    doc_id and text one stays. Texts of which none is dropped, as a bitmap of the dropped ones tells, are not shuffled.
     """
-    groups = stash(near_copy_groups(documents), "groups")
-    kept = stash(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("rid").alias("__rid")).select("__rid"), "kept")
-    out = sized_join(documents.withColumn("__rid", row_hash()), kept, "__rid", "left_semi")
-    again = groups.groupBy("rid").agg(F.count("*").alias("n")).filter("n > 1").selectExpr("rid AS __rid")
-    again = stash(again.join(kept.hint("merge"), "__rid", "left_semi"), "again")
-    if not again.isEmpty():  # rows alike in doc_id and text: the first of each stays
-        single = sized_join(out, again, "__rid", "left_anti")
-        out = single.unionByName(sized_join(out, again, "__rid", "left_semi").dropDuplicates(["__rid"]))
-    return out.drop("__rid")
+    found = near_copy_groups(documents)
+    groups = stash(found, "near_copies", found.made_from)
+    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("rid").alias("rid"))
+    size = groups.groupBy("rid").agg(F.count("*").alias("n"))
+    # of each name with a row to drop: whether one row of it stays
+    names = sized_join(size, first.select("rid", F.lit(True).alias("stays")), "rid", "left")
+    touched = names.filter("stays IS NULL OR n > 1").select("rid", F.coalesce("stays", F.lit(False)).alias("stays"))
+    touched = stash(touched, "touched", (groups,))
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    rows = documents.select(row_name().alias("rid"), F.struct(*columns).alias("row"))
+    rows = rows.withColumn("may", Bitmap(touched, F.col("rid.a")).holds(F.col("rid.a")))
+    met = sized_join(rows.filter("may"), touched, "rid", "left").select("rid", "row", "stays")
+    single = met.filter("stays").dropDuplicates(["rid"])
+    out = rows.filter("NOT may").select("row").unionByName(met.filter("stays IS NULL").select("row")).unionByName(single.select("row"))
+    return out.select("row.*")
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
