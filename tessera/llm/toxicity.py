@@ -5,8 +5,9 @@ WINDOW words is the average of its n-grams' vectors, put through a linear softma
 softmax-pooled at training so that few toxic words in a long text count, and by the highest window when scoring.
 All windows of the whole text count. Misspellings share most n-grams with the words they were made from.
 
-Training takes labelled documents whose crc32(doc_id as text) mod 5 is not 0, of each label up to TRAIN_CHARS characters
-of text in expectation (chosen by hash), so the sample, which is trained on the driver, is bounded.
+Training takes labelled documents whose crc32(doc_id as text) mod 5 is not 0 and that have up to TRAIN_LONGEST characters,
+of each label up to TRAIN_CHARS characters of text in expectation (chosen by hash), so the sample, which is trained on
+the driver, is bounded. Gradients are added up over blocks of documents, so what an epoch holds does not grow with it.
 
 Defined results: null, empty and blank texts score by the bias alone; repeated rows score alike; repeated label rows
 count once each; null labels are not learnt from; without both labels every score is the share of toxic labels (0 with
@@ -19,14 +20,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, stash
+from tessera.llm.common import read, sized_join, stash
 
 WINDOW, BUCKETS, DIM, GRAMS = 3, 1 << 16, 16, (3, 4, 5)
 TRAIN_CHARS = {1: 4_000_000, 0: 6_000_000}
+TRAIN_LONGEST = 1_000_000
 EPOCHS, RATE, DECAY, SEED = 80, 0.1, 1e-4, 7
+#: Tokens of a block of training documents, about, and words whose n-grams are hashed at once.
+BLOCK_TOKENS, BLOCK_WORDS = 1 << 16, 10_000
 #: Words whose features are remembered in a worker.
 CACHE_WORDS = 200_000
 
@@ -57,20 +62,41 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def add_gradient(per_word: np.ndarray, tokens: np.ndarray, size: np.ndarray, labels: np.ndarray, weight: np.ndarray,
+                 of_word: np.ndarray, count: np.ndarray, sharp: float, bias: float) -> float:
+    """Adds the gradient of a block of documents to that of each word's n-grams, and gives the bias's."""
+    start = np.cumsum(size) - size
+    doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    first = np.maximum(np.arange(len(tokens)) - (WINDOW - 1), start[doc])  # a window ends at each token
+    grams_to = np.concatenate([[0], np.cumsum(count[tokens])])
+    width = np.maximum(grams_to[1:] - grams_to[first], 1)
+    upto = np.concatenate([[0], np.cumsum(of_word[tokens])])
+    z = (upto[1:] - upto[first]) / width
+    a = np.exp(np.minimum(sharp * (z - np.maximum.reduceat(z, start)[doc]), 0))
+    a /= np.add.reduceat(a, start)[doc]
+    pooled = np.add.reduceat(a * z, start) + bias
+    err = weight * (1 / (1 + np.exp(-pooled)) - labels)
+    dz = err[doc] * a / width
+    edge = np.bincount(first, dz, len(tokens) + 1)
+    edge[1:] -= dz  # a window adds to its tokens, first to here
+    per_word += np.bincount(tokens, np.cumsum(edge)[:-1], len(count))
+    return float(err.sum())
+
+
 def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Weight of each bucket (its vector through the softmax, toxic less clean) and the bias. Full-batch Adagrad."""
     ids: dict[bytes, int] = {}
     docs = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t)] or [ids.setdefault(b"", len(ids))], np.int32) for t in texts]
-    bucket, count = word_grams(list(ids))
+    words = list(ids)
+    parts = [word_grams(words[at : at + BLOCK_WORDS]) for at in range(0, len(words), BLOCK_WORDS)]
+    bucket, count = (np.concatenate(x).astype(np.int32) for x in zip(*parts))
+    del ids, words, parts
     size = np.array([len(d) for d in docs])
     tokens = np.concatenate(docs)
     start = np.cumsum(size) - size
-    doc = np.repeat(np.arange(len(docs), dtype=np.int32), size)
-    first = np.maximum(np.arange(len(tokens), dtype=np.int32) - (WINDOW - 1), start.astype(np.int32)[doc])  # a window ends at each token
-    grams_to = np.concatenate([[0], np.cumsum(count[tokens])]).astype(np.int32)
-    width = np.maximum(grams_to[1:] - grams_to[first], 1)
-    bucket, count = bucket.astype(np.int32), count.astype(np.int32)
-    del docs, ids, grams_to
+    blocks = np.searchsorted(np.cumsum(size), np.arange(BLOCK_TOKENS, len(tokens) + BLOCK_TOKENS, BLOCK_TOKENS))
+    blocks = np.unique(np.concatenate([[0], np.minimum(blocks + 1, len(docs))]))
+    del docs
     word_at = np.cumsum(count) - count
     filled = count > 0
     rng = np.random.default_rng(SEED)
@@ -85,22 +111,12 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
         score = vec @ out
         of_word = np.zeros(len(count))
         of_word[filled] = np.add.reduceat(score[bucket], word_at[filled]) if filled.any() else 0
-        upto = np.concatenate([[0], np.cumsum(of_word[tokens])])
-        z = (upto[1:] - upto[first]) / width
-        top = np.maximum.reduceat(z, start)
-        a = np.exp(np.minimum(sharp * (z - top[doc]), 0))
-        a /= np.add.reduceat(a, start)[doc]
-        pooled = np.add.reduceat(a * z, start) + bias
-        err = weight * (1 / (1 + np.exp(-pooled)) - labels)
-        dz = err[doc] * a / width
-        del a, z, top, upto
-        edge = np.zeros(len(tokens) + 1)
-        np.add.at(edge, first, dz)
-        edge[1:] -= dz  # a window adds to its tokens, first to here
-        per_token = np.cumsum(edge)[:-1]
-        per_word = np.bincount(tokens, per_token, len(count))
+        per_word, gb = np.zeros(len(count)), 0.0
+        for i, j in zip(blocks[:-1], blocks[1:]):
+            part = tokens[start[i] : start[i] + size[i:j].sum()]
+            gb += add_gradient(per_word, part, size[i:j], labels[i:j], weight[i:j], of_word, count, sharp, bias)
         delta = np.bincount(bucket, np.repeat(per_word, count), BUCKETS).astype(np.float32)
-        gv, go, gb = np.outer(delta, out) + DECAY / len(labels) * vec, delta @ vec, err.sum()
+        gv, go = np.outer(delta, out) + DECAY / len(labels) * vec, delta @ vec
         g2v, g2o, g2b = g2v + gv * gv, g2o + go * go, g2b + gb * gb
         vec -= RATE * gv / np.sqrt(g2v)
         out -= RATE * go / np.sqrt(g2o)
@@ -161,30 +177,34 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, chars: dict[int, int] = TRAIN_CHARS) -> DataFrame:
+def training_sample(documents: DataFrame, labels: DataFrame, chars: dict[int, int] = TRAIN_CHARS, longest: int = TRAIN_LONGEST) -> DataFrame:
     """text, toxic: documents to learn from, of each label up to `chars` characters in expectation, chosen by hash."""
-    y = labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", "toxic").filter(~held_out(F.col("doc_id")))
-    sized = documents.select("doc_id", F.length("text").alias("size")).join(y, "doc_id").groupBy("toxic").agg(F.sum("size").alias("size"))
+    y = labels.select("doc_id", "toxic").filter(F.col("toxic").isin(0, 1)).filter(~held_out(F.col("doc_id")))
+    d = documents.select("doc_id", "text").filter(F.coalesce(F.length("text"), F.lit(0)) <= longest)
+    sized = d.select("doc_id", F.length("text").alias("size")).join(y, "doc_id").groupBy("toxic").agg(F.sum("size").alias("size"))
     keep = F.lit(False)
     for r in sized.collect():
         share = min(1.0, chars[r["toxic"]] / max(1, r["size"] or 0))
         keep = keep | ((F.col("toxic") == r["toxic"]) & (F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))))
     chosen = stash(y.filter(keep), "train_ids")
-    return documents.join(chosen, "doc_id").select(F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"), "toxic").orderBy(F.xxhash64("text"), "toxic")
+    return sized_join(d, chosen, "doc_id", "inner").select(F.encode(F.coalesce("text", F.lit("")), "UTF-8").alias("text"), "toxic").orderBy(F.xxhash64("text"), "toxic")
 
 
 def toxicity_scorer(documents: DataFrame, labels: DataFrame):
     """Learn from labelled documents; gives a function of a text column (binary) to a score column."""
     sample = training_sample(documents, labels).toArrow()
     texts, y = sample["text"].to_pylist(), np.array(sample["toxic"].to_pylist(), float)
+    del sample
+    pa.default_memory_pool().release_unused()
     if len(set(y.tolist())) == 2:
         weights, bias = train(texts, y)
-        slope, offset = calibrate(np.array(Scorer(weights, bias).best(texts)), y)
+        scorer = Scorer(weights, bias)
+        slope, offset = calibrate(np.array([z for at in range(0, len(texts), 256) for z in scorer.best(texts[at : at + 256])]), y)
         weights, bias = weights * slope, bias * slope + offset
     else:
         share = float(y.mean()) if len(y) else 0.0
         weights, bias = np.zeros(BUCKETS), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
-    del sample, texts
+    del texts
     model = documents.sparkSession.sparkContext.broadcast((weights, bias))  # BUCKETS doubles: 512 kB
 
     @F.pandas_udf("double")
@@ -207,7 +227,8 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """documents without those predicted toxic, all columns kept."""
     score = toxicity_scorer(documents, labels)(F.col("text").cast("binary"))
-    return documents.withColumn("__toxicity", score).filter("__toxicity < 0.5").drop("__toxicity")
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"), score.alias("toxicity"))
+    return rows.filter("toxicity < 0.5").select("row.*")
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
