@@ -251,7 +251,8 @@ def drop_leaks(documents: DataFrame, items: DataFrame, edited: bool = False) ->
     """documents that leak no item, all columns kept."""
     for shard in build(items):
         leaks = leak_finder(documents.sparkSession, shard, edited)(F.col("text"))
-        documents = documents.withColumn("__leaks", leaks).filter("size(__leaks) = 0").drop("__leaks")
+        rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"), leaks.alias("leaks"))
+        documents = rows.filter("size(leaks) = 0").select("row.*")
     return documents
 
 

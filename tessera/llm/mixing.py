@@ -127,10 +127,10 @@ def copies(cap: float = MAX_REPEAT) -> Column:
 def mix_documents(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MAX_REPEAT, seed: str = "mix") -> DataFrame:
     """The mix: each document as often as it is taken, with all its columns."""
     plan = mixing_plan(documents, weights, cap, seed)
-    out = sized_join(with_keys(documents, seed), plan, "__sid", "inner")
+    rows = documents.select("doc_id", "source", "text", F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"))
+    out = sized_join(with_keys(rows, seed).drop("doc_id", "source", "text"), plan, "__sid", "inner")
     times = F.when(F.col("__size") > 0, copies(cap)).otherwise(0).cast("int")
-    out = out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times)))
-    return out.select(*(F.col(f"`{c}`") for c in documents.columns))
+    return out.select("row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")
 
 
 def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MAX_REPEAT, seed: str = "mix") -> DataFrame:
