@@ -42,23 +42,25 @@ def summary_card(rows: DataFrame) -> DataFrame:
 
 
 def hierarchy_counts(rows: DataFrame, upper: str, lower: str, root: str = "Total") -> DataFrame:
-    """label, parent, value of a two-level tree: a rollup gives all three levels in one pass."""
-    level = F.grouping_id()
-    got = rows.filter(F.col(upper).isNotNull() & F.col(lower).isNotNull()).rollup(upper, lower).agg(F.count("*").alias("value"), level.alias("level"))
-    label = F.when(F.col("level") == 3, F.lit(root)).when(F.col("level") == 1, F.col(upper)).otherwise(F.concat_ws(" - ", upper, lower))
-    parent = F.when(F.col("level") == 3, F.lit("")).when(F.col("level") == 1, F.lit(root)).otherwise(F.col(upper))
+    """label, parent, value of a two-level tree: a rollup gives all three levels in one pass. A null group is called NA."""
+    named = rows.select(F.coalesce(upper, F.lit("NA")).alias("u"), F.coalesce(lower, F.lit("NA")).alias("l"))
+    got = named.rollup("u", "l").agg(F.count("*").alias("value"), F.grouping_id().alias("level"))
+    label = F.when(F.col("level") == 3, F.lit(root)).when(F.col("level") == 1, F.col("u")).otherwise(F.concat_ws(":", "u", "l"))
+    parent = F.when(F.col("level") == 3, F.lit("")).when(F.col("level") == 1, F.lit(root)).otherwise(F.col("u"))
     return got.select(label.alias("label"), parent.alias("parent"), "value")
 
 
-def isotype_uniqueness(rows: DataFrame) -> DataFrame:
-    """label, parent, value: isotypes and, in each, unique and other peptides; all twelve leaves, 0 where none."""
+def isotype_uniqueness(rows: DataFrame, root: str = "Total") -> DataFrame:
+    """label, parent, value: a root, isotypes and, in each, unique and other peptides; all twelve leaves, 0 where none."""
     spark = rows.sparkSession
     counts = rows.groupBy("isotype", uniqueness(F.col("n_antibody")).alias("kind")).agg(F.count("*").alias("value"))
     grid = spark.range(1).select(F.explode(F.array(*map(F.lit, ISOTYPES))).alias("isotype")).select(
         "isotype", F.explode(F.array(F.lit("Unique"), F.lit("non-Unique"))).alias("kind"))
     leaves = grid.join(counts, ["isotype", "kind"], "left").withColumn("value", F.coalesce("value", F.lit(0)))
-    tops = leaves.groupBy("isotype").agg(F.sum("value").alias("value")).select(F.col("isotype").alias("label"), F.lit("").alias("parent"), "value")
-    return tops.unionByName(leaves.select(F.concat_ws(" - ", "isotype", "kind").alias("label"), F.col("isotype").alias("parent"), "value"))
+    got = leaves.rollup("isotype", "kind").agg(F.sum("value").alias("value"), F.grouping_id().alias("level"))
+    label = F.when(F.col("level") == 3, F.lit(root)).when(F.col("level") == 1, F.col("isotype")).otherwise(F.concat_ws(":", "isotype", "kind"))
+    parent = F.when(F.col("level") == 3, F.lit("")).when(F.col("level") == 1, F.lit(root)).otherwise(F.col("isotype"))
+    return got.select(label.alias("label"), parent.alias("parent"), "value")
 
 
 def isotype_table(served: DataFrame, by: str = "disease_no") -> DataFrame:

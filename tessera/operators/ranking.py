@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.sources.scratch import materialized
+
 
 def disease_catalog(metadata: DataFrame, control: str = "None") -> DataFrame:
     """disease, total_unique_sequences, disease_no: D1.. by falling total, then name; the control keeps its own name.
@@ -20,18 +22,22 @@ def disease_catalog(metadata: DataFrame, control: str = "None") -> DataFrame:
 def patient_codes(metadata: DataFrame, key: str) -> DataFrame:
     """key, patient: P<k> by the rank of different keys in binary order."""
     keys = metadata.select(key).filter(F.col(key).isNotNull()).distinct()
-    return keys.withColumn("patient", F.concat(F.lit("P"), F.row_number().over(Window.orderBy(key)).cast("string")))
+    return row_numbers(keys, [F.col(key)], "__code").select(key, F.concat(F.lit("P"), F.col("__code").cast("string")).alias("patient"))
 
 
 def row_numbers(df: DataFrame, order: list, out: str = "row_id") -> DataFrame:
-    """Dense 1..N over a total order, without a one-task window: ranges are sorted apart and offset by their counts."""
-    sorted_ = df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
-    w = Window.partitionBy("__part").orderBy(*order)
-    inner = sorted_.withColumn("__n", F.row_number().over(w))
-    counts = sorted_.groupBy("__part").agg(F.count("*").alias("__c"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("__part", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__base"))
-    return inner.join(F.broadcast(counts), "__part").withColumn(out, F.col("__n") + F.col("__base")).drop("__part", "__n", "__base")
+    """Dense 1..N over a total order, without a one-task window: ranges are sorted apart and offset by their counts.
+
+    The sorted ranges are written once, so that counts and numbers tell of the same ranges. A column `out` is replaced.
+    """
+    names = [c for c in df.columns if c != out]
+    # in each partition the low 33 bits count its rows, the others are its number
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.monotonically_increasing_id().alias("at"))
+    placed = materialized(placed, "row_numbers").select("row", F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND((1 << 33) - 1).alias("n"))
+    counts = placed.groupBy("part").agg(F.count("*").alias("c"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    counts = counts.select("part", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"))
+    return placed.join(F.broadcast(counts), "part").select("row.*", (F.col("n") + F.col("base") + 1).alias(out))
 
 
 def peptide_frequency(pairs: DataFrame, n_antibodies: int | None = None) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.ranking import row_numbers
+
 #: Rows a side may have to be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -30,9 +32,25 @@ def exclusive(df: DataFrame, group: str, key: str = "sequence") -> DataFrame:
     return df.join(only, key, "left_semi")
 
 
-def flag_members(df: DataFrame, members: DataFrame, key: str, flag: str) -> DataFrame:
+def intersect(df: DataFrame, other: DataFrame, key: str = "sequence") -> DataFrame:
+    """Different keys that both have."""
+    return df.select(key).intersect(other.select(key))
+
+
+def files_in_metadata(files: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Files, or rows with a filename, that the metadata knows."""
+    return restrict(files, metadata, "filename")
+
+
+def one_disease(table: DataFrame, disease_no: str) -> DataFrame:
+    """Rows of one disease of a served table; as it is partitioned by disease, only that partition is read."""
+    return table.filter(F.col("disease_no") == disease_no)
+
+
+def flag_members(df: DataFrame, members: DataFrame, key: str | list[str], flag: str) -> DataFrame:
     """Adds flag: 1 if the key is in members, else 0."""
-    marks = members.select(F.col(key)).distinct().withColumn(flag, F.lit(1))
+    keys = [key] if isinstance(key, str) else key
+    marks = members.select(*keys).distinct().withColumn(flag, F.lit(1))
     return df.join(marks, key, "left").withColumn(flag, F.coalesce(flag, F.lit(0)))
 
 
@@ -50,14 +68,17 @@ def exactly_one(df: DataFrame, what: str = "selection") -> DataFrame:
     return df
 
 
-def distinct_counts_to_rows(df: DataFrame, key: str, counted: str, out: str) -> DataFrame:
-    """Adds the number of different values of a key's rows; a null counts as a value."""
-    n = df.groupBy(key).agg((F.count_distinct(counted) + F.max(F.col(counted).isNull().cast("int"))).alias(out))
-    return df.join(n, key)
+def distinct_counts_to_rows(df: DataFrame, key: str | list[str], counted: str, out: str) -> DataFrame:
+    """Adds the number of different values of a key's rows; a null counts as a value.
+
+    A window over the key needs no shuffle where the rows are dealt by it already, as after a join on it.
+    """
+    w = Window.partitionBy(*([key] if isinstance(key, str) else key))
+    return df.withColumn(out, F.size(F.collect_set(counted).over(w)) + F.max(F.col(counted).isNull().cast("int")).over(w))
 
 
 def values_with_all(df: DataFrame, column: str, first: str = "All") -> DataFrame:
     """Sorted different values of a column, after a first choice: place, value."""
     found = df.select(F.col(column).alias("value")).filter("value IS NOT NULL").distinct()
-    ranked = found.select((F.row_number().over(Window.orderBy("value"))).alias("place"), "value")
-    return df.sparkSession.range(1).select(F.lit(0).alias("place"), F.lit(first).alias("value")).unionByName(ranked)
+    ranked = row_numbers(found, [F.col("value")], "place").select("place", "value")
+    return df.sparkSession.range(1).select(F.lit(0).cast("long").alias("place"), F.lit(first).alias("value")).unionByName(ranked)

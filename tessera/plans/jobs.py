@@ -6,12 +6,17 @@ btype, isotype, patient, unique_sequences; proteins: name, sequence.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import sequence as S
-from tessera.operators import ranking, sets
+from tessera.operators import facets, ranking, sets
 from tessera.operators.facets import ISOTYPES
+from tessera.sources import sinks
+from tessera.sources.scratch import materialized
 
 
 def standard_peptides(proteins: DataFrame, rule: str = "trypsin", longer_than: int = 1) -> DataFrame:
@@ -25,12 +30,27 @@ def antibody_ids(antibodies: DataFrame) -> DataFrame:
     return rows.withColumn("antibody_id", F.concat(F.lit("ab_"), F.sha2("sequence_alignment_aa", 256)))
 
 
+def digest(antibodies: DataFrame, standard: DataFrame, rule: str = "trypsin") -> DataFrame:
+    """disease, antibody_id, sequence, filenames: peptides over 3 long that no standard protein has, of each different antibody.
+
+    Each antibody is digested once; rows by antibody and rows by file are both read off the result.
+    """
+    rows = antibodies.filter("sequence_alignment_aa <> ''").groupBy("disease", "sequence_alignment_aa").agg(F.collect_set("filename").alias("filenames"))
+    rows = rows.withColumn("antibody_id", F.concat(F.lit("ab_"), F.sha2("sequence_alignment_aa", 256)))
+    return sets.subtract(S.peptides(rows, "sequence_alignment_aa", ["disease", "antibody_id", "filenames"], rule, 1, 3), standard)
+
+
 def digest_by_antibody(antibodies: DataFrame, standard: DataFrame, rule: str = "trypsin") -> DataFrame:
     """disease, antibody_id, sequence: peptides over 3 long that no standard protein has."""
     pairs = S.peptides(antibody_ids(antibodies), "sequence_alignment_aa", ["disease", "antibody_id"], rule, 1, 3)
     return sets.subtract(pairs, standard)
 
 
+def by_file(digested: DataFrame) -> DataFrame:
+    """disease, filename, sequence of a digest."""
+    return digested.select("disease", "sequence", F.explode("filenames").alias("filename")).distinct()
+
+
 def digest_by_file(antibodies: DataFrame, standard: DataFrame, rule: str = "trypsin") -> DataFrame:
     """disease, filename, sequence: as above, by file."""
     rows = antibodies.select("disease", "filename", "sequence_alignment_aa").distinct()
@@ -52,18 +72,27 @@ def cdr3_peptides(antibodies: DataFrame, rule: str = "trypsin") -> DataFrame:
     return S.peptides(rows, "cdr3_aa", ["disease"], rule).distinct()
 
 
-def peptide_table(specific: DataFrame, by_file: DataFrame, cdr3: DataFrame, metadata: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Served peptide table, a row for each peptide and file."""
-    stats = specific.groupBy("disease", "sequence").agg(F.count("*").alias("n_antibody")).withColumn("length_aa", F.length("sequence"))
-    marks = cdr3.select("disease", "sequence", F.lit(1).alias("cdr3"))
-    stats = stats.join(marks, ["disease", "sequence"], "left").withColumn("cdr3", F.coalesce("cdr3", F.lit(0)))
-    # the statistics of surviving peptides, so their join keeps what a semi join would
-    rows = by_file.select("disease", "sequence", "filename").join(stats, ["disease", "sequence"])
+def specific_statistics(pairs: DataFrame, control: str = "None") -> DataFrame:
+    """disease, sequence, n_antibody, length_aa of peptides that one disease alone has, and not the control: one aggregate.
+
+    Counts are summed before the shuffle, so a hot peptide is a row a task.
+    """
+    known = pairs.filter(F.col("disease").isNotNull())
+    found = known.groupBy("sequence").agg(F.min("disease").alias("disease"), F.max("disease").alias("last"), F.count("*").alias("n_antibody"))
+    found = found.filter((F.col("disease") == F.col("last")) & (F.col("disease") != control))
+    return found.select("disease", "sequence", "n_antibody", F.length("sequence").alias("length_aa"))
+
+
+def peptide_table(stats: DataFrame, files: DataFrame, cdr3: DataFrame, metadata: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Served peptide table, a row for each peptide and file, from statistics of the surviving peptides and rows by file."""
+    keys = ["disease", "sequence"]
+    stats = sets.flag_members(stats, cdr3, keys, "cdr3")
+    # the statistics are of surviving peptides, so their join keeps what a semi join would
+    rows = files.select(*keys, "filename").join(stats, keys)
     rows = rows.join(sets.small(metadata.select("filename", "patient", "bsource", "btype", "isotype")), "filename", "left")
-    patients = rows.groupBy("disease", "sequence").agg((F.count_distinct("patient") + F.max(F.col("patient").isNull().cast("int"))).alias("n_patient"))
-    rows = rows.join(patients, ["disease", "sequence"])
+    rows = sets.distinct_counts_to_rows(rows, keys, "patient", "n_patient")
     rows = rows.join(sets.small(catalog.select("disease", "disease_no")), "disease")
-    return rows.select("disease_no", "sequence", "filename", "patient", "bsource", "btype", "isotype", "n_patient", "n_antibody", "length_aa", "cdr3")
+    return rows.select("disease_no", "sequence", "filename", "patient", "bsource", "btype", "isotype", "n_patient", F.col("n_antibody"), "length_aa", "cdr3")
 
 
 def antibody_table(antibodies: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -72,16 +101,16 @@ def antibody_table(antibodies: DataFrame, catalog: DataFrame) -> DataFrame:
     return rows.join(sets.small(catalog.select("disease", "disease_no")), "disease").drop("disease")
 
 
-def disease_summary(peptides: DataFrame, antibodies: DataFrame, catalog: DataFrame) -> DataFrame:
-    """A row of counts for each disease with a peptide table."""
+def disease_summary(peptides: DataFrame, antibodies: DataFrame, catalog: DataFrame, metadata: DataFrame) -> DataFrame:
+    """A row of counts for each disease with a peptide table. Patients are those of the metadata, a null one counted once."""
     distinct_if = lambda c: F.count_distinct(F.when(c, F.col("sequence")))
     p = peptides.groupBy("disease_no").agg(
-        F.count_distinct("sequence").alias("n_peptide"), F.count_distinct("patient").alias("n_patient"),
-        F.max("n_antibody").alias("max_antibody"), F.max("n_patient").alias("max_patient"),
+        F.count_distinct("sequence").alias("n_peptide"), F.max("n_antibody").alias("max_antibody"), F.max("n_patient").alias("max_patient"),
         distinct_if(F.col("n_antibody") == 1).alias("n_peptide_unique"), distinct_if(F.col("n_antibody") > 1).alias("n_peptide_non_unique"),
         *(distinct_if(F.col("isotype") == i).alias(f"n_peptide_{i.lower()}") for i in ISOTYPES))
     a = antibodies.groupBy("disease_no").agg(F.count_distinct("sequence_alignment_aa").alias("n_antibody"))
-    return catalog.select("disease", "disease_no").join(p, "disease_no").join(a, "disease_no", "left")
+    m = metadata.groupBy("disease").agg((F.count_distinct("patient") + F.max(F.col("patient").isNull().cast("int"))).alias("n_patient"))
+    return catalog.select("disease", "disease_no").join(m, "disease", "left").join(p, "disease_no").join(a, "disease_no", "left")
 
 
 def largest_measures(summary: DataFrame, disease_no: str, default: int = 10) -> DataFrame:
@@ -98,7 +127,7 @@ def archived_build(digest: DataFrame, standard: DataFrame, units: DataFrame, ant
     data, number = S.name_parts(F.col("Protein_Name"))
     rows = sets.subtract(digest.withColumnRenamed("Sequence", "sequence"), standard).select("sequence", data.alias("data_id"), number.alias("antibody_id"))
     rows = rows.join(sets.small(units.select("data_id", "bioproject", "patient_id")), "data_id", "left")
-    rows = sets.minimum_support(rows, "patient_id", more_than)
+    rows = sets.minimum_support(materialized(rows, "archived"), "patient_id", more_than)
     genes = antibodies.select("antibody_id", S.gene_of_allele(F.col("v_call")).alias("v_call"))
     return rows.join(genes, "antibody_id").select("sequence", "data_id", "antibody_id", "bioproject", "patient_id", "v_call")
 
@@ -113,3 +142,41 @@ def top_peptide_database(pairs: DataFrame, n: int) -> DataFrame:
 def unprocessed(listing: DataFrame, ledger: DataFrame, key: str = "filename") -> DataFrame:
     """Listed units that the ledger lacks: what a retry runs."""
     return listing.join(ledger.select(key), key, "left_anti")
+
+
+def process_with_retry(listing: DataFrame, ledger: Callable[[], DataFrame], process: Callable[[DataFrame], None], passes: int = 2, key: str = "filename") -> DataFrame:
+    """Runs `process` on the units that the ledger lacks, and again on those it still lacks; gives what is left then.
+
+    process adds the units it got done to the ledger, which is read anew for each pass.
+    """
+    for _ in range(passes):
+        left = unprocessed(listing, ledger(), key)
+        if left.isEmpty():
+            break
+        process(left)
+    return unprocessed(listing, ledger(), key)
+
+
+def proteome(uniprot: DataFrame, refseq: DataFrame) -> DataFrame:
+    """accession, name, sequence of two FASTA sources, whose headers name a protein by different rules."""
+    a = uniprot.select(S.accession_between_pipes(F.col("name")).alias("accession"), "name", "sequence")
+    return a.unionByName(refseq.select(S.accession_first_word(F.col("name")).alias("accession"), "name", "sequence"))
+
+
+def facet_job(served: DataFrame, catalog: DataFrame, disease: str, out: str, background: DataFrame, day: date | None = None, **asked) -> dict[str, DataFrame | str]:
+    """What a user asks of one disease: rows, summary card, both trees, and three exports below `out`.
+
+    served is partitioned by disease_no, of which one partition is read; background holds FASTA records (value, part).
+    Exports are folders: csv of the rows, fasta of their peptides, and plus, the same with the background after it.
+    """
+    chosen = sets.exactly_one(catalog.filter(F.col("disease") == disease), disease).first()
+    rows = materialized(facets.facet_query(sets.one_disease(served, chosen["disease_no"]), **asked), "facet_rows")
+    numbered = ranking.row_numbers(rows, [F.col(c) for c in facets.FACET_COLUMNS], "number")
+    header = S.peptide_header(F.col("number"), F.lit(disease), F.col("bsource"), F.col("btype"), F.col("isotype"), F.col("n_antibody"))
+    records = sinks.fasta_lines(numbered.select(header.alias("header"), "sequence"), "header", "sequence")
+    path = {kind: f"{out}/{sinks.export_name(disease, kind, day)}" for kind in ("csv", "fasta", "plus")}
+    sinks.write_csv(rows, path["csv"])
+    sinks.write_fasta(records, path["fasta"])
+    sinks.write_fasta(sinks.concatenated(records, background), path["plus"])
+    return {"rows": rows, "card": facets.summary_card(rows), "sources": facets.hierarchy_counts(rows, "bsource", "btype", disease),
+            "isotypes": facets.isotype_uniqueness(rows, disease)} | path

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from datetime import date
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +13,7 @@ from tessera.operators import facets, ranking, sets
 from tessera.plans import jobs, oracle, tables
 from tessera.plans.oracle import MASS, PEPTIDES, over_base, simple_fragments, trypsin_fragments
 from tessera.sources import files, sinks
-from tessera.sources.scratch import scratch_path
+from tessera.sources.scratch import materialized, scratch_path
 from tessera.streaming.incremental import digest_new_files
 
 RULE = "simple"
@@ -30,12 +33,20 @@ def query(sql: str):
 
 
 class Build:
-    """The stages of the database build over one folder of tables."""
+    """The stages of the database build over one folder of tables; what several stages use is written once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.ab, self.meta = tables.antibodies(spark, sf_dir), tables.metadata(spark, sf_dir)
+        self.ab = tables.antibodies(spark, sf_dir)
         self.standard = jobs.standard_peptides(tables.proteins(spark, sf_dir), RULE)
-        self.catalog = ranking.disease_catalog(self.meta)
+        self.source = spark, sf_dir
+
+    @cached_property
+    def meta(self) -> DataFrame:
+        return materialized(tables.metadata(*self.source), "metadata")
+
+    @cached_property
+    def catalog(self) -> DataFrame:
+        return materialized(ranking.disease_catalog(self.meta), "catalog")
 
     @property
     def by_antibody(self) -> DataFrame:
@@ -45,23 +56,42 @@ class Build:
     def by_file(self) -> DataFrame:
         return jobs.digest_by_file(self.ab, self.standard, RULE)
 
+    @cached_property
+    def digested(self) -> DataFrame:
+        return materialized(jobs.digest(self.ab, self.standard, RULE), "digested")
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return self.digested.select("disease", "antibody_id", "sequence")
+
     @property
     def specific(self) -> DataFrame:
-        return jobs.disease_specific(self.by_antibody, jobs.control_peptides(self.by_file))
+        return jobs.disease_specific(self.pairs, self.pairs.filter("disease = 'None'").select("sequence"))
 
     @property
     def served(self) -> DataFrame:
-        return jobs.peptide_table(self.specific, self.by_file, jobs.cdr3_peptides(self.ab, RULE), self.meta, self.catalog)
+        return jobs.peptide_table(jobs.specific_statistics(self.pairs), jobs.by_file(self.digested), jobs.cdr3_peptides(self.ab, RULE), self.meta, self.catalog)
 
     @property
     def served_antibodies(self) -> DataFrame:
         return jobs.antibody_table(self.ab, self.catalog)
 
+    @cached_property
+    def served_path(self) -> str:
+        """The served peptide table, written by disease."""
+        path = scratch_path(self.source[0], "served")
+        sinks.write_served(self.served, path)
+        return path
+
+    @property
+    def served_table(self) -> DataFrame:
+        return self.source[0].read.parquet(self.served_path)
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most frequent disease-specific peptides."""
     b = Build(spark, sf_dir)
-    n = b.specific.groupBy("disease", "sequence").agg(F.count("*").alias("n_antibody"))
+    n = jobs.specific_statistics(b.by_antibody).drop("length_aa")
     return n.orderBy(F.desc("n_antibody"), "disease", "sequence").limit(100)
 
 
@@ -138,38 +168,39 @@ def o101_antibody_table(spark, sf_dir):
 _ISO = ", ".join(f"count(DISTINCT CASE WHEN isotype = '{i}' THEN sequence END) AS n_peptide_{i.lower()}" for i in facets.ISOTYPES)
 SUMMARY = f"""SELECT c.disease, c.disease_no, n_peptide, n_patient, max_antibody, max_patient, n_peptide_unique, n_peptide_non_unique,
     {', '.join(f'n_peptide_{i.lower()}' for i in facets.ISOTYPES)}, n_antibody FROM cat c JOIN (SELECT disease_no, count(DISTINCT sequence) AS n_peptide,
-    count(DISTINCT patient) AS n_patient, max(n_antibody) AS max_antibody, max(n_patient) AS max_patient,
+    max(n_antibody) AS max_antibody, max(n_patient) AS max_patient,
     count(DISTINCT CASE WHEN n_antibody = 1 THEN sequence END) AS n_peptide_unique, count(DISTINCT CASE WHEN n_antibody > 1 THEN sequence END) AS n_peptide_non_unique, {_ISO}
-    FROM datdb GROUP BY 1) USING (disease_no) LEFT JOIN (SELECT disease_no, count(DISTINCT sequence_alignment_aa) AS n_antibody FROM abdb GROUP BY 1) USING (disease_no)"""
+    FROM datdb GROUP BY 1) USING (disease_no) LEFT JOIN (SELECT disease_no, count(DISTINCT sequence_alignment_aa) AS n_antibody FROM abdb GROUP BY 1) USING (disease_no)
+    LEFT JOIN (SELECT disease, count(DISTINCT patient) + max(CASE WHEN patient IS NULL THEN 1 ELSE 0 END) AS n_patient FROM meta GROUP BY 1) USING (disease)"""
 
 
 @query(over_base(SUMMARY))
 def o102_disease_summary(spark, sf_dir):
     b = Build(spark, sf_dir)
-    return jobs.disease_summary(b.served, b.served_antibodies, b.catalog)
+    return jobs.disease_summary(b.served_table, b.served_antibodies, b.catalog, b.meta)
 
 
 @query(over_base(f"SELECT coalesce(max(max_antibody), 10) AS max_antibody, coalesce(max(max_patient), 10) AS max_patient FROM ({SUMMARY}) WHERE disease_no = 'D1'"))
 def o51_largest_measures(spark, sf_dir):
     b = Build(spark, sf_dir)
-    return jobs.largest_measures(jobs.disease_summary(b.served, b.served_antibodies, b.catalog), "D1")
+    return jobs.largest_measures(jobs.disease_summary(b.served_table, b.served_antibodies, b.catalog, b.meta), "D1")
 
 
 @query(over_base("SELECT * FROM isos"))
 def o103_isotype_table(spark, sf_dir):
-    return facets.isotype_table(Build(spark, sf_dir).served)
+    return facets.isotype_table(Build(spark, sf_dir).served_table)
 
 
 @query(over_base(f"SELECT c.disease_no, c.disease, c.total_unique_sequences, {', '.join(f'coalesce({i}, 0) AS {chr(34)}{i}{chr(34)}' for i in facets.ISOTYPES)} FROM cat c LEFT JOIN isos USING (disease_no)"))
 def o45_catalog_with_isotypes(spark, sf_dir):
     b = Build(spark, sf_dir)
-    return facets.catalog_with_isotypes(b.catalog, facets.isotype_table(b.served))
+    return facets.catalog_with_isotypes(b.catalog, facets.isotype_table(b.served_table))
 
 
 @query(over_base("SELECT * FROM cat WHERE disease_no IN (SELECT disease_no FROM datdb)"))
 def o29_served_catalog(spark, sf_dir):
     b = Build(spark, sf_dir)
-    return sets.restrict(b.catalog, b.served, "disease_no")
+    return sets.restrict(b.catalog, b.served_table, "disease_no")
 
 
 # ---- questions to the served table
@@ -184,10 +215,7 @@ _ASKED = {
 
 @query(over_base(" UNION ALL ".join(f"SELECT '{k}' AS asked, {', '.join(facets.FACET_COLUMNS)} FROM datdb WHERE {sql}" for k, (_, sql) in _ASKED.items())))
 def o27_facet_queries(spark, sf_dir):
-    served = Build(spark, sf_dir).served
-    path = scratch_path(spark, "served")
-    sinks.write_served(served, path)
-    served, out = spark.read.schema(served.schema).parquet(path), None
+    served, out = Build(spark, sf_dir).served_table, None
     for k, (asked, _) in _ASKED.items():
         rows = facets.facet_query(served, **asked).select(F.lit(k).alias("asked"), "*")
         out = rows if out is None else out.unionByName(rows)
@@ -197,34 +225,72 @@ def o27_facet_queries(spark, sf_dir):
 @query(over_base("""SELECT count(*) AS n_rows, count(*) FILTER (n_antibody = 1) AS n_unique, count(*) FILTER (n_antibody > 1) AS n_non_unique,
     count(*) FILTER (cdr3 = 1) AS n_cdr3, count(*) FILTER (cdr3 = 0) AS n_non_cdr3 FROM datdb"""))
 def o54_summary_card(spark, sf_dir):
-    return facets.summary_card(Build(spark, sf_dir).served)
+    return facets.summary_card(Build(spark, sf_dir).served_table)
+
+
+_SOURCES = """SELECT '{root}' AS label, '' AS parent, count(*) AS value FROM {rows}
+    UNION ALL SELECT coalesce(bsource, 'NA'), '{root}', count(*) FROM {rows} GROUP BY 1
+    UNION ALL SELECT coalesce(bsource, 'NA') || ':' || coalesce(btype, 'NA'), coalesce(bsource, 'NA'), count(*) FROM {rows} GROUP BY 1, 2"""
+_LEAVES = """leaves AS (SELECT isotype, kind, coalesce(n, 0) AS n FROM
+    (SELECT unnest(['Bulk','IGHA','IGHD','IGHE','IGHG','IGHM']) AS isotype) CROSS JOIN (SELECT unnest(['Unique','non-Unique']) AS kind)
+    LEFT JOIN (SELECT isotype, CASE WHEN n_antibody = 1 THEN 'Unique' ELSE 'non-Unique' END AS kind, count(*) AS n FROM datdb GROUP BY 1, 2) USING (isotype, kind)),
+isos AS ("""
 
 
-@query(over_base("""SELECT 'Total' AS label, '' AS parent, count(*) AS value FROM datdb WHERE bsource IS NOT NULL AND btype IS NOT NULL
-    UNION ALL SELECT bsource, 'Total', count(*) FROM datdb WHERE bsource IS NOT NULL AND btype IS NOT NULL GROUP BY 1
-    UNION ALL SELECT bsource || ' - ' || btype, bsource, count(*) FROM datdb WHERE bsource IS NOT NULL AND btype IS NOT NULL GROUP BY bsource, btype"""))
+@query(over_base(_SOURCES.format(root="Total", rows="datdb")))
 def o55_source_hierarchy(spark, sf_dir):
-    return facets.hierarchy_counts(Build(spark, sf_dir).served, "bsource", "btype")
+    return facets.hierarchy_counts(Build(spark, sf_dir).served_table, "bsource", "btype")
 
 
-@query(over_base("""SELECT isotype AS label, '' AS parent, value FROM (SELECT isotype, CAST(sum(n) AS BIGINT) AS value FROM leaves GROUP BY 1)
-    UNION ALL SELECT isotype || ' - ' || kind, isotype, n FROM leaves""").replace("isos AS (", """leaves AS (SELECT isotype, kind, coalesce(n, 0) AS n FROM
-    (SELECT unnest(['Bulk','IGHA','IGHD','IGHE','IGHG','IGHM']) AS isotype) CROSS JOIN (SELECT unnest(['Unique','non-Unique']) AS kind)
-    LEFT JOIN (SELECT isotype, CASE WHEN n_antibody = 1 THEN 'Unique' ELSE 'non-Unique' END AS kind, count(*) AS n FROM datdb GROUP BY 1, 2) USING (isotype, kind)),
-isos AS (""", 1))
+@query(over_base("""SELECT 'Total' AS label, '' AS parent, CAST(sum(n) AS BIGINT) AS value FROM leaves
+    UNION ALL SELECT isotype, 'Total', CAST(sum(n) AS BIGINT) FROM leaves GROUP BY 1
+    UNION ALL SELECT isotype || ':' || kind, isotype, n FROM leaves""").replace("isos AS (", _LEAVES, 1))
 def o56_isotype_uniqueness(spark, sf_dir):
-    return facets.isotype_uniqueness(Build(spark, sf_dir).served)
+    return facets.isotype_uniqueness(Build(spark, sf_dir).served_table)
+
+
+_FIRST = "(SELECT sequence, bsource, btype, isotype, n_patient, n_antibody, length_aa, cdr3 FROM datdb WHERE disease_no = 'D1' AND n_antibody = 1 AND cdr3 = 1)"
+_D1 = "(SELECT disease FROM cat WHERE disease_no = 'D1')"
+DAY = date(2024, 9, 1)
+
+
+@query(over_base(f"SELECT sequence, bsource, isotype, n_antibody FROM {_FIRST}"))
+def o28_one_disease(spark, sf_dir):
+    """Rows of one disease: the scan has a partition filter."""
+    b = Build(spark, sf_dir)
+    return facets.facet_query(sets.one_disease(b.served_table, "D1")).select("sequence", "bsource", "isotype", "n_antibody")
+
+
+@query(over_base(f"""SELECT 'card' AS what, 'rows' AS label, count(*) AS value FROM {_FIRST}
+    UNION ALL SELECT 'sources', label, value FROM ({_SOURCES.format(root="root", rows=_FIRST)})
+    UNION ALL SELECT 'csv', d.disease || '_filtered_2024-09-01.csv', (SELECT count(*) FROM {_FIRST}) FROM {_D1} d
+    UNION ALL SELECT 'fasta', d.disease || '_2024-09-01.fasta', (SELECT count(*) FROM {_FIRST}) FROM {_D1} d
+    UNION ALL SELECT 'plus', d.disease || '_plus_2024-09-01.fasta', (SELECT count(*) FROM {_FIRST}) + (SELECT count(*) FROM prot) FROM {_D1} d"""))
+def o104_o20_o30_facet_job(spark, sf_dir):
+    """The default questions to disease D1, its card and source tree, and the records of its three exports."""
+    b, out = Build(spark, sf_dir), scratch_path(spark, "exports")
+    disease = sets.exactly_one(b.catalog.filter("disease_no = 'D1'"), "D1").first()["disease"]
+    background = sinks.fasta_lines(tables.proteins(spark, sf_dir), "name", "sequence")
+    got = jobs.facet_job(b.served_table, b.catalog, disease, out, background, DAY)
+    long_ = F.col("value").cast("long")
+    card = got["card"].select(F.lit("card").alias("what"), F.lit("rows").alias("label"), F.col("n_rows").alias("value"))
+    tree = got["sources"].select(F.lit("sources").alias("what"), F.when(F.col("label") == disease, "root").otherwise(F.col("label")).alias("label"), long_.alias("value"))
+    found = card.unionByName(tree)
+    for kind in ("csv", "fasta", "plus"):
+        read = files.read_csv(spark, got[kind]) if kind == "csv" else files.read_fasta(spark, got[kind])
+        found = found.unionByName(read.agg(F.count("*").alias("value")).select(F.lit(kind).alias("what"), F.lit(got[kind].split("/")[-1]).alias("label"), "value"))
+    return found
 
 
 @query(over_base("SELECT 0 AS place, 'All' AS value UNION ALL SELECT row_number() OVER (ORDER BY bsource), bsource FROM (SELECT DISTINCT bsource FROM meta WHERE bsource IS NOT NULL)"))
 def o62_facet_values(spark, sf_dir):
-    return sets.values_with_all(tables.metadata(spark, sf_dir), "bsource").withColumn("place", F.col("place").cast("long"))
+    return sets.values_with_all(tables.metadata(spark, sf_dir), "bsource")
 
 
 @query(over_base("SELECT 0 AS place, 'None' AS value UNION ALL SELECT row_number() OVER (ORDER BY disease), disease FROM (SELECT DISTINCT disease FROM meta WHERE disease IS NOT NULL AND disease <> 'None')"))
 def o63_disease_choices(spark, sf_dir):
     m = tables.metadata(spark, sf_dir).filter("disease <> 'None'")
-    return sets.values_with_all(m, "disease", "None").withColumn("place", F.col("place").cast("long"))
+    return sets.values_with_all(m, "disease", "None")
 
 
 # ---- ranks, frequencies, coverage
@@ -332,6 +398,110 @@ def o6_o17_o79_fasta_round_trip(spark, sf_dir):
     return files.read_fasta(spark, path)
 
 
+@query(over_base("SELECT ab.disease, v_call, sequence_alignment_aa, unique_sequences AS n_unit, coalesce(m.subject, '') AS subject FROM ab JOIN meta m USING (filename)"))
+def o2_o3_o11_data_units(spark, sf_dir):
+    """Antibodies written as units, a quoted JSON line, a header and rows each, then rows and metadata read back and joined by path."""
+    ab, meta = tables.antibodies(spark, sf_dir), tables.metadata(spark, sf_dir)
+    columns = ["v_call", "sequence_alignment_aa", "cdr3_aa"]
+    quote = lambda k, v: F.concat(F.lit(f'""{k}"": ""'), F.coalesce(v, F.lit("")), F.lit('""'))
+    line = F.concat(F.lit('"{'), F.concat_ws(", ", quote("Disease", F.col("disease")), quote("Subject", F.col("subject")), F.lit('""Age"": NaN')),
+                    F.lit(', ""Unique sequences"": '), F.col("unique_sequences").cast("string"), F.lit('}"'))
+    parts = meta.select("filename", F.lit(0).alias("at"), line.alias("value"))
+    parts = parts.unionByName(meta.select("filename", F.lit(1).alias("at"), F.lit(",".join(columns)).alias("value")))
+    parts = parts.unionByName(ab.select("filename", F.lit(2).alias("at"), F.concat_ws(",", *columns).alias("value")))
+    path = scratch_path(spark, "units")
+    parts.repartition("filename").sortWithinPartitions("filename", "at").select("filename", "value").write.partitionBy("filename").option("compression", "gzip").text(path)
+    units = files.read_unit_metadata(spark, path, ["Disease", "Subject", "Unique sequences", "Age"])
+    rows = files.read_units(spark, path, ["sequence_alignment_aa", "v_call"]).join(units.drop("filename"), "path")
+    return rows.select(F.col("Disease").alias("disease"), "v_call", "sequence_alignment_aa", F.col("Unique sequences").cast("long").alias("n_unit"), F.col("Subject").alias("subject"))
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
+def o5_o14_o16_csv_inferred(spark, sf_dir):
+    """Plain CSV in two appends, each file with its header, read with inferred types."""
+    path = scratch_path(spark, "csv")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    for half in (0, 1):
+        sinks.write_csv(orders.filter(F.col("o_orderkey") % 2 == half), path, mode="append")
+    got = files.read_csv(spark, path, columns=["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"])
+    return got.withColumns({c: F.col(c).cast("long") for c in ("o_orderkey", "o_custkey")})
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus FROM orders")
+def o24_all_text(spark, sf_dir):
+    return files.as_text(spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus"))
+
+
+@query(over_base(f"SELECT antibody_no AS antibody_id, count(*) AS n_peptides FROM (SELECT antibody_no, unnest(list_distinct({simple_fragments('sequence_alignment_aa')})) AS sequence FROM ab) GROUP BY 1"))
+def o7_o84_digest_text(spark, sf_dir):
+    """Digest output as tab-separated text, read back; names are split into file and number."""
+    ab = tables.antibodies(spark, sf_dir).withColumn("Protein_Name", S.composite_name(F.col("filename"), F.col("antibody_no").cast("string")))
+    path = scratch_path(spark, "digest")
+    S.peptides(ab, "sequence_alignment_aa", ["Protein_Name"], RULE, 0).withColumnRenamed("sequence", "Sequence").write.option("header", "true").option("sep", "\t").csv(path)
+    return files.read_digest_text(spark, path).groupBy(S.name_parts(F.col("Protein_Name"))[1].alias("antibody_id")).agg(F.count("*").alias("n_peptides"))
+
+
+@query(over_base("SELECT filename, CAST('read' AS VARCHAR) AS status FROM meta WHERE disease <> 'None'"))
+def o10_o12_o36_listed_files(spark, sf_dir):
+    """Units written as folders of files, listed by pattern, told readable from broken, and held against the metadata."""
+    m = tables.metadata(spark, sf_dir)
+    path = scratch_path(spark, "listed")
+    m.select("filename", "unique_sequences").repartition("filename").write.partitionBy("filename").parquet(path)
+    report = files.file_report(spark, path, glob="*.parquet").select(F.regexp_extract("path", "filename=([^/]*)/", 1).alias("filename"), "status")
+    return sets.files_in_metadata(report, m.filter("disease <> 'None'"))
+
+
+@query(over_base("SELECT sequence FROM pep_ab WHERE disease <> 'None' INTERSECT SELECT sequence FROM cdr3"))
+def o65_common_peptides(spark, sf_dir):
+    b = Build(spark, sf_dir)
+    return sets.intersect(b.by_antibody.filter("disease <> 'None'"), jobs.cdr3_peptides(b.ab, RULE))
+
+
+@query(over_base("SELECT filename, disease, CASE WHEN disease <> 'None' THEN isotype END AS isotype, CASE WHEN disease = 'None' THEN subject END AS subject FROM meta"))
+def o67_union_filled(spark, sf_dir):
+    m = tables.metadata(spark, sf_dir)
+    return files.union_filled(m.filter("disease <> 'None'").select("filename", "disease", "isotype"), m.filter("disease = 'None'").select("filename", "disease", "subject"))
+
+
+@query(over_base("SELECT 'B' || item_id AS accession, upper(regexp_replace(text, '[^ACDEFGHIKLMNPQRSTVWYacdefghiklmnpqrstvwy]', '', 'g')) AS sequence FROM benchmark WHERE regexp_replace(text, '[^ACDEFGHIKLMNPQRSTVWYacdefghiklmnpqrstvwy]', '', 'g') <> ''"))
+def o64_two_proteomes(spark, sf_dir):
+    """Proteins of two FASTA sources with headers of two kinds, united."""
+    p = tables.proteins(spark, sf_dir).withColumn("n", F.regexp_extract("name", r"ITEM_(\d+)", 1).cast("long"))
+    first = p.filter("n % 2 = 0").select("name", "sequence")
+    second = p.filter("n % 2 = 1").select(F.concat(F.lit("B"), F.col("n").cast("string"), F.lit(" a protein")).alias("name"), "sequence")
+    paths = [scratch_path(spark, "proteome") for _ in range(2)]
+    for rows, path in zip((first, second), paths):
+        sinks.write_fasta(sinks.fasta_lines(rows, "name", "sequence"), path)
+    return jobs.proteome(*(files.read_fasta(spark, path) for path in paths)).select("accession", "sequence")
+
+
+@query(over_base("SELECT disease_no || '_' || regexp_replace(disease, '[^A-Za-z0-9]', '_', 'g') AS filename, CAST(substr(disease_no, 2) AS BIGINT) AS number FROM cat WHERE disease <> 'None'"))
+def o21_o75_files_by_number(spark, sf_dir):
+    named = Build(spark, sf_dir).catalog.filter("disease <> 'None'").select(S.partition_name(F.col("disease_no"), F.col("disease")).alias("filename"))
+    return ranking.by_number_in_name(named)
+
+
+@query(over_base("SELECT sequence, n_abs FROM (SELECT sequence, count(*) AS n_abs FROM pep_ab GROUP BY 1) ORDER BY n_abs DESC, sequence LIMIT 500"))
+def o73_o74_most_frequent(spark, sf_dir):
+    """The 500 most frequent peptides."""
+    return ranking.top_n(ranking.peptide_frequency(Build(spark, sf_dir).pairs).select("sequence", "n_abs"), 500, [F.desc("n_abs"), F.col("sequence")])
+
+
+@query(over_base("SELECT filename FROM meta"))
+def o108_retry(spark, sf_dir):
+    """Units processed in two passes: half of them fail in the first; gives the ledger, in which all are once."""
+    listing, path, first = tables.metadata(spark, sf_dir).select("filename"), scratch_path(spark, "ledger"), [True]
+    listing.limit(0).write.parquet(path)
+
+    def process(units: DataFrame) -> None:
+        done = units.filter(F.pmod(F.xxhash64("filename"), F.lit(2)) == 0) if first.pop() else units
+        first.append(False)
+        done.write.mode("append").parquet(path)
+
+    left = jobs.process_with_retry(listing, lambda: spark.read.parquet(path), process)
+    return spark.read.parquet(path).unionByName(left)
+
+
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
 def o4_o13_csv_gz_round_trip(spark, sf_dir):
     path = scratch_path(spark, "csv")

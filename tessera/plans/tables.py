@@ -9,9 +9,15 @@ from tessera.functions.sequence import patient_key, residues_only
 from tessera.operators.ranking import patient_codes
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer parts than the cluster has cores is dealt out first, as digestion multiplies its rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def antibodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as antibodies: the text's residues are the sequence, its source the disease."""
-    d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
+    d = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source"))
     third = F.col("doc_id") % 3
     d = d.withColumn("sequence_alignment_aa", residues_only(F.col("text"))).filter("sequence_alignment_aa <> ''")
     return d.select(

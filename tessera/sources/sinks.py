@@ -14,8 +14,11 @@ def write_csv(df: DataFrame, path: str, gzip: bool = False, mode: str = "overwri
 
 
 def write_served(df: DataFrame, path: str, by: str = "disease_no") -> None:
-    """Parquet partitioned by disease; only the partitions that df holds are replaced, so reruns add no rows twice."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    """Parquet partitioned by disease; only the partitions that df holds are replaced, so reruns add no rows twice.
+
+    Rows are dealt by disease first, so a disease has few files; large diseases are split again.
+    """
+    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def wrapped(sequence: Column, width: int) -> Column:
@@ -39,7 +42,8 @@ def concatenated(*parts: DataFrame) -> DataFrame:
 def write_fasta(records: DataFrame, path: str) -> None:
     """Records (value) as text files; with a column part, in its order over files."""
     if "part" in records.columns:
-        records = records.repartitionByRange("part").sortWithinPartitions("part")
+        # ranges of a part and a hash: a large source goes to several files
+        records = records.withColumn("h", F.xxhash64("value")).repartitionByRange("part", "h").sortWithinPartitions("part", "h")
     records.select("value").write.mode("overwrite").text(path)
 
 

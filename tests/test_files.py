@@ -57,6 +57,24 @@ def test_tolerant_scan_and_listing(spark, tmp_path):
     assert files.list_files(spark, str(tmp_path / "in"), "bad*").count() == 1
 
 
+def test_units_of_one_name_in_two_folders(spark, tmp_path):
+    for folder, header, row in (("a", "v_call,sequence_alignment_aa", "V1,QVQ"), ("b", "sequence_alignment_aa,v_call", "EVQ,V2")):
+        (tmp_path / folder).mkdir()
+        _unit(tmp_path / folder / "r.csv.gz", '"{""Disease"": ""' + folder + '""}"', header, [row])
+    got = {(r["sequence_alignment_aa"], r["v_call"]) for r in files.read_units(spark, str(tmp_path), ["sequence_alignment_aa", "v_call"]).collect()}
+    assert got == {("QVQ", "V1"), ("EVQ", "V2")}
+
+
+def test_report_tells_empty_from_unreadable(spark, tmp_path):
+    whole = gzip.compress("\n".join(["x,y", *(f"{k},{k * 7919 % 100003}" for k in range(20_000))]).encode())
+    (tmp_path / "whole.csv.gz").write_bytes(whole)
+    (tmp_path / "half.csv.gz").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "none.csv.gz").write_bytes(gzip.compress(b"x,y\n"))
+    assert {r["filename"]: r["status"] for r in files.file_report(spark, str(tmp_path), "csv").collect()} == {"whole.csv.gz": "read", "half.csv.gz": "unreadable", "none.csv.gz": "empty"}
+    rows, skipped = files.read_tolerant(spark, str(tmp_path), "x int, y int", "csv")
+    assert rows.count() == 20_000 and [r["filename"] for r in skipped.collect()] == ["half.csv.gz"]
+
+
 def test_export_names():
     day = date(2024, 9, 1)
     assert [sinks.export_name("Flu", k, day) for k in ("csv", "fasta", "plus")] == ["Flu_filtered_2024-09-01.csv", "Flu_2024-09-01.fasta", "Flu_plus_2024-09-01.fasta"]

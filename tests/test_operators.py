@@ -43,6 +43,49 @@ def test_row_numbers_are_dense(spark):
     assert [(r["x"], r["row_id"]) for r in ranking.row_numbers(df, [F.col("x")]).orderBy("x").collect()] == [(i, i + 1) for i in range(1000)]
 
 
+@pytest.mark.parametrize("partitions", ["2", "7", "32"])
+def test_row_numbers_keep_wide_rows(spark, partitions):
+    """Columns beside the order make the counts' plan unlike the rows'; ids must be 1..N all the same."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        df = spark.range(60_000).select((F.col("id") * 7919 % 60_000).alias("x"), *(F.repeat(F.sha2(F.col("id").cast("string"), 256), 3).alias(f"c{k}") for k in range(3)), F.lit(0).alias("part"), F.lit(1).alias("row"))
+        got = ranking.row_numbers(df, [F.col("x")])
+        assert got.columns == [*df.columns, "row_id"]
+        assert got.agg(F.count("*"), F.count_distinct("row_id"), F.count_if(F.col("row_id") == F.col("x") + 1)).first()[:] == (60_000, 60_000, 60_000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_retry_runs_what_the_ledger_lacks(spark):
+    done, asked = ["a"], []
+
+    def process(units):
+        names = sorted(r["filename"] for r in units.collect())
+        asked.append(names)
+        done.extend(names[:1])
+
+    left = jobs.process_with_retry(spark.createDataFrame([(c,) for c in "abc"], "filename string"), lambda: spark.createDataFrame([(d,) for d in done], "filename string"), process, 3)
+    assert asked == [["b", "c"], ["c"]] and left.isEmpty()
+
+
+def test_patients_of_a_disease_are_those_of_the_metadata(spark):
+    peptides = spark.createDataFrame([("D1", "A", "P1", "IGHG", 1, 1)], "disease_no string, sequence string, patient string, isotype string, n_antibody int, n_patient int")
+    antibodies = spark.createDataFrame([("D1", "AAA")], "disease_no string, sequence_alignment_aa string")
+    catalog = spark.createDataFrame([("Flu", "D1")], "disease string, disease_no string")
+    meta = spark.createDataFrame([("Flu", "P1"), ("Flu", "P2"), ("Flu", None), ("Flu", None)], "disease string, patient string")
+    assert jobs.disease_summary(peptides, antibodies, catalog, meta).first()["n_patient"] == 3
+
+
+def test_one_disease_reads_one_partition(spark, tmp_path):
+    from tessera.sources import sinks
+
+    df = spark.createDataFrame([("D1", 1), ("D2", 2)], "disease_no string, x int")
+    sinks.write_served(df, str(tmp_path / "t"))
+    one = sets.one_disease(spark.read.parquet(str(tmp_path / "t")), "D1")
+    assert "PartitionFilters: [isnotnull(disease_no" in one._jdf.queryExecution().executedPlan().toString() and one.count() == 1
+
+
 def test_coverage_grows_with_n(spark):
     pairs = spark.createDataFrame([("A", "1"), ("A", "2"), ("B", "2"), ("C", "3")], "sequence string, antibody_id string")
     got = {r["n_peptides"]: (r["n_antibodies"], r["percent"]) for r in ranking.coverage(pairs, [1, 2, 10]).collect()}
@@ -56,9 +99,10 @@ def test_facets_and_grid(spark):
     assert [r["sequence"] for r in facets.facet_query(df).collect()] == ["A"]
     assert {r["sequence"] for r in facets.facet_query(df, unique="Either", cdr3="No", n_antibody=(1, 3)).collect()} == {"B", "C"}
     grid = facets.isotype_uniqueness(df)
-    assert grid.count() == 18 and grid.filter("label = 'IGHA - Unique'").first()["value"] == 0
+    assert grid.count() == 19 and grid.filter("label = 'IGHA:Unique'").first()["value"] == 0
+    assert [tuple(r) for r in grid.filter("parent = ''").collect()] == [("Total", "", 2)]  # of known isotypes
     tree = {(r["label"], r["parent"]): r["value"] for r in facets.hierarchy_counts(df, "bsource", "btype").collect()}
-    assert tree[("Total", "")] == 3 and tree[("en", "Total")] == 2 and tree[("de - T1", "de")] == 1
+    assert tree[("Total", "")] == 3 and tree[("en", "Total")] == 2 and tree[("de:T1", "de")] == 1
     wide = facets.isotype_table(df.withColumn("disease_no", F.lit("D1"))).first()
     assert (wide["IGHG"], wide["IGHA"]) == (1, 0)
 
