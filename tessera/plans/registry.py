@@ -40,9 +40,14 @@ class Build:
         self.standard = jobs.standard_peptides(tables.proteins(spark, sf_dir), RULE)
         self.source = spark, sf_dir
 
+    @cached_property
+    def stored(self) -> DataFrame:
+        """The antibodies, for builds that read them several times."""
+        return materialized(self.ab, "antibodies")
+
     @cached_property
     def meta(self) -> DataFrame:
-        return materialized(tables.metadata(*self.source), "metadata")
+        return materialized(tables.metadata(*self.source, self.stored), "metadata")
 
     @cached_property
     def catalog(self) -> DataFrame:
@@ -58,7 +63,7 @@ class Build:
 
     @cached_property
     def digested(self) -> DataFrame:
-        return materialized(jobs.digest(self.ab, self.standard, RULE), "digested")
+        return materialized(jobs.digest(self.stored, self.standard, RULE), "digested")
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -70,11 +75,11 @@ class Build:
 
     @property
     def served(self) -> DataFrame:
-        return jobs.peptide_table(jobs.specific_statistics(self.pairs), jobs.by_file(self.digested), jobs.cdr3_peptides(self.ab, RULE), self.meta, self.catalog)
+        return jobs.peptide_table(jobs.specific_statistics(self.pairs), jobs.by_file(self.digested), jobs.cdr3_peptides(self.stored, RULE), self.meta, self.catalog)
 
     @property
     def served_antibodies(self) -> DataFrame:
-        return jobs.antibody_table(self.ab, self.catalog)
+        return jobs.antibody_table(self.stored, self.catalog)
 
     @cached_property
     def served_path(self) -> str:

@@ -32,10 +32,10 @@ def antibodies(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("source").alias("author"), third.cast("string").alias("subject"))
 
 
-def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each file."""
+def metadata(spark: SparkSession, sf_dir: str, stored: DataFrame | None = None) -> DataFrame:
+    """A row for each file; from `stored` antibodies, if they have been written."""
     keys = ["filename", "disease", "bsource", "btype", "isotype", "author", "subject"]
-    m = antibodies(spark, sf_dir).groupBy(*keys).agg(F.count("*").alias("unique_sequences"))
+    m = (stored or antibodies(spark, sf_dir)).groupBy(*keys).agg(F.count("*").alias("unique_sequences"))
     m = m.withColumn("patient_key", patient_key(F.col("author"), F.col("subject")))
     return m.join(patient_codes(m, "patient_key"), "patient_key", "left")
 
