@@ -2,18 +2,20 @@
 
 A byte goes if a string of LENGTH bytes that covers it also starts anywhere else. Suffixes are sampled: of each LENGTH
 window the least hash among its GRAM-byte strings is its anchor (leftmost on ties), so equal windows have equal anchors
-at equal places. An anchor's suffix enters the index with the hash of its first GRAM bytes, by which arrays are
-sorted (matches need equality alone, so hash order does as well as byte order); the windows it stands for are a run.
+at equal places. An anchor's suffix enters the index with its first LEAD bytes, by which arrays are sorted, and the hash
+of its first GRAM bytes, which orders suffixes of one lead; the windows it stands for are a run.
 
-Index family: each batch of documents gets its sorted array, is merge-scanned against every existing level (a merge
-join on the leading hash) and against itself, and is added; levels of equal size merge into one of the next size, so a
-corpus of n batches keeps log2(n) levels and each suffix is rewritten log2(n) times. Levels are Parquet tables in the
-shared folder.
+Index family: each batch of documents (about BATCH_BYTES, within LEAST_BATCHES and MOST_BATCHES of them) gets its sorted
+array, is merge-scanned against every existing level (a merge join in byte order of the leads) and against itself, and is
+added; levels of equal size merge into one of the next size, so a corpus of n batches keeps log2(n) levels and each
+suffix is rewritten log2(n) times. Levels are Parquet tables in the shared folder. A scan tells which suffixes share
+GRAM bytes with another; whole windows are compared next.
 
-Then the suffixes whose leading bytes were met again are compared as a whole (their runs' bytes, hashed). Where all are
+The suffixes whose leading bytes were met again are compared as a whole (their runs' bytes, hashed). Where all are
 alike, all their windows repeat. Where not, each different context is taken once and cut into NODE windows, whose
 common bytes must repeat, and then into single windows, whose bytes must. Hot passages are counted by partial sums
-and different contexts, never as pairs. Hashes that decide have 128 bits.
+and different contexts, never as pairs. Hashes that decide have 128 bits. Of a long text CHUNK bytes are in hand at once;
+a run that is cut there is two runs.
 
 Defined results: null and empty texts have no bytes; documents shorter than LENGTH lose nothing; repeated rows repeat
 each other; a null doc_id is kept; an empty table gives an empty result. Only doc_id and text are read.
@@ -22,20 +24,18 @@ each other; a null doc_id is kept; an empty table gives an empty result. Only do
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import drop_path, read, shared_path, sized_join, stash
+from tessera.llm.common import Bitmap, drop_path, read, row_name, shared_path, sized_join, stash, unstash
 
-LENGTH, GRAM, NODE = 400, 100, 16
-BATCHES = 4
-#: Bits by which a bitmap of the met keys is addressed: 2**26 bits are 8 MB, however many keys there are.
-BITMAP = 26
-#: Bytes whose anchors are looked for at once.
+LENGTH, GRAM, LEAD, NODE = 400, 100, 24, 16
+BATCH_BYTES, LEAST_BATCHES, MOST_BATCHES = 256 << 20, 4, 64
+#: Bytes of a text that are in hand at once.
 CHUNK = 1 << 20
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 
@@ -80,101 +80,96 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - done)], x[width - done :]) if width > done else x
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, ...] | None:
-    """key, place, o1, o2, and two hashes of the context, of each anchor; windows start at place - o, o1 <= o <= o2."""
-    n = len(text)
-    if n < LENGTH:
-        return None
-    roll, places = Rolling(text), []
+def anchors(text: bytes) -> Iterator[tuple[np.ndarray, ...]]:
+    """lead, key, place, o1, o2, and two hashes of the context, of each anchor; windows start at place - o, o1 <= o <= o2."""
     width = LENGTH - GRAM + 1
-    for at in range(0, n - LENGTH + 1, CHUNK):
-        to = min(at + CHUNK, n - LENGTH + 1)  # windows at .. to
-        start = np.arange(at, to + width - 1)
+    for at in range(0, len(text) - LENGTH + 1, CHUNK):
+        piece = text[at : at + CHUNK + LENGTH - 1]  # of all windows that start in the chunk
+        roll = Rolling(piece)
+        start = np.arange(len(piece) - GRAM + 1)
         h = roll.of(start, start + GRAM, 0)
-        h = (h & ~np.uint64((1 << 22) - 1)) | (start - at).astype(np.uint64)
-        places.append((sliding_least(h, width) & np.uint64((1 << 22) - 1)).astype(np.int64) + at)
-    place = np.concatenate(places)  # of each window's anchor
-    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    last = np.append(first[1:], len(place)) - 1
-    m = place[first]
-    key = roll.of(m, m + GRAM, 0)
-    return key, m, m - last, m - first, roll.of(first, last + LENGTH, 0), roll.of(first, last + LENGTH, 1)
+        h = (h & ~np.uint64((1 << 22) - 1)) | start.astype(np.uint64)
+        place = (sliding_least(h, width) & np.uint64((1 << 22) - 1)).astype(np.int64)  # of each window's anchor
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        last = np.append(first[1:], len(place)) - 1
+        m = place[first]
+        lead = np.frombuffer(piece, np.uint8)[m[:, None] + np.arange(LEAD)]
+        yield lead, roll.of(m, m + GRAM, 0), m + at, m - last, m - first, roll.of(first, last + LENGTH, 0), roll.of(first, last + LENGTH, 1)
+
+
+SUFFIX = "r1 long, r2 long, lead binary, key long, at long, o1 int, o2 int, c1 long, c2 long"
 
 
 def suffixes(documents: DataFrame) -> DataFrame:
-    """(rid, text) -> rid, key, at, o1, o2, c1, c2: the sampled suffixes."""
+    """(r1, r2, text) -> r1, r2, lead, key, at, o1, o2, c1, c2: the sampled suffixes."""
+    names = [x.split()[0] for x in SUFFIX.split(", ")]
+
+    def table(held: list) -> pa.RecordBatch:
+        r1, r2, lead, key, at, o1, o2, c1, c2 = map(np.concatenate, zip(*held))
+        lead = pa.FixedSizeBinaryArray.from_buffers(pa.binary(LEAD), len(lead), [None, pa.py_buffer(np.ascontiguousarray(lead))]).cast(pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(r1), pa.array(r2), lead, pa.array(key.view(np.int64)), pa.array(at), pa.array(o1.astype(np.int32)),
+                                           pa.array(o2.astype(np.int32)), pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["rid", "key", "at", "o1", "o2", "c1", "c2"]
         for b in batches:
             held, size = [], 0
-            for rid, text in zip(b["rid"].to_pylist(), b["text"]):
-                found = anchors(text.as_py() or b"")
-                if found is not None:
-                    key, m, o1, o2, c1, c2 = found
-                    held.append((np.full(len(m), rid), key.view(np.int64), m, o1, o2, c1.view(np.int64), c2.view(np.int64)))
-                    size += len(m)
-                if size > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names)
-                    held, size = [], 0
+            for r1, r2, text in zip(b["r1"].to_pylist(), b["r2"].to_pylist(), b["text"]):
+                for found in anchors(text.as_py() or b""):
+                    n = len(found[0])
+                    held.append((np.full(n, r1), np.full(n, r2), *found))
+                    size += n
+                    if size > 100_000:
+                        yield table(held)
+                        held, size = [], 0
             if held:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*held)], names)
+                yield table(held)
 
-    return documents.mapInArrow(run, "rid long, key long, at long, o1 long, o2 long, c1 long, c2 long").select(
-        "rid", "key", "at", F.col("o1").cast("int").alias("o1"), F.col("o2").cast("int").alias("o2"), "c1", "c2")
+    return documents.mapInArrow(run, SUFFIX)
 
 
 class IndexFamily:
-    """Levels of sorted suffix arrays, each the leading hashes with how many suffixes have them; level k holds 2**k batches.
+    """Levels of sorted suffix arrays: leading bytes, hash, and how many suffixes have them; level k holds 2**k batches.
 
-    Where the suffixes lie is kept by batch, in what suffixes() gave, and looked up by the hashes that were met.
+    Where the suffixes lie is kept by batch, in what suffixes() gave, and looked up by what was met.
     """
 
     def __init__(self, spark):
         self.spark, self.levels = spark, {}
 
-    def _write(self, rows: DataFrame) -> str:
+    def _write(self, rows: DataFrame, on: list[str]) -> str:
         path = shared_path(self.spark, "suffixes")
-        rows.sortWithinPartitions("key").write.option("compression", "zstd").parquet(path)
+        rows.sortWithinPartitions(*on).write.option("compression", "zstd").parquet(path)
         return path
 
     def add(self, batch: DataFrame) -> DataFrame:
-        """Scan a batch (key) against all levels and itself, then add it; gives the keys met (key)."""
-        path = self._write(batch.groupBy("key").agg(F.count("*").alias("n")))
+        """Scan a batch, of the columns that order its suffixes, against all levels and itself, then add it; gives what was met."""
+        on = batch.columns
+        path = self._write(batch.groupBy(*on).agg(F.count("*").alias("n")), on)
         new = self.spark.read.parquet(path)
-        met = new.filter("n > 1").select("key")
+        met = new.filter("n > 1").select(*on)
         for level in self.levels.values():
-            met = met.unionByName(new.select("key").join(self.spark.read.parquet(level).hint("merge"), "key", "left_semi"))
+            met = met.unionByName(new.select(*on).join(self.spark.read.parquet(level).hint("merge"), on, "left_semi"))
         met = stash(met.distinct(), "met")
         size, paths = 0, [path]
         while size in self.levels:  # as a binary counter carries
             paths.append(self.levels.pop(size))
             size += 1
         if len(paths) > 1:
-            path = self._write(self.spark.read.parquet(*paths).groupBy("key").agg(F.sum("n").alias("n")))
+            path = self._write(self.spark.read.parquet(*paths).groupBy(*on).agg(F.sum("n").alias("n")), on)
             for p in paths:
                 drop_path(self.spark, p)
         self.levels[size] = path
         return met
 
+    def drop(self) -> None:
+        for path in self.levels.values():
+            drop_path(self.spark, path)
+        self.levels = {}
 
-def only_met(entries: DataFrame, met: DataFrame) -> DataFrame:
-    """Suffixes whose key was met. A bitmap of 2**BITMAP bits, of fixed size, keeps most others out of the shuffle."""
-    bit = F.shiftrightunsigned("key", 64 - BITMAP) + 1  # Spark numbers bits from 1
-    maps = met.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
-    size = 1 << 12  # bytes of one of Spark's bitmaps
-    bits = np.zeros((1 << BITMAP) // 8, np.uint8)
-    for k, found in maps.toLocalIterator():
-        bits[(k - 1) * size : k * size] = np.frombuffer(found, np.uint8)
-    shared = entries.sparkSession.sparkContext.broadcast(bits)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = (b["key"].to_numpy().view(np.uint64) >> np.uint64(64 - BITMAP)).astype(np.int64)
-            yield b.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0))
 
-    kept = entries.mapInArrow(run, entries.schema)
-    return kept.join(met.hint("merge"), "key", "left_semi")
+def only_met(entries: DataFrame, met: DataFrame) -> DataFrame:
+    """Suffixes whose key was met. A bitmap keeps most others out of the shuffle."""
+    return Bitmap(met, F.col("key")).split(entries, "key").join(met.hint("merge"), "key", "left_semi")
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], places) -> Iterator[pa.RecordBatch]:
@@ -210,20 +205,22 @@ def _again(rows: DataFrame) -> DataFrame:
 
 
 def repeated_windows(entries: DataFrame, documents: DataFrame) -> DataFrame:
-    """Met suffixes and documents (rid, text) -> rid, low, high: bytes low .. high - 1 hold repeated strings alone."""
+    """Met suffixes (a stash) and documents (r1, r2, text) -> r1, r2, spans: bytes low .. high - 1 of each hold repeated strings alone."""
     kind = ["key", "o1", "o2", "c1", "c2"]
-    kinds = entries.groupBy(*kind).agg(F.count("*").alias("n"), F.min(F.struct("rid", "at")).alias("one"))
+    kinds = entries.groupBy(*kind).agg(F.count("*").alias("n"), F.min(F.struct("r1", "r2", "at")).alias("one"))
     kinds = stash(kinds.withColumn("kid", F.monotonically_increasing_id()), "kinds")
     mixed = stash(kinds.groupBy("key").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("key"), "mixed")
     alike = kinds.join(mixed.hint("merge"), "key", "left_anti").filter("n > 1").selectExpr("kid", "o1 AS low", "o2 AS high")
 
-    one = kinds.join(mixed.hint("merge"), "key", "left_semi").select("kid", "n", "o1", "o2", "one.rid", "one.at")
-    wanted = stash(one.groupBy("rid").agg(F.collect_list(F.struct("kid", "n", "o1", "o2", "at")).alias("w")), "wanted")
-    texts = sized_join(documents, wanted, "rid", "inner").select("text", F.explode("w").alias("w")).select("text", "w.*")
+    one = kinds.join(mixed.hint("merge"), "key", "left_semi").select("kid", "n", "o1", "o2", "one.*")
+    wanted = stash(one.groupBy("r1", "r2").agg(F.collect_list(F.struct("kid", "n", "o1", "o2", "at")).alias("w")), "wanted")
+    named = documents.filter(Bitmap(wanted, F.col("r1")).holds(F.col("r1")))
+    texts = sized_join(named, wanted, ["r1", "r2"], "inner").select("text", F.explode("w").alias("w")).select("text", "w.*")
     context = F.expr(f"substring(text, cast(at - o2 + 1 AS int), o2 - o1 + {LENGTH})")
     contexts = stash(texts.select("kid", "n", "o1", "o2", context.alias("context")), "contexts")
     if contexts.count() != wanted.agg(F.sum(F.size("w"))).first()[0]:  # rows alike in doc_id and text
-        contexts = stash(contexts.dropDuplicates(["kid"]), "contexts")
+        contexts = stash(contexts.dropDuplicates(["kid"]), "contexts", (contexts,))
+    unstash(wanted)
 
     schema = "kid long, n long, o long, h1 long, h2 long"
     nodes = stash(contexts.mapInArrow(lambda b: _contexts(b, _nodes), schema), "nodes")
@@ -233,25 +230,31 @@ def repeated_windows(entries: DataFrame, documents: DataFrame) -> DataFrame:
     runs = _again(windows).withColumn("run", F.col("o") - F.row_number().over(w)).groupBy("kid", "run").agg(F.min("o").alias("low"), F.max("o").alias("high"))
     runs = runs.select("kid", F.col("low").cast("int"), F.col("high").cast("int")).unionByName(alike)
     runs = runs.groupBy("kid").agg(F.collect_list(F.struct("low", "high")).alias("runs"))
-    found = stash(kinds.join(runs, "kid").select(*kind, "runs"), "runs")
-    spans = entries.join(found.hint("merge"), kind).select("rid", "at", F.explode("runs").alias("r"))
-    return spans.select("rid", (F.col("at") - F.col("r.high")).alias("low"), (F.col("at") - F.col("r.low") + LENGTH).alias("high"))
+    found = stash(kinds.join(runs, "kid").select(*kind, "runs"), "runs", (nodes, contexts, mixed, kinds))
+    spans = entries.join(found.hint("merge"), kind).select("r1", "r2", "at", F.explode("runs").alias("r"))
+    spans = spans.select("r1", "r2", (F.col("at") - F.col("r.high")).alias("low"), (F.col("at") - F.col("r.low") + LENGTH).alias("high"))
+    return stash(spans.groupBy("r1", "r2").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans", (entries, found))
+
+
+def batches_by_size(documents: DataFrame) -> int:
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return int(max(LEAST_BATCHES, min(MOST_BATCHES, -(-size // BATCH_BYTES))))
 
 
-def strip_repeats(documents: DataFrame, batches: int = BATCHES) -> DataFrame:
+def strip_repeats(documents: DataFrame, batches: int | None = None) -> DataFrame:
     """documents -> doc_id, n_bytes, n_removed, n_spans, kept (the bytes left) of every document."""
     spark = documents.sparkSession
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
-    docs = documents.select("doc_id", F.xxhash64("doc_id", "text").alias("rid"), text.alias("text"))
-    entries = stash(suffixes(docs.select("rid", "text")), "entries")
-    family, met = IndexFamily(spark), None
+    docs = documents.select("doc_id", row_name().alias("rid"), text.alias("text")).select("doc_id", F.col("rid.a").alias("r1"), F.col("rid.b").alias("r2"), "text")
+    entries = stash(suffixes(docs.select("r1", "r2", "text")), "entries")
+    batches = batches or batches_by_size(docs)
+    family, met = IndexFamily(spark), []
     for k in range(batches):
-        keys = family.add(entries.filter(F.pmod(F.xxhash64("rid"), F.lit(batches)) == k))
-        met = keys if met is None else met.unionByName(keys)
-    met = stash(met.distinct(), "met_keys")
-    hit = stash(only_met(entries, met), "hit")
-    spans = repeated_windows(hit, docs.select("rid", "text"))
-    spans = stash(spans.groupBy("rid").agg(F.collect_set(F.struct("low", "high")).alias("spans")), "spans")
+        met.append(family.add(entries.filter(F.pmod("r2", F.lit(batches)) == k).select("lead", "key")))
+    family.drop()
+    keys = stash(reduce(DataFrame.unionByName, met).select("key").distinct(), "met_keys", tuple(met))
+    hit = stash(only_met(entries.drop("lead"), keys), "hit", (entries, keys))
+    spans = repeated_windows(hit, docs.select("r1", "r2", "text"))
 
     def cut(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in found:
@@ -273,7 +276,12 @@ def strip_repeats(documents: DataFrame, batches: int = BATCHES) -> DataFrame:
                 a, c, d, e = zip(*out)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *(pa.array(x, pa.int64()) for x in (a, c, d)), pa.array(e, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    joined = sized_join(docs, spans, "rid", "left").select("doc_id", "text", "spans")
+    # documents without repeats, as a bitmap tells, are in no shuffle
+    may = Bitmap(spans, F.col("r1")).holds(F.col("r1"))
+    marked = docs.withColumn("may", may)
+    none = F.lit(None).cast(spans.schema["spans"].dataType)
+    joined = sized_join(marked.filter("may"), spans, ["r1", "r2"], "left").select("doc_id", "text", "spans")
+    joined = joined.unionByName(marked.filter("NOT may").select("doc_id", "text", none.alias("spans")))
     return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
