@@ -149,11 +149,12 @@ class Batch:
         return out
 
 
-def score_documents(documents: DataFrame, order: int = ORDER) -> DataFrame:
-    """documents -> doc_id, n_words, score, score_per_word (null without words)."""
-    packed = stash(batches_of(documents), "lm_batches")
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-size * order // (6 * PART_ENTRIES)))
+def exploded(packed: DataFrame, order: int, parts: int) -> DataFrame:
+    """Batches -> rows (part, batch): the batch's n-grams of a part of the hash range, sorted, with their counts.
+
+    Only parts that hold n-grams are rows, and the first, which tells the batch's words; so rows never outnumber the
+    n-grams by more than the batches.
+    """
 
     def explode(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
@@ -161,11 +162,21 @@ def score_documents(documents: DataFrame, order: int = ORDER) -> DataFrame:
             batch = Batch(row[1].as_py(), order, words)
             edges = np.searchsorted(batch.hashes, (np.arange(1, parts, dtype=object) * (1 << HASH_BITS) // parts).astype(np.uint64))
             cut = np.concatenate([[0], edges, [len(batch.hashes)]])
-            out = [(p, row[0], int(j - i), int(batch.size.sum()) if p == 0 else 0, pack_sorted(batch.hashes[i:j]), pack_ints(batch.count[i:j])) for p, (i, j) in enumerate(zip(cut[:-1], cut[1:]))]
+            some = np.flatnonzero((np.diff(cut) > 0) | (np.arange(parts) == 0))
+            out = [(p, row[0], int(cut[p + 1] - cut[p]), int(batch.size.sum()) if p == 0 else 0, pack_sorted(batch.hashes[cut[p] : cut[p + 1]]), pack_ints(batch.count[cut[p] : cut[p + 1]])) for p in some]
             cols = list(zip(*out))
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.int64()) for c in cols[1:4]), *(pa.array(c, pa.binary()) for c in cols[4:])],
                                              ["part", "batch", "n", "words", "hashes", "counts"])
 
+    return packed.mapInArrow(explode, "part int, batch long, n long, words long, hashes binary, counts binary")
+
+
+def score_documents(documents: DataFrame, order: int = ORDER) -> DataFrame:
+    """documents -> doc_id, n_words, score, score_per_word (null without words)."""
+    packed = stash(batches_of(documents), "lm_batches")
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-size * order // (6 * PART_ENTRIES)))
+
     def answer(group: pa.Table) -> pa.Table:
         sizes = group["n"].to_pylist()
         h = np.concatenate([unpack_sorted(b.as_py(), n) for b, n in zip(group["hashes"], sizes)])
@@ -184,7 +195,7 @@ def score_documents(documents: DataFrame, order: int = ORDER) -> DataFrame:
         blobs = [pack_ints(extra[e - n : e]) for e, n in zip(ends, sizes)]
         return pa.table({"part": group["part"], "batch": group["batch"], "n": group["n"], "words": group["words"], "extra": pa.array(blobs, pa.binary())})
 
-    entries = packed.mapInArrow(explode, "part int, batch long, n long, words long, hashes binary, counts binary")
+    entries = exploded(packed, order, parts)
     answers = stash(entries.groupBy("part").applyInArrow(answer, "part int, batch long, n long, words long, extra binary"), "lm_answers")
     n_all = answers.agg(F.sum("words")).first()[0] or 0
 
