@@ -5,7 +5,7 @@ text. Word counts, class counts and scores are relations: nothing of the vocabul
 
 Defined results: a null url, or one without `://`, has an empty host and path and no rule; repeated rows are judged
 alike; with no rule-judged page of one class the method says allow; an empty table gives an empty result.
-Other columns of the input are ignored.
+Other columns of the input are ignored. A name of more than LONGEST_NAME letters is split into words in pieces of that length.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ RULES = [
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 ]
-MAX_WORD = 24
+MAX_WORD, LONGEST_NAME = 24, 200
 PIECES = r"[a-z0-9]+|[^\x00-\x7f]+"
 
 
@@ -40,6 +40,11 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
+def site_name() -> Column:
+    """A name of 128 bits of a host and path."""
+    return F.md5(F.concat_ws("\n", "host", "path"))
+
+
 def rule_columns(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
     """The longest rule that fits, and its verdict."""
     rule = verdict = None
@@ -74,7 +79,7 @@ def segment_names(names: DataFrame, word_counts: DataFrame) -> DataFrame:
         "name", F.explode(F.expr("sequence(0, length(name) - 1)")).alias("start")
     ).select("name", "start", F.explode(F.expr(f"sequence(1, least({MAX_WORD}, length(name) - start))")).alias("size"))
     parts = parts.withColumn("word", F.expr("substring(name, start + 1, size)"))
-    hits = parts.join(word_counts, "word").groupBy("name").agg(F.collect_list(F.struct("start", "size", "n")).alias("hits"))
+    hits = hot_safe_left_join(parts, word_counts, "word").filter("n IS NOT NULL").groupBy("name").agg(F.collect_list(F.struct("start", "size", "n")).alias("hits"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -95,15 +100,14 @@ def text_words(html: Column) -> Column:
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
     """pages(page_id, url, html) -> page_id, host, path, rule, verdict, block_score."""
-    host, path = url_parts(F.col("url"))
-    p = pages.select("page_id", host.alias("host"), path.alias("path"))
-    rule, say = rule_columns(F.col("host"), F.col("path"), rules)
-    p = stash(p.select("*", rule.alias("rule"), say.alias("ruled")), "urls")
+    p = stash(rule_verdicts(pages, rules), "urls")
     sites = p.groupBy("host", "path").agg(F.count("*").alias("n"), F.first("ruled").alias("ruled"))
     names = F.regexp_extract_all(F.lower(F.concat_ws("/", "host", "path")), F.lit(PIECES), F.lit(0))
     # digits say little but that they are digits
     names = F.transform(names, lambda x: F.when(x.rlike(r"^\d+$"), "0").otherwise(x))
-    sites = stash(sites.withColumn("site", F.xxhash64("host", "path")).withColumn("names", names), "sites")
+    cut = lambda x: F.transform(F.sequence(F.lit(0), ((F.length(x) - 1) / LONGEST_NAME).cast("int")), lambda k: F.substring(x, k * LONGEST_NAME + 1, F.lit(LONGEST_NAME)))
+    names = F.flatten(F.transform(names, cut))
+    sites = stash(sites.withColumn("site", site_name()).withColumn("names", names), "sites")
     named = sites.select("site", "n", "ruled", F.explode("names").alias("name"))
     counts = pages.select(F.explode(text_words(F.col("html"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     split = stash(segment_names(named.select("name").distinct(), stash(counts, "words")), "split")
@@ -128,7 +132,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFr
     scored = hot_safe_left_join(named.select("site", "name"), stash(name_llr, "name_llr"), "name")
     site_llr = stash(scored.groupBy("site").agg(F.sum("llr").alias("llr")), "site_llr")
     prior = math.log(seen["block"] / seen["allow"])
-    out = hot_safe_left_join(p.withColumn("site", F.xxhash64("host", "path")), site_llr, "site")
+    out = hot_safe_left_join(p.withColumn("site", site_name()), site_llr, "site")
     score = 1 / (1 + F.exp(-(F.coalesce("llr", F.lit(0.0)) + prior)))
     return out.select(
         "page_id", "host", "path", "rule",
@@ -136,5 +140,17 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFr
     )
 
 
+def rule_verdicts(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFrame:
+    """pages -> page_id, host, path, rule, ruled: the part that needs no learning."""
+    host, path = url_parts(F.col("url"))
+    p = pages.select("page_id", host.alias("host"), path.alias("path"))
+    rule, say = rule_columns(F.col("host"), F.col("path"), rules)
+    return p.select("*", rule.alias("rule"), say.alias("ruled"))
+
+
+def url_rules(spark, sf_dir: str) -> DataFrame:
+    return rule_verdicts(read(spark, sf_dir, "pages"))
+
+
 def op1_url_filter(spark, sf_dir: str) -> DataFrame:
     return judge_urls(read(spark, sf_dir, "pages"))
