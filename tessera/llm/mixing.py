@@ -142,5 +142,10 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float =
         (F.col("__size") * copies(cap)).alias("taken"))
 
 
+def mix_targets(spark, sf_dir: str) -> DataFrame:
+    """What mix tells before it chooses documents: target in millionths, rounded."""
+    return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round(F.col("target") * 1e6).cast("long").alias("target_1e6"))
+
+
 def op2_mix_sources(spark, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents"))

@@ -16,8 +16,37 @@ MODULES = {
     "op8_simhash": "simhash",
     "op9_suffix_dedup": "suffix_dedup",
     "op10_decontaminate": "decontam",
+    "url_rules": "url_filter",
+    "mix_targets": "mixing",
+}
+
+_RULES = [("example.org", "/en/1", "block"), ("example.org", "/es/", "block"), ("com", "/de/", "block"), ("com", "/fr/", "allow"), ("org", "/", "allow")]
+_FITS = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for h, p, _ in _RULES]
+
+#: What SQL can express: op1's rules, op2's sizes and targets, op5 by all pairs.
+SQL: dict[str, str] = {
+    "url_rules": f"""SELECT page_id, host, path, CASE {' '.join(f"WHEN {f} THEN '{h}{p}'" for f, (h, p, _) in zip(_FITS, _RULES))} END AS rule,
+        CASE {' '.join(f"WHEN {f} THEN '{v}'" for f, (_, _, v) in zip(_FITS, _RULES))} END AS ruled FROM (SELECT page_id,
+        translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+        FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages))""",
+    "mix_targets": r"""WITH RECURSIVE docs AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 1.0::DOUBLE + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight FROM docs GROUP BY 1),
+        fill AS (SELECT 0 AS step, list(struct_pack(source := source, full_ := 3.0::DOUBLE * source_size, weight := weight, stopped := false)) AS x, CAST(sum(source_size) AS DOUBLE) AS total FROM s
+          UNION ALL SELECT step + 1, list_transform(x, lambda e: struct_pack(source := e.source, full_ := e.full_, weight := e.weight, stopped := e.stopped OR e.full_ / e.weight <=
+            (total - list_sum(list_prepend(0.0::DOUBLE, list_transform(list_filter(x, lambda f: f.stopped), lambda f: f.full_)))) / list_sum(list_transform(list_filter(x, lambda f: NOT f.stopped), lambda f: f.weight)))), total
+          FROM fill WHERE step < 200 AND len(list_filter(x, lambda f: NOT f.stopped)) > 0),
+        last AS (SELECT x, total FROM fill WHERE step = (SELECT max(step) FROM fill)),
+        level AS (SELECT coalesce((total - list_sum(list_prepend(0.0::DOUBLE, list_transform(list_filter(x, lambda f: f.stopped), lambda f: f.full_)))) / list_sum(list_transform(list_filter(x, lambda f: NOT f.stopped), lambda f: f.weight)), 0) AS w FROM last),
+        t AS (SELECT u.source AS source, CASE WHEN u.stopped THEN u.full_ ELSE u.weight * (SELECT w FROM level) END AS target FROM (SELECT unnest(x) AS u FROM last))
+        SELECT doc_id, d.size, s.source_size, CAST(round(target * 1000000) AS BIGINT) AS target_1e6 FROM docs d JOIN s ON d.source IS NOT DISTINCT FROM s.source JOIN t ON t.source IS NOT DISTINCT FROM s.source""",
+    "op5_embedding_dedup": """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+        link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+        reach AS (SELECT DISTINCT a AS node, a AS root FROM link UNION SELECT l.b, r.root FROM reach r JOIN link l ON l.a = r.node),
+        n AS (SELECT a AS vec_id, count(*) AS n_links FROM link GROUP BY 1), c AS (SELECT node AS vec_id, min(root) AS component_id FROM reach GROUP BY 1)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id, vec_id = coalesce(component_id, vec_id) AS kept
+        FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)""",
 }
-SQL: dict[str, str] = {}
 
 
 def _query(name: str):
