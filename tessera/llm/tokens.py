@@ -1,8 +1,5 @@
 """Token-ID files: Parquet list columns, dictionary encoded, with controlled row groups, pages and page indexes.
 
-Texts are encoded where they lie, and their ids, shorter than the text, are shuffled to files by ranges of (doc_id, text
-hash), whose bounds come from a range partitioning of these two columns alone.
-
 File format: rows in ascending (doc_id, text hash) order over files; columns doc_id, file (int, its place in that
 order), n_tokens and ids (list of int32). Ids are dictionary encoded; doc_id and counts fall to delta encoding
 (format version 2). Small pages with column and offset indexes let a reader fetch few documents, and a reader of
@@ -29,10 +26,9 @@ from pyspark.sql import functions as F
 from tessera.llm.common import read, shared_path
 
 #: Words of a generation, of which a worker remembers two, from task to task.
-CACHE_WORDS, CACHE_TAILS = 200_000, 10_000
+CACHE_WORDS, CACHE_TAILS = 150_000, 10_000
 TOKENIZER = "word_bpe_49k.json"
 SHARD_BYTES, SLICE_DOCS = 64 << 20, 1024
-_LEAST = -(1 << 63)
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 256 << 10
 #: Of each line: letters that normalization leaves as they are and that are pre-tokenized whole, and marks after them, also whole.
 _PLAIN = re.compile("[a-zà-öø-ÿ]+")
@@ -155,28 +151,9 @@ def word_encoder(path: str | None) -> WordEncoder:
     return WordEncoder(path)
 
 
-def file_bounds(keys: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The least (doc_id, tie) of each of n ranges of about as many rows, but the first; null ids count as the least long."""
-    ranges = keys.repartitionByRange(n, "doc_id", "tie").groupBy(F.spark_partition_id().alias("k")).agg(F.min(F.struct("doc_id", "tie")).alias("low"))
-    low = ranges.select("low.*").orderBy("doc_id", "tie").toArrow()
-    return tuple(low[c].combine_chunks().fill_null(_LEAST).to_numpy()[1:] for c in ("doc_id", "tie"))
-
-
-def places(doc_id: np.ndarray, tie: np.ndarray, bounds: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """How many bounds are not above each (doc_id, tie)."""
-    ids, ties = bounds
-    low, high = np.searchsorted(ids, doc_id, "left"), np.searchsorted(ids, doc_id, "right")
-    out = low.copy()
-    for at in np.unique(low[low < high]):  # an id that is cut over files
-        rows = np.flatnonzero((low == at) & (low < high))
-        out[rows] += np.searchsorted(ties[at : high[rows[0]]], tie[rows], "right")
-    return out
-
-
-def encode(documents: DataFrame, tokenizer: str | None, end_id: int, bounds: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc_id, tie, text) -> file, doc_id, tie, n_tokens, ids."""
-    schema = pa.schema([("file", pa.int32()), ("doc_id", pa.int64()), ("tie", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
-    shared = documents.sparkSession.sparkContext.broadcast(bounds)
+def encode(documents: DataFrame, tokenizer: str | None, end_id: int) -> DataFrame:
+    """(doc_id, text) -> doc_id, n_tokens, ids."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_encoder(tokenizer)
@@ -185,23 +162,20 @@ def encode(documents: DataFrame, tokenizer: str | None, end_id: int, bounds: tup
                 part = b.slice(at, SLICE_DOCS)
                 flat, counts = words.encode(part["text"], end_id)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                file = places(part["doc_id"].fill_null(_LEAST).to_numpy(), part["tie"].to_numpy(), shared.value)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(file.astype(np.int32)), part["doc_id"], part["tie"], pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], schema=schema)
+                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], schema=schema)
             pa.default_memory_pool().release_unused()
 
-    return documents.mapInArrow(run, "file int, doc_id long, tie long, n_tokens long, ids array<int>")
+    return documents.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
 
 def write_tokens(documents: DataFrame, path: str, tokenizer: str | None, end_id: int, shard_bytes: int = SHARD_BYTES) -> None:
-    """Encode, deal out by ranges of (doc_id, text hash), so that no file outgrows shard_bytes of text by much, sort and write."""
+    """Deal out by ranges of (doc_id, text hash), so that no file outgrows shard_bytes of text by much, sort, encode and write."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     d = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), text.alias("text"))
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = int(max(1, -(-size // shard_bytes), min(d.sparkSession.sparkContext.defaultParallelism, size >> 20)))
-    bounds = file_bounds(d.select("doc_id", "tie"), n) if n > 1 else (np.zeros(0, np.int64),) * 2
-    out = encode(d, tokenizer, end_id, bounds).repartitionById(len(bounds[0]) + 1, F.col("file"))
-    out = out.sortWithinPartitions("doc_id", "tie").select("doc_id", "file", "n_tokens", "ids")
+    d = d.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
+    out = encode(d, tokenizer, end_id).select("doc_id", F.spark_partition_id().alias("file"), "n_tokens", "ids")
     (
         out.write.option("compression", "snappy").option("parquet.writer.version", "v2")
         .option("parquet.enable.dictionary", "true").option("parquet.block.size", ROW_GROUP_BYTES)

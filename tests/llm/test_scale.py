@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,14 +82,6 @@ def test_url_with_a_very_long_name(spark):
     assert len(rows) == 13 and [r["verdict"] for r in rows if r["page_id"] == 99] == ["block", "block"]
 
 
-def test_places_of_rows_among_bounds():
-    rng = np.random.default_rng(0)
-    ids, ties = rng.integers(0, 5, 200), rng.integers(-3, 3, 200)
-    bounds = sorted({(int(a), int(b)) for a, b in zip(rng.integers(0, 5, 9), rng.integers(-3, 3, 9))})
-    got = tokens.places(ids, ties, (np.array([b[0] for b in bounds]), np.array([b[1] for b in bounds])))
-    assert got.tolist() == [sum(b <= (i, t) for b in bounds) for i, t in zip(ids.tolist(), ties.tolist())]
-
-
 def test_reading_counts_leaves_ids_alone(spark, tmp_path):
     docs = spark.createDataFrame(list(enumerate(_texts(50))), "doc_id long, text string")
     path = tokens.token_files(docs)[1]
