@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import itertools
 import tempfile
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -102,42 +103,35 @@ def sized_join(left: DataFrame, right: DataFrame, on, how: str, max_rows: int =
 
 
 class Bitmap:
-    """A bitmap of hashed keys, broadcast: rows whose bit is unset have none of the keys; the others may."""
+    """A bitmap of hashed keys (a column of longs), broadcast in pieces: rows whose bit is unset have none of the keys; the others may."""
 
     def __init__(self, keys: DataFrame, key: Column):
-        n, self.spark = keys.count(), keys.sparkSession
-        self.bits = max(BITMAP_BITS[0], min(BITMAP_BITS[1], (16 * n).bit_length()))
-        at = F.shiftrightunsigned(key, 64 - self.bits) + 1  # Spark numbers bits from 1
-        maps = keys.select(at.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
-        size = 1 << 12  # bytes of one of Spark's bitmaps
-        bits = np.zeros((1 << self.bits) // 8, np.uint8)
-        for k, found in maps.toLocalIterator():
-            bits[(k - 1) * size : k * size] = np.frombuffer(found, np.uint8)
-        self.shared = self.spark.sparkContext.broadcast(bits)
+        self.bits = max(BITMAP_BITS[0], min(BITMAP_BITS[1], (16 * keys.count()).bit_length()))
+        b = keys.select(self._bit(key).alias("b"))
+        self.pieces = stash(b.groupBy(F.bitmap_bucket_number("b").alias("__piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("__bits")), "bitmap")
+
+    def _bit(self, key: Column) -> Column:
+        return F.shiftrightunsigned(key, 64 - self.bits) + 1  # Spark numbers bits from 1
+
+    def mark(self, rows: DataFrame, key: Column, name: str = "may") -> DataFrame:
+        """rows with a boolean column that tells whether they may hold one of the keys. No row passes through Python."""
+        bit = self._bit(key)
+        rows = rows.withColumns({"__piece": F.bitmap_bucket_number(bit), "__at": F.bitmap_bit_position(bit)})
+        rows = rows.join(F.broadcast(self.pieces), "__piece", "left")
+        byte = "cast(conv(hex(substring(__bits, cast(__at div 8 AS int) + 1, 1)), 16, 10) AS int)"
+        held = F.expr(f"shiftright({byte}, cast(__at % 8 AS int)) & 1 = 1")
+        return rows.withColumn(name, F.coalesce(held, F.lit(False))).drop("__piece", "__at", "__bits")
 
     def split(self, rows: DataFrame, key: str, may: bool = True) -> DataFrame:
-        """Rows, with the long column `key`, that may hold one of the keys; or, with may=False, those that cannot."""
-        shared, shift = self.shared, np.uint64(64 - self.bits)
+        """Rows that may hold one of the keys; or, with may=False, those that cannot."""
+        return self.mark(rows, F.col(key), "__may").filter(F.col("__may") == may).drop("__may")
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                at = (b[key].to_numpy(zero_copy_only=False).view(np.uint64) >> shift).astype(np.int64)
-                hit = (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
-                yield b.filter(pa.array(hit if may else ~hit))
 
-        return rows.mapInArrow(run, rows.schema)
-
-    def holds(self, key: Column) -> Column:
-        """The same as a boolean column, for wide rows of which the rest should not pass through Python."""
-        shared, shift = self.shared, np.uint64(64 - self.bits)
-
-        @F.pandas_udf("boolean")
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for b in batches:
-                at = (b.to_numpy(np.int64).view(np.uint64) >> shift).astype(np.int64)
-                yield pd.Series((shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0)
-
-        return run(key)
+def give_back() -> None:
+    """Returns freed memory of a Python worker, which Spark keeps for later tasks, to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def hot_safe_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -201,6 +195,7 @@ def whole_groups(batches, keys: list[str]):
         if len(bounds) > 1:
             yield kept.iloc[: bounds[-1]], bounds
         kept = kept.iloc[bounds[-1] :].reset_index(drop=True) if b is not None else None
+    give_back()
 
 
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, stash
+from tessera.llm.common import give_back, read, stash
 
 K1, B = 1.2, 0.75
 MIN_SCORE, MIN_OVERLAP, MIN_ANSWER = 0.6, 0.8, 0.5
@@ -233,6 +233,8 @@ def leak_finder(spark, shard: list[Index], edited: bool):
         finder = Finder(model.value)
         for b in batches:
             yield pd.Series([x for at in range(0, len(b), 32) for x in finder.find(b.iloc[at : at + 32].tolist(), edited)], dtype=object)
+            del b
+            give_back()
 
     return find
 

@@ -152,7 +152,7 @@ def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     touched = stash(touched, "touched", (groups,))
     columns = [F.col(f"`{c}`") for c in documents.columns]
     rows = documents.select(row_name().alias("rid"), F.struct(*columns).alias("row"))
-    rows = rows.withColumn("may", Bitmap(touched, F.col("rid.a")).holds(F.col("rid.a")))
+    rows = Bitmap(touched, F.col("rid.a")).mark(rows, F.col("rid.a"))
     met = sized_join(rows.filter("may"), touched, "rid", "left").select("rid", "row", "stays")
     single = met.filter("stays").dropDuplicates(["rid"])
     out = rows.filter("NOT may").select("row").unionByName(met.filter("stays IS NULL").select("row")).unionByName(single.select("row"))

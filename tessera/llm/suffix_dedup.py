@@ -214,7 +214,7 @@ def repeated_windows(entries: DataFrame, documents: DataFrame) -> DataFrame:
 
     one = kinds.join(mixed.hint("merge"), "key", "left_semi").select("kid", "n", "o1", "o2", "one.*")
     wanted = stash(one.groupBy("r1", "r2").agg(F.collect_list(F.struct("kid", "n", "o1", "o2", "at")).alias("w")), "wanted")
-    named = documents.filter(Bitmap(wanted, F.col("r1")).holds(F.col("r1")))
+    named = Bitmap(wanted, F.col("r1")).split(documents, "r1")
     texts = sized_join(named, wanted, ["r1", "r2"], "inner").select("text", F.explode("w").alias("w")).select("text", "w.*")
     context = F.expr(f"substring(text, cast(at - o2 + 1 AS int), o2 - o1 + {LENGTH})")
     contexts = stash(texts.select("kid", "n", "o1", "o2", context.alias("context")), "contexts")
@@ -277,8 +277,7 @@ def strip_repeats(documents: DataFrame, batches: int | None = None) -> DataFrame
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *(pa.array(x, pa.int64()) for x in (a, c, d)), pa.array(e, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
     # documents without repeats, as a bitmap tells, are in no shuffle
-    may = Bitmap(spans, F.col("r1")).holds(F.col("r1"))
-    marked = docs.withColumn("may", may)
+    marked = Bitmap(spans, F.col("r1")).mark(docs, F.col("r1"))
     none = F.lit(None).cast(spans.schema["spans"].dataType)
     joined = sized_join(marked.filter("may"), spans, ["r1", "r2"], "left").select("doc_id", "text", "spans")
     joined = joined.unionByName(marked.filter("NOT may").select("doc_id", "text", none.alias("spans")))

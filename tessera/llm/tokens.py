@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, shared_path
+from tessera.llm.common import give_back, read, shared_path
 
 #: Words of a generation, of which a worker remembers two, from task to task.
 CACHE_WORDS, CACHE_TAILS = 150_000, 10_000
@@ -163,7 +163,7 @@ def encode(documents: DataFrame, tokenizer: str | None, end_id: int) -> DataFram
                 flat, counts = words.encode(part["text"], end_id)
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], schema=schema)
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return documents.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, sized_join, stash
+from tessera.llm.common import give_back, read, sized_join, stash
 
 WINDOW, BUCKETS, DIM, GRAMS = 3, 1 << 16, 16, (3, 4, 5)
 TRAIN_CHARS = {1: 4_000_000, 0: 6_000_000}
@@ -213,6 +213,8 @@ def toxicity_scorer(documents: DataFrame, labels: DataFrame):
         for b in batches:
             z = [x for at in range(0, len(b), 256) for x in scorer.best([t or b"" for t in b.iloc[at : at + 256]])]
             yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(z, float), -50, 50))))
+            del b
+            give_back()
 
     return score
 
