@@ -28,7 +28,7 @@ from tessera.llm.common import give_back, read, shared_path
 #: Words of a generation, of which a worker remembers two, from task to task.
 CACHE_WORDS, CACHE_TAILS = 150_000, 10_000
 TOKENIZER = "word_bpe_49k.json"
-SHARD_BYTES, SLICE_DOCS = 64 << 20, 1024
+SHARD_BYTES, SLICE_DOCS, BATCH_DOCS = 32 << 20, 768, 1536
 ROW_GROUP_BYTES, PAGE_BYTES = 16 << 20, 256 << 10
 #: Of each line: letters that normalization leaves as they are and that are pre-tokenized whole, and marks after them, also whole.
 _PLAIN = re.compile("[a-zà-öø-ÿ]+")
@@ -176,11 +176,17 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str | None, end_id:
     n = int(max(1, -(-size // shard_bytes), min(d.sparkSession.sparkContext.defaultParallelism, size >> 20)))
     d = d.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     out = encode(d, tokenizer, end_id).select("doc_id", F.spark_partition_id().alias("file"), "n_tokens", "ids")
-    (
-        out.write.option("compression", "snappy").option("parquet.writer.version", "v2")
-        .option("parquet.enable.dictionary", "true").option("parquet.block.size", ROW_GROUP_BYTES)
-        .option("parquet.page.size", PAGE_BYTES).option("parquet.dictionary.page.size", 1 << 20).parquet(path)
-    )
+    spark, batch = d.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, str(BATCH_DOCS))  # so that a batch of texts on its way to Python is small
+    try:
+        (
+            out.write.option("compression", "snappy").option("parquet.writer.version", "v2")
+            .option("parquet.enable.dictionary", "true").option("parquet.block.size", ROW_GROUP_BYTES)
+            .option("parquet.page.size", PAGE_BYTES).option("parquet.dictionary.page.size", 1 << 20).parquet(path)
+        )
+    finally:
+        spark.conf.set(batch, before)
 
 
 def digest(spark, path: str) -> DataFrame:
