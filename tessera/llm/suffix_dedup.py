@@ -8,7 +8,7 @@ of its first GRAM bytes, which orders suffixes of one lead; the windows it stand
 Index family: each batch of documents (about BATCH_BYTES, within LEAST_BATCHES and MOST_BATCHES of them) gets its sorted
 array, is merge-scanned against every existing level (a merge join in byte order of the leads) and against itself, and is
 added; levels of equal size merge into one of the next size, so a corpus of n batches keeps log2(n) levels and each
-suffix is rewritten log2(n) times. Levels are Parquet tables in the shared folder. A scan tells which suffixes share
+suffix is rewritten log2(n) times. Levels are bucketed Parquet tables in the shared folder. A scan tells which suffixes share
 GRAM bytes with another; whole windows are compared next.
 
 The suffixes whose leading bytes were met again are compared as a whole (their runs' bytes, hashed). Where all are
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Bitmap, drop_path, read, row_name, shared_path, sized_join, stash, unstash
 
 LENGTH, GRAM, LEAD, NODE = 400, 100, 24, 16
-BATCH_BYTES, LEAST_BATCHES, MOST_BATCHES = 256 << 20, 4, 64
+BATCH_BYTES, LEAST_BATCHES, MOST_BATCHES = 256 << 20, 4, 16
 #: Bytes of a text that are in hand at once.
 CHUNK = 1 << 20
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
@@ -130,40 +130,50 @@ def suffixes(documents: DataFrame) -> DataFrame:
 class IndexFamily:
     """Levels of sorted suffix arrays: leading bytes, hash, and how many suffixes have them; level k holds 2**k batches.
 
-    Where the suffixes lie is kept by batch, in what suffixes() gave, and looked up by what was met.
+    Levels are tables bucketed and sorted by what orders suffixes, all into as many buckets, so that a batch is shuffled
+    once, when it comes, and scans of levels shuffle nothing. Where the suffixes lie is kept by batch, in what suffixes()
+    gave, and looked up by what was met.
     """
 
     def __init__(self, spark):
-        self.spark, self.levels = spark, {}
+        self.spark, self.levels, self.paths = spark, {}, {}
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))  # as a grouping deals rows out
 
     def _write(self, rows: DataFrame, on: list[str]) -> str:
         path = shared_path(self.spark, "suffixes")
-        rows.sortWithinPartitions(*on).write.option("compression", "zstd").parquet(path)
-        return path
+        name = path.rpartition("/")[2].replace("-", "_")
+        rows.write.option("compression", "zstd").option("path", path).bucketBy(self.buckets, *on).sortBy(*on).saveAsTable(name, format="parquet")
+        self.paths[name] = path
+        return name
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE {name}")
+        drop_path(self.spark, self.paths.pop(name))
 
     def add(self, batch: DataFrame) -> DataFrame:
         """Scan a batch, of the columns that order its suffixes, against all levels and itself, then add it; gives what was met."""
         on = batch.columns
-        path = self._write(batch.groupBy(*on).agg(F.count("*").alias("n")), on)
-        new = self.spark.read.parquet(path)
+        name = self._write(batch.groupBy(*on).agg(F.count("*").alias("n")), on)
+        new = self.spark.table(name)
         met = new.filter("n > 1").select(*on)
         for level in self.levels.values():
-            met = met.unionByName(new.select(*on).join(self.spark.read.parquet(level).hint("merge"), on, "left_semi"))
+            met = met.unionByName(new.select(*on).join(self.spark.table(level).hint("merge"), on, "left_semi"))
         met = stash(met.distinct(), "met")
-        size, paths = 0, [path]
+        size, names = 0, [name]
         while size in self.levels:  # as a binary counter carries
-            paths.append(self.levels.pop(size))
+            names.append(self.levels.pop(size))
             size += 1
-        if len(paths) > 1:
-            path = self._write(self.spark.read.parquet(*paths).groupBy(*on).agg(F.sum("n").alias("n")), on)
-            for p in paths:
-                drop_path(self.spark, p)
-        self.levels[size] = path
+        if len(names) > 1:
+            rows = reduce(DataFrame.unionByName, map(self.spark.table, names))
+            name = self._write(rows.groupBy(*on).agg(F.sum("n").alias("n")), on)
+            for old in names:
+                self._drop(old)
+        self.levels[size] = name
         return met
 
     def drop(self) -> None:
-        for path in self.levels.values():
-            drop_path(self.spark, path)
+        for name in self.levels.values():
+            self._drop(name)
         self.levels = {}
 
 
