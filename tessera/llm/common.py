@@ -127,6 +127,18 @@ class Bitmap:
         return self.mark(rows, F.col(key), "__may").filter(F.col("__may") == may).drop("__may")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """What runs in here sends at most so many rows at a time to Python, so that batches of long rows take little memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def give_back() -> None:
     """Returns freed memory of a Python worker, which Spark keeps for later tasks, to the system."""
     pa.default_memory_pool().release_unused()

@@ -23,9 +23,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import give_back, read, shared_path
+from tessera.llm.common import give_back, read, shared_path, small_batches, stash
 
-#: Words of a generation, of which a worker remembers two, from task to task.
+#: Words of a generation, of which a worker remembers two until its task ends.
 CACHE_WORDS, CACHE_TAILS = 150_000, 10_000
 TOKENIZER = "word_bpe_49k.json"
 SHARD_BYTES, SLICE_DOCS, BATCH_DOCS = 32 << 20, 768, 1536
@@ -60,6 +60,9 @@ class WordEncoder:
         self.last: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {"": b""}
 
+    def forget(self) -> None:
+        self.ids, self.last, self.tails = {}, {}, {"": b""}
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         out = []
         for at in range(0, len(texts), 10_000):
@@ -164,6 +167,8 @@ def encode(documents: DataFrame, tokenizer: str | None, end_id: int) -> DataFram
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], schema=schema)
             give_back()
+        words.forget()
+        give_back()
 
     return documents.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
 
@@ -176,17 +181,12 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str | None, end_id:
     n = int(max(1, -(-size // shard_bytes), min(d.sparkSession.sparkContext.defaultParallelism, size >> 20)))
     d = d.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
     out = encode(d, tokenizer, end_id).select("doc_id", F.spark_partition_id().alias("file"), "n_tokens", "ids")
-    spark, batch = d.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(batch)
-    spark.conf.set(batch, str(BATCH_DOCS))  # so that a batch of texts on its way to Python is small
-    try:
+    with small_batches(d.sparkSession, BATCH_DOCS):
         (
             out.write.option("compression", "snappy").option("parquet.writer.version", "v2")
             .option("parquet.enable.dictionary", "true").option("parquet.block.size", ROW_GROUP_BYTES)
             .option("parquet.page.size", PAGE_BYTES).option("parquet.dictionary.page.size", 1 << 20).parquet(path)
         )
-    finally:
-        spark.conf.set(batch, before)
 
 
 def digest(spark, path: str) -> DataFrame:
@@ -219,7 +219,8 @@ def token_files(documents: DataFrame, tokenizer: str | None = None, end_id: int
     spark = documents.sparkSession
     path = path or shared_path(spark, "tokens")
     write_tokens(documents, path, tokenizer, end_id)
-    return digest(spark, path), path
+    with small_batches(spark, BATCH_DOCS):
+        return stash(digest(spark, path), "token_digest"), path
 
 
 def op7_token_files(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import give_back, read, sized_join, stash
+from tessera.llm.common import give_back, read, sized_join, small_batches, stash
 
 WINDOW, BUCKETS, DIM, GRAMS = 3, 1 << 16, 16, (3, 4, 5)
 TRAIN_CHARS = {1: 4_000_000, 0: 6_000_000}
@@ -34,6 +34,8 @@ EPOCHS, RATE, DECAY, SEED = 80, 0.1, 1e-4, 7
 BLOCK_TOKENS, BLOCK_WORDS = 1 << 16, 10_000
 #: Words whose features are remembered in a worker.
 CACHE_WORDS = 200_000
+#: Rows that go to Python at a time in the stage, whose rows are carried along.
+BATCH_DOCS = 1536
 
 
 def word_grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -215,6 +217,8 @@ def toxicity_scorer(documents: DataFrame, labels: DataFrame):
             yield pd.Series(1 / (1 + np.exp(-np.clip(np.array(z, float), -50, 50))))
             del b
             give_back()
+        del scorer
+        give_back()
 
     return score
 
@@ -227,10 +231,11 @@ def score_toxicity(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """documents without those predicted toxic, all columns kept."""
+    """documents without those predicted toxic, all columns kept; written to the shared folder (a stash)."""
     score = toxicity_scorer(documents, labels)(F.col("text").cast("binary"))
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"), score.alias("toxicity"))
-    return rows.filter("toxicity < 0.5").select("row.*")
+    with small_batches(documents.sparkSession, BATCH_DOCS):
+        return stash(rows.filter("toxicity < 0.5").select("row.*"), "not_toxic")
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:
