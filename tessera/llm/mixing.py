@@ -7,8 +7,8 @@ budget goes, in the same way, to documents after it that are small enough (neste
 No sort over documents, and a rerun decides alike.
 
 Defined results: a null or empty text has size 0 and takes 0; a null source is a source of its own, last in order;
-repeated rows share a hash and are taken together or not at all; an empty table gives an empty result; if all sizes
-are 0, all targets are 0. Only doc_id, text and source are read.
+rows alike in doc_id and text are numbered, so that as many of them are taken as fit, whichever; an empty table gives
+an empty result; if all sizes are 0, all targets are 0. Only doc_id, text and source are read.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, sized_join, stash
+from tessera.llm.common import read, row_name, sized_join, stash
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
@@ -42,7 +42,9 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float =
     # if those before this one are stopped, the rest would share so much a unit of weight
     s = s.withColumn("level", (F.sum("source_size").over(every) - F.coalesce(F.sum("full").over(up), F.lit(0.0)))
                      / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(up), F.lit(0.0))))
-    s = s.withColumn("water", F.min(F.when(F.col("stop") > F.col("level"), F.struct("stop", "level"))).over(every)["level"])
+    # the level holds for the first that is not stopped; of sources that stop alike, a later one's counts the earlier as stopped
+    s = s.withColumn("place", F.row_number().over(Window.orderBy("stop", F.col("source").isNull(), "source")))
+    s = s.withColumn("water", F.min(F.when(F.col("stop") > F.col("level"), F.struct("place", "level"))).over(every)["level"])
     target = F.when(F.col("water").isNull(), F.col("full")).otherwise(F.least("full", F.col("water") * F.col("weight")))
     return s.select("source", "source_size", target.alias("target"))
 
@@ -79,20 +81,57 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     return edge.select("sid", F.col("low").alias("cut"), "used")
 
 
-def with_keys(documents: DataFrame, seed: str) -> DataFrame:
-    """Adds __size (words), __h (60-bit hash of doc_id) and __sid (of the source)."""
-    return documents.withColumns({
-        "__size": word_count(F.col("text")), "__h": F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 4), "__sid": source_key()})
+def repeated_names(names: DataFrame) -> DataFrame:
+    """(name) of several rows -> names that occur more than once."""
+    return stash(names.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name"), "repeated")
+
+
+def numbered(rows: DataFrame, key: str, out: str) -> DataFrame:
+    """Numbers the rows of equal keys from 0; a key's rows stay in their partitions, whose counts are summed."""
+    placed = rows.select(F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("row"), F.col(key).alias("key"), F.monotonically_increasing_id().alias("at"))
+    placed = stash(placed, "placed").withColumn("part", F.shiftright("at", 33))
+    here = placed.withColumn("inner", F.row_number().over(Window.partitionBy("part", "key").orderBy("at")) - 1)
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    counts = placed.groupBy("part", "key").agg(F.count("*").alias("c")).select("part", "key", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"))
+    return here.join(counts, ["part", "key"]).select("row.*", (F.col("inner") + F.col("base")).alias(out))
+
+
+def hashed(rows: DataFrame, name: str, seed: str, repeated: DataFrame) -> DataFrame:
+    """Adds __h, a 60-bit hash of a row's name and, where the name is repeated, of its number among those rows."""
+    h = lambda k: F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(name), k), 4)
+    none = F.lit(0).cast("long")
+    if repeated.isEmpty():
+        return rows.withColumn("__h", h(none))
+    marked = sized_join(rows, repeated.select(F.col("name").alias(name), F.lit(True).alias("__again")), name, "left")
+    single = marked.filter("__again IS NULL").drop("__again").withColumn("__h", h(none))
+    again = numbered(marked.filter("__again").drop("__again"), name, "__k")
+    return single.unionByName(again.withColumn("__h", h(F.col("__k"))).drop("__k"))
+
+
+def with_keys(documents: DataFrame, seed: str, repeated: DataFrame | None = None) -> DataFrame:
+    """Adds __size (words), __h (60-bit hash of doc_id and text) and __sid (of the source)."""
+    repeated = repeated or repeated_names(documents.select(row_name().alias("name")))
+    rows = documents.withColumns({"__name": row_name(), "__size": word_count(F.col("text")), "__sid": source_key()})
+    return hashed(rows, "__name", seed, repeated).drop("__name")
 
 
 def source_key() -> Column:
     return F.xxhash64(F.lit("source"), F.col("source").isNull(), "source")
 
 
-def mixing_plan(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MAX_REPEAT, seed: str = "mix") -> DataFrame:
-    """A row for each source: __sid, __source_size, __target, __whole copies, and its nested thresholds."""
-    d = with_keys(documents.select("doc_id", "source", "text"), seed)
-    d = stash(d.select("source", F.col("__size").alias("size"), F.col("__h").alias("h"), F.col("__sid").alias("sid")), "sized")
+def sized(documents: DataFrame, seed: str) -> tuple[DataFrame, DataFrame]:
+    """A row for each document: doc_id, source, __size, __sid, __h; and the names of repeated rows."""
+    d = documents.select("doc_id", "source", row_name().alias("name"), word_count(F.col("text")).alias("__size"), source_key().alias("__sid"))
+    d = stash(d, "sized")
+    repeated = repeated_names(d.select("name"))
+    if repeated.isEmpty():
+        return hashed(d, "name", seed, repeated), repeated
+    return stash(hashed(d, "name", seed, repeated), "sized", (d,)), repeated
+
+
+def mixing_plan(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MAX_REPEAT) -> DataFrame:
+    """Rows of sized -> a row for each source: __sid, __source_size, __target, __whole copies, and its nested thresholds."""
+    d = sizes.select("source", F.col("__size").alias("size"), F.col("__h").alias("h"), F.col("__sid").alias("sid"))
     sizes = d.groupBy("sid").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
     plan = targets(sizes.select("source", "source_size"), weights, cap).withColumn("sid", source_key())
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -126,17 +165,18 @@ def copies(cap: float = MAX_REPEAT) -> Column:
 
 def mix_documents(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MAX_REPEAT, seed: str = "mix") -> DataFrame:
     """The mix: each document as often as it is taken, with all its columns."""
-    plan = mixing_plan(documents, weights, cap, seed)
+    sizes, repeated = sized(documents, seed)
+    plan = mixing_plan(sizes, weights, cap)
     rows = documents.select("doc_id", "source", "text", F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("row"))
-    out = sized_join(with_keys(rows, seed).drop("doc_id", "source", "text"), plan, "__sid", "inner")
+    out = sized_join(with_keys(rows, seed, repeated).drop("doc_id", "source", "text"), plan, "__sid", "inner")
     times = F.when(F.col("__size") > 0, copies(cap)).otherwise(0).cast("int")
     return out.select("row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")
 
 
 def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = MAX_REPEAT, seed: str = "mix") -> DataFrame:
     """documents -> doc_id, size, source_size, target, taken."""
-    plan = mixing_plan(documents, weights, cap, seed)
-    out = sized_join(with_keys(documents.select("doc_id", "source", "text"), seed), plan, "__sid", "inner")
+    sizes, _ = sized(documents, seed)
+    out = sized_join(sizes, mixing_plan(sizes, weights, cap), "__sid", "inner")
     return out.select(
         "doc_id", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
         (F.col("__size") * copies(cap)).alias("taken"))

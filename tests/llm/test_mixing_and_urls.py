@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import itertools
 import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import mixing, url_filter
 
@@ -21,7 +23,10 @@ def _targets(sizes: list[int], weights=(1, 2, 3), cap=3) -> list[float]:
         stopped |= over
 
 
-@pytest.mark.parametrize("sizes", [[100, 10, 1000], [5, 5, 5, 5], [1, 1, 1000], [0, 7, 30, 900, 2, 1]])
+TIED = [[5000, 10_000], [100] * 6, [100] * 7, [1000, 10, 300, 1000, 10, 300], [500, 1000]]
+
+
+@pytest.mark.parametrize("sizes", [[100, 10, 1000], [5, 5, 5, 5], [1, 1, 1000], [0, 7, 30, 900, 2, 1], *TIED])
 def test_targets(spark, sizes):
     df = spark.createDataFrame([(f"s{k}", s) for k, s in enumerate(sizes)], "source string, source_size long")
     got = {r["source"]: r["target"] for r in mixing.targets(df).collect()}
@@ -37,11 +42,51 @@ def test_mix_meets_targets_and_repeats(spark):
     again = {r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect()}
     for r in rows:
         taken[(r["source_size"], r["target"])] += r["taken"]
-        assert r["taken"] <= 3 * r["size"] and again[r["doc_id"]] == r["taken"]
+        assert 0 <= r["taken"] <= 3 * r["size"] and again[r["doc_id"]] == r["taken"]
         by[r["source_size"]] = r["target"]
     for (_, target), t in taken.items():
         assert 0 <= target - t < 50  # less than the largest document
-    assert sum(by.values()) == pytest.approx(sum(by))
+    assert len(by) == 5 and sum(by.values()) == pytest.approx(sum(by))  # no two sources are of one size here
+
+
+def test_targets_of_many_tied_sources():
+    """The level that targets picks, in plain Python, against water filling for lists of few different sizes."""
+    for sizes in itertools.chain(*(itertools.product((0, 10, 20, 30), repeat=n) for n in range(1, 7))):
+        w = [mixing.WEIGHTS[k % 3] for k in range(len(sizes))]
+        up = sorted(range(len(sizes)), key=lambda k: (3 * sizes[k] / w[k], k))
+        level = next((x for k, x in ((k, (sum(sizes) - 3 * sum(sizes[j] for j in up[:p])) / sum(w[j] for j in up[p:])) for p, k in enumerate(up)) if 3 * sizes[k] / w[k] > x), None)
+        got = [3 * s if level is None else min(3 * s, level * w[k]) for k, s in enumerate(sizes)]
+        assert got == pytest.approx(_targets(list(sizes)), abs=1e-9) and sum(got) == pytest.approx(sum(sizes))
+
+
+@pytest.mark.parametrize("sizes", TIED)
+def test_mix_of_tied_sources(spark, sizes):
+    rows = [(f"{k}-{i}", f"s{k}", "w " * 5) for k, s in enumerate(sizes) for i in range(s // 5)]
+    docs = spark.createDataFrame(rows, "doc_id string, source string, text string").repartition(5)
+    taken, target = defaultdict(int), {}
+    for r in mixing.mix(docs.withColumn("doc_id", F.xxhash64("doc_id"))).collect():
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[r["target"]] += r["taken"]
+        target[r["target"]] = target.get(r["target"], 0) + 1
+    assert sum(taken.values()) == pytest.approx(sum(sizes), abs=5 * len(sizes))
+    assert mixing.mix_documents(docs).count() == pytest.approx(sum(sizes) / 5, abs=len(sizes))
+
+
+def test_mix_of_rows_alike(spark):
+    """Null doc_ids, with different texts and with the same: as many rows are taken as fit, in any layout of the rows."""
+    docs = [(None, "a", f"w{k} x") for k in range(1000)] + [(None, "b", "same words")] * 1000 + [(k, "c", "w " * 40) for k in range(100)]
+    found = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(docs, "doc_id long, source string, text string").repartition(parts)
+        rows = mixing.mix(df).collect()
+        assert len(rows) == 2100 and all(0 <= r["taken"] <= 3 * r["size"] for r in rows)
+        taken = defaultdict(int)
+        for r in rows:
+            taken[r["target"]] += r["taken"]
+        assert all(0 <= t - n <= 40 for t, n in taken.items()) and len(taken) == 3
+        found.append(sorted((r["doc_id"] or -1, r["target"], r["taken"]) for r in rows))
+        assert mixing.mix_documents(df).count() == sum(r["taken"] // r["size"] for r in rows)
+    assert found[0] == found[1]
 
 
 def test_mix_edges(odd_docs, no_docs):
