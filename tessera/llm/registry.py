@@ -16,7 +16,9 @@ MODULES = {
     "op8_simhash": "simhash",
     "op9_suffix_dedup": "suffix_dedup",
     "op10_decontaminate": "decontam",
+    "op11_document_fingerprints": "fingerprints",
     "op13_merkle_manifest": "merkle",
+    "edited_texts": "fingerprints",
     "url_rules": "url_filter",
     "mix_targets": "mixing",
 }
@@ -46,6 +48,10 @@ SQL: dict[str, str] = {
         level AS (SELECT coalesce((total - list_sum(list_prepend(0.0::DOUBLE, list_transform(list_filter(x, lambda f: f.stopped), lambda f: f.full_)))) / list_sum(list_transform(list_filter(x, lambda f: NOT f.stopped), lambda f: f.weight)), 0) AS w FROM last),
         t AS (SELECT u.source AS source, CASE WHEN u.stopped THEN u.full_ ELSE u.weight * (SELECT w FROM level) END AS target FROM (SELECT unnest(x) AS u FROM last))
         SELECT doc_id, d.size, s.source_size, CAST(round(target * 1000000) AS BIGINT) AS target_1e6 FROM docs d JOIN s ON d.source IS NOT DISTINCT FROM s.source JOIN t ON t.source IS NOT DISTINCT FROM s.source""",
+    "edited_texts": """SELECT doc_id, n AS n_chars, sha256(left(t, n - n // 2) || left(after, n // 2)) AS edited_sha256, CAST(coalesce(list_position(list_transform(
+          list_zip(string_split(t, ''), string_split(after, '')), lambda p: p[1] IS NOT DISTINCT FROM p[2]), false) - 1, least(n, length(after))) AS BIGINT) AS agree_next FROM
+        (SELECT *, length(t) AS n, coalesce(lead(t) OVER (ORDER BY doc_id DESC NULLS LAST), first_value(t) OVER (ORDER BY doc_id DESC NULLS LAST)) AS after FROM
+            (SELECT doc_id, coalesce(text, '') AS t FROM documents))""",
     "op13_merkle_manifest": f"""WITH RECURSIVE leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM
           (SELECT doc_id, coalesce('=' || lang, '-') AS g, {_LEAF} AS leaf, CASE WHEN {_CRC} % 7 = 0 THEN {_TOLD} ELSE {_LEAF} END AS told FROM documents)),
         up AS (SELECT 0 AS lv, g, i, leaf AS h, n FROM leaves UNION ALL SELECT lv + 1, g, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM up WHERE n > 1 GROUP BY lv, g, i // 2, n),
