@@ -17,6 +17,7 @@ MODULES = {
     "op9_suffix_dedup": "suffix_dedup",
     "op10_decontaminate": "decontam",
     "op11_document_fingerprints": "fingerprints",
+    "op12_token_alignment": "alignment",
     "op13_merkle_manifest": "merkle",
     "edited_texts": "fingerprints",
     "url_rules": "url_filter",
