@@ -36,8 +36,9 @@ def facet_query(table: DataFrame, **facets) -> DataFrame:
 
 
 def summary_card(rows: DataFrame) -> DataFrame:
+    """Counts of rows, and of different peptides, which are fewer where a peptide is in several files."""
     return rows.agg(
-        F.count("*").alias("n_rows"), F.count_if(F.col("n_antibody") == 1).alias("n_unique"), F.count_if(F.col("n_antibody") > 1).alias("n_non_unique"),
+        F.count("*").alias("n_rows"), F.count_distinct("sequence").alias("n_sequences"), F.count_if(F.col("n_antibody") == 1).alias("n_unique"), F.count_if(F.col("n_antibody") > 1).alias("n_non_unique"),
         F.count_if(F.col("cdr3") == 1).alias("n_cdr3"), F.count_if(F.col("cdr3") == 0).alias("n_non_cdr3"))
 
 
@@ -63,9 +64,25 @@ def isotype_uniqueness(rows: DataFrame, root: str = "Total") -> DataFrame:
     return got.select(label.alias("label"), parent.alias("parent"), "value")
 
 
+def peptide_flags(served: DataFrame, by: str = "disease_no", **kept: Column) -> DataFrame:
+    """A row for each (by, sequence): flags, with a bit for each isotype among its rows, and further aggregates.
+
+    Bits are or-ed before the shuffle, so whatever is counted by isotype afterwards needs no distinct and no copy of the rows.
+    """
+    bit = F.lit(0)
+    for k, isotype in enumerate(ISOTYPES):
+        bit = F.when(F.col("isotype") == isotype, 1 << k).otherwise(bit)
+    return served.groupBy(by, "sequence").agg(F.bit_or(bit).alias("flags"), *(c.alias(n) for n, c in kept.items()))
+
+
+def has_isotype(isotype: str) -> Column:
+    return F.col("flags").bitwiseAND(1 << ISOTYPES.index(isotype)) != 0
+
+
 def isotype_table(served: DataFrame, by: str = "disease_no") -> DataFrame:
-    """Different peptides by disease and isotype, wide, 0 where none."""
-    return served.groupBy(by).pivot("isotype", ISOTYPES).agg(F.count_distinct("sequence")).na.fill(0)
+    """Different peptides by disease and isotype, wide, 0 where none. Rows without a peptide count for none."""
+    flags = peptide_flags(served.filter("sequence IS NOT NULL"), by)
+    return flags.groupBy(by).agg(*(F.count_if(has_isotype(i)).alias(i) for i in ISOTYPES))
 
 
 def catalog_with_isotypes(catalog: DataFrame, isotypes: DataFrame, on: str = "disease_no") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.ranking import row_numbers
@@ -68,13 +68,19 @@ def exactly_one(df: DataFrame, what: str = "selection") -> DataFrame:
     return df
 
 
-def distinct_counts_to_rows(df: DataFrame, key: str | list[str], counted: str, out: str) -> DataFrame:
-    """Adds the number of different values of a key's rows; a null counts as a value.
+def distinct_counts(df: DataFrame, key: str | list[str], counted: str, out: str) -> DataFrame:
+    """key, out: the number of different values of a key's rows; a null counts as a value.
 
-    A window over the key needs no shuffle where the rows are dealt by it already, as after a join on it.
+    Two aggregates: different (key, value) first, then their count. Each sums before its shuffle, so a hot key is
+    as many rows as it has values, dealt over all tasks, and then a row a task.
     """
-    w = Window.partitionBy(*([key] if isinstance(key, str) else key))
-    return df.withColumn(out, F.size(F.collect_set(counted).over(w)) + F.max(F.col(counted).isNull().cast("int")).over(w))
+    keys = [key] if isinstance(key, str) else key
+    return df.select(*keys, F.col(counted).alias("__value")).distinct().groupBy(*keys).agg(F.count("*").alias(out))
+
+
+def distinct_counts_to_rows(df: DataFrame, key: str | list[str], counted: str, out: str) -> DataFrame:
+    """Adds the number of different values of a key's rows. A plain join, whose hot keys AQE splits; null keys get null."""
+    return df.join(distinct_counts(df, key, counted, out), key, "left")
 
 
 def values_with_all(df: DataFrame, column: str, first: str = "All") -> DataFrame:

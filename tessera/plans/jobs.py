@@ -83,15 +83,25 @@ def specific_statistics(pairs: DataFrame, control: str = "None") -> DataFrame:
     return found.select("disease", "sequence", "n_antibody", F.length("sequence").alias("length_aa"))
 
 
+def surviving_rows(stats: DataFrame, files: DataFrame, metadata: DataFrame, catalog: DataFrame, *columns: str) -> DataFrame:
+    """A row for each surviving peptide and file: disease, disease_no, sequence, filename, columns of the metadata, and those of stats.
+
+    The statistics are of surviving peptides, so their join keeps what a semi join would.
+    """
+    rows = files.select("disease", "sequence", "filename").join(stats, ["disease", "sequence"])
+    rows = rows.join(sets.small(metadata.select("filename", *columns)), "filename", "left")
+    return rows.join(sets.small(catalog.select("disease", "disease_no")), "disease")
+
+
 def peptide_table(stats: DataFrame, files: DataFrame, cdr3: DataFrame, metadata: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Served peptide table, a row for each peptide and file, from statistics of the surviving peptides and rows by file."""
+    """Served peptide table, a row for each peptide and file, from statistics of the surviving peptides and rows by file.
+
+    Patients are counted and CDR3 peptides marked where a peptide is one row, before the join with its files.
+    """
     keys = ["disease", "sequence"]
-    stats = sets.flag_members(stats, cdr3, keys, "cdr3")
-    # the statistics are of surviving peptides, so their join keeps what a semi join would
-    rows = files.select(*keys, "filename").join(stats, keys)
-    rows = rows.join(sets.small(metadata.select("filename", "patient", "bsource", "btype", "isotype")), "filename", "left")
-    rows = sets.distinct_counts_to_rows(rows, keys, "patient", "n_patient")
-    rows = rows.join(sets.small(catalog.select("disease", "disease_no")), "disease")
+    patients = files.select(*keys, "filename").join(sets.small(metadata.select("filename", "patient")), "filename", "left")
+    stats = sets.flag_members(stats, cdr3, keys, "cdr3").join(sets.distinct_counts(patients, keys, "patient", "n_patient"), keys)
+    rows = surviving_rows(stats, files, metadata, catalog, "patient", "bsource", "btype", "isotype")
     return rows.select("disease_no", "sequence", "filename", "patient", "bsource", "btype", "isotype", "n_patient", F.col("n_antibody"), "length_aa", "cdr3")
 
 
@@ -102,15 +112,23 @@ def antibody_table(antibodies: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def disease_summary(peptides: DataFrame, antibodies: DataFrame, catalog: DataFrame, metadata: DataFrame) -> DataFrame:
-    """A row of counts for each disease with a peptide table. Patients are those of the metadata, a null one counted once."""
-    distinct_if = lambda c: F.count_distinct(F.when(c, F.col("sequence")))
-    p = peptides.groupBy("disease_no").agg(
-        F.count_distinct("sequence").alias("n_peptide"), F.max("n_antibody").alias("max_antibody"), F.max("n_patient").alias("max_patient"),
-        distinct_if(F.col("n_antibody") == 1).alias("n_peptide_unique"), distinct_if(F.col("n_antibody") > 1).alias("n_peptide_non_unique"),
-        *(distinct_if(F.col("isotype") == i).alias(f"n_peptide_{i.lower()}") for i in ISOTYPES))
+    """A row of counts for each disease with a peptide table, numbered No, with the name of its partition, File_db.
+
+    Patients are those of the metadata, a null one counted once. Peptides are brought to a row each, with a bit for each
+    isotype and for either uniqueness, and counted by bits: no aggregate is over distinct values.
+    """
+    n = F.col("n_antibody")
+    p = facets.peptide_flags(
+        peptides, n_antibody=F.max(n), n_patient=F.max("n_patient"), one=F.bool_or(n == 1), more=F.bool_or(n > 1)).filter("sequence IS NOT NULL")
+    p = p.groupBy("disease_no").agg(
+        F.count("*").alias("n_peptide"), F.max("n_antibody").alias("max_antibody"), F.max("n_patient").alias("max_patient"),
+        F.count_if("one").alias("n_peptide_unique"), F.count_if("more").alias("n_peptide_non_unique"),
+        *(F.count_if(facets.has_isotype(i)).alias(f"n_peptide_{i.lower()}") for i in ISOTYPES))
     a = antibodies.groupBy("disease_no").agg(F.count_distinct("sequence_alignment_aa").alias("n_antibody"))
-    m = metadata.groupBy("disease").agg((F.count_distinct("patient") + F.max(F.col("patient").isNull().cast("int"))).alias("n_patient"))
-    return catalog.select("disease", "disease_no").join(m, "disease", "left").join(p, "disease_no").join(a, "disease_no", "left")
+    m = sets.distinct_counts(metadata, "disease", "patient", "n_patient")
+    found = catalog.select("disease", "disease_no").join(m, "disease", "left").join(p, "disease_no").join(a, "disease_no", "left")
+    number = F.regexp_extract("disease_no", r"(\d+)$", 1).cast("long")
+    return found.select(number.alias("no"), S.partition_name(F.col("disease_no"), F.col("disease")).alias("file_db"), "*")
 
 
 def largest_measures(summary: DataFrame, disease_no: str, default: int = 10) -> DataFrame:

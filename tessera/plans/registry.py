@@ -14,6 +14,7 @@ from tessera.plans import jobs, oracle, tables
 from tessera.plans.oracle import MASS, PEPTIDES, over_base, simple_fragments, trypsin_fragments
 from tessera.sources import files, sinks
 from tessera.sources.scratch import materialized, scratch_path
+from tessera.streaming.exclusivity import ExclusivePeptides, follow
 from tessera.streaming.incremental import digest_new_files
 
 RULE = "simple"
@@ -77,6 +78,11 @@ class Build:
     def served(self) -> DataFrame:
         return jobs.peptide_table(jobs.specific_statistics(self.pairs), jobs.by_file(self.digested), jobs.cdr3_peptides(self.stored, RULE), self.meta, self.catalog)
 
+    @property
+    def isotypes(self) -> DataFrame:
+        """Isotypes of surviving peptides, which need no served table."""
+        return jobs.surviving_rows(jobs.specific_statistics(self.pairs), jobs.by_file(self.digested), self.meta, self.catalog, "isotype")
+
     @property
     def served_antibodies(self) -> DataFrame:
         return jobs.antibody_table(self.stored, self.catalog)
@@ -171,7 +177,7 @@ def o101_antibody_table(spark, sf_dir):
 
 
 _ISO = ", ".join(f"count(DISTINCT CASE WHEN isotype = '{i}' THEN sequence END) AS n_peptide_{i.lower()}" for i in facets.ISOTYPES)
-SUMMARY = f"""SELECT c.disease, c.disease_no, n_peptide, n_patient, max_antibody, max_patient, n_peptide_unique, n_peptide_non_unique,
+SUMMARY = f"""SELECT c.disease, c.disease_no, CAST(regexp_extract(c.disease_no, '([0-9]+)$', 1) AS BIGINT) AS no, c.disease_no || '_' || regexp_replace(c.disease, '[^A-Za-z0-9]', '_', 'g') AS file_db, n_peptide, n_patient, max_antibody, max_patient, n_peptide_unique, n_peptide_non_unique,
     {', '.join(f'n_peptide_{i.lower()}' for i in facets.ISOTYPES)}, n_antibody FROM cat c JOIN (SELECT disease_no, count(DISTINCT sequence) AS n_peptide,
     max(n_antibody) AS max_antibody, max(n_patient) AS max_patient,
     count(DISTINCT CASE WHEN n_antibody = 1 THEN sequence END) AS n_peptide_unique, count(DISTINCT CASE WHEN n_antibody > 1 THEN sequence END) AS n_peptide_non_unique, {_ISO}
@@ -193,13 +199,13 @@ def o51_largest_measures(spark, sf_dir):
 
 @query(over_base("SELECT * FROM isos"))
 def o103_isotype_table(spark, sf_dir):
-    return facets.isotype_table(Build(spark, sf_dir).served_table)
+    return facets.isotype_table(Build(spark, sf_dir).isotypes)
 
 
 @query(over_base(f"SELECT c.disease_no, c.disease, c.total_unique_sequences, {', '.join(f'coalesce({i}, 0) AS {chr(34)}{i}{chr(34)}' for i in facets.ISOTYPES)} FROM cat c LEFT JOIN isos USING (disease_no)"))
 def o45_catalog_with_isotypes(spark, sf_dir):
     b = Build(spark, sf_dir)
-    return facets.catalog_with_isotypes(b.catalog, facets.isotype_table(b.served_table))
+    return facets.catalog_with_isotypes(b.catalog, facets.isotype_table(b.isotypes))
 
 
 @query(over_base("SELECT * FROM cat WHERE disease_no IN (SELECT disease_no FROM datdb)"))
@@ -227,7 +233,7 @@ def o27_facet_queries(spark, sf_dir):
     return out
 
 
-@query(over_base("""SELECT count(*) AS n_rows, count(*) FILTER (n_antibody = 1) AS n_unique, count(*) FILTER (n_antibody > 1) AS n_non_unique,
+@query(over_base("""SELECT count(*) AS n_rows, count(DISTINCT sequence) AS n_sequences, count(*) FILTER (n_antibody = 1) AS n_unique, count(*) FILTER (n_antibody > 1) AS n_non_unique,
     count(*) FILTER (cdr3 = 1) AS n_cdr3, count(*) FILTER (cdr3 = 0) AS n_non_cdr3 FROM datdb"""))
 def o54_summary_card(spark, sf_dir):
     return facets.summary_card(Build(spark, sf_dir).served_table)
@@ -543,3 +549,29 @@ def o107_incremental_build(spark, sf_dir):
         digest_new_files(spark, f"{base}/in", schema, standard, f"{base}/out", f"{base}/state", RULE)
     found = spark.read.schema("filename string, sequence string, batch int, disease string").parquet(f"{base}/out")
     return found.select("disease", "filename", "sequence").distinct()
+
+
+_SERVED_THEN = f"""first_seen AS (SELECT disease, sequence_alignment_aa, min(antibody_no % 3) AS step FROM ab WHERE disease IS NOT NULL GROUP BY 1, 2),
+then_pairs AS (SELECT * FROM (SELECT disease, step, unnest({PEPTIDES}) AS sequence FROM (SELECT disease, step, {simple_fragments('sequence_alignment_aa')} AS f FROM first_seen))
+    WHERE length(sequence) > 3 AND sequence NOT IN (SELECT sequence FROM std)),
+served_then AS (SELECT s.step, sequence, min(disease) AS disease, count(*) AS n_antibody FROM then_pairs p JOIN (SELECT unnest([0, 1, 2]) AS step) s ON p.step <= s.step
+    GROUP BY 1, 2 HAVING min(disease) = max(disease) AND min(disease) <> 'None')"""
+
+
+@query(f"""WITH {oracle.BASE}, {_SERVED_THEN} SELECT step, 'served' AS what, disease, sequence, n_antibody FROM served_then
+    UNION ALL SELECT step, 'gained', disease, sequence, NULL FROM served_then a WHERE NOT EXISTS (SELECT 1 FROM served_then b WHERE b.step = a.step - 1 AND b.sequence = a.sequence)
+    UNION ALL SELECT step + 1, 'revoked', disease, sequence, NULL FROM served_then a WHERE step < 2 AND NOT EXISTS (SELECT 1 FROM served_then b WHERE b.step = a.step + 1 AND b.sequence = a.sequence)""")
+def o33_o107_exclusive_increments(spark, sf_dir):
+    """Antibody files in three batches: after each, the exclusive peptides, and those it brought in and revoked."""
+    ab = tables.antibodies(spark, sf_dir).select("sequence_alignment_aa", "disease", "filename", "btype")
+    stored, base, out = materialized(ab, "antibodies"), scratch_path(spark, "increments"), None
+    standard = materialized(jobs.standard_peptides(tables.proteins(spark, sf_dir), RULE), "standard")
+    state = ExclusivePeptides(spark, f"{base}/state", buckets=8)
+    for step in range(3):
+        stored.filter(F.col("btype") == f"T{step}").drop("btype").write.mode("append").parquet(f"{base}/in")
+        follow(spark, f"{base}/in", "sequence_alignment_aa string, disease string, filename string", standard, state, f"{base}/checkpoint", RULE)
+        served = state.served().select(F.lit("served").alias("what"), "disease", "sequence", "n_antibody")
+        changed = state.changes(step).select(F.col("change").alias("what"), "disease", "sequence", F.lit(None).cast("long").alias("n_antibody"))
+        found = materialized(served.unionByName(changed).select(F.lit(step).alias("step"), "*"), "step")
+        out = found if out is None else out.unionByName(found)
+    return out
