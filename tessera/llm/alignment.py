@@ -2,7 +2,7 @@
 
 A text is encoded by two tokenizers; the byte offsets where tokens of both end cut it into groups, and each token of one side
 is linked with each of the other in its group. Neither tokenizer joins anything across a single space between two other
-characters, so texts are cut there, and a piece is encoded and aligned once for as long as a worker remembers it.
+characters, so long texts are cut there. Offsets, groups and links of a batch of documents are numpy arrays.
 
 Documents are dealt with in batches. A batch's pair-document records are sorted by radix (a hash of the first side's id), then by
 pair, first side first, and written as a zstd run: for each radix its pairs with their numbers of documents, and beside
@@ -18,6 +18,7 @@ null doc_id is kept; an empty table gives an empty result. Other columns are ign
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import heapq
 import re
@@ -35,16 +36,19 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import give_back, read, small_batches, stash, unstash
 
-TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Characters of a batch, and of what is encoded at a time; documents of a batch; pieces a worker remembers, and the longest of them.
-BATCH_CHARS, SEGMENT_CHARS, BATCH_DOCS = 4 << 20, 1 << 20, 20_000
-CACHE_PIECES, LONGEST_PIECE = 150_000, 200
+#: The first side by two libraries: the second is faster, and slow only in long runs without or of white space.
+TOKENIZER_A, RANKS_A, TOKENIZER_B = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
+#: Characters of a batch, and of what is encoded at a time; documents of a batch.
+BATCH_CHARS, SEGMENT_CHARS, BATCH_DOCS = 4 << 20, 1 << 20, 1 << 15
 RADICES, FAN = 32, 256
-#: A pair is the first side's id, then so many bits of the second's.
-SIDE_BITS = 20
+#: A key is a radix, the first side's id, so many bits of the second's, and so many of the document's number in its batch.
+SIDE_BITS, DOC_BITS = 20, 15
+#: Links of a group that are spread out one by one; larger groups go by their different ids.
+GROUP_LINKS = 4096
 #: Rows of runs or batches in hand at a time.
 ROWS = 8
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_LONG_RUN = re.compile(r"\S{1000}|\s{1000}")
 RESULT = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
 #: A row for each batch: its documents, the runs of its radices, and the records (documents and times of each pair) in their order.
 BATCHES = """batch long, doc_ids array<long>, sums binary, digests array<string>, runs array<struct<radix: int, pairs: binary, n: binary>>, records binary, times binary"""
@@ -67,14 +71,6 @@ def steps(pairs: np.ndarray) -> bytes:
     return pack(np.diff(pairs, prepend=0))
 
 
-def pieces(text: str) -> list[str]:
-    """A text cut at each single space between other characters; the spaces go."""
-    found = text.split(" ")
-    if any(not w or w[0].isspace() or w[-1].isspace() for w in set(found)):
-        return _CUT.split(text)
-    return found
-
-
 def segments(text: str, size: int) -> Iterator[str]:
     """A text cut at such spaces into parts of about `size` characters."""
     at = 0
@@ -91,151 +87,200 @@ def byte_of_letter() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
-class Aligner:
-    """Aligns pieces, each once: n_a, n_b, n_groups, n_links, the groups as text, and its different pairs with their times."""
+class Sides:
+    """Both tokenizers, the bytes of their tokens, and the ids as they are written between marks."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, ranks_a: str | None = None):
         import sentencepiece
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.quick = self._quick(ranks_a) if ranks_a else None
         letter = byte_of_letter()
         vocab = self.a.get_vocab()
-        self.bytes_a = [b""] * (max(vocab.values()) + 1)
+        bytes_a = [b""] * (max(vocab.values()) + 1)
         for token, k in vocab.items():
-            self.bytes_a[k] = bytes(letter[c] for c in token)
+            bytes_a[k] = bytes(letter[c] for c in token)
         names = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(names)]
-        self.known: dict[str, tuple | None] = {}
-
-    def learn(self, new: list[str]) -> dict[str, tuple | None]:
-        """Pieces aligned; None where the bytes of a side are not those of the piece after a space."""
-        a = self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False)
-        b = self.b.encode(new, num_threads=1)
-        return {w: self.align(w, x.ids, y) for w, x, y in zip(new, a, b)}
-
-    def align(self, piece: str, a: list[int], b: list[int]) -> tuple | None:
-        ta, tb = [self.bytes_a[k] for k in a], [self.bytes_b[k] for k in b]
-        whole = b" " + piece.encode()
-        if b"".join(ta) != whole or b"".join(tb) != whole:
-            return None
-        groups, i, j = [], 0, 0
-        while i < len(a):
-            u, v, da, db = i + 1, j + 1, len(ta[i]), len(tb[j])
-            while da != db:
-                if da < db:
-                    da, u = da + len(ta[u]), u + 1
-                else:
-                    db, v = db + len(tb[v]), v + 1
-            groups.append((a[i:u], b[j:v]))
-            i, j = u, v
-        times: Counter[int] = Counter()
-        for x, y in groups:
-            cx, cy = Counter(x), Counter(y)
-            for p, n in cx.items():
-                for q, m in cy.items():
-                    times[p << SIDE_BITS | q] += n * m
-        text = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-        return len(a), len(b), len(groups), sum(times.values()), text, list(times), list(times.values())
-
-    def aligned(self, names: set[str]) -> dict[str, tuple | None]:
-        known = self.known
-        new = [w for w in names if w not in known]
-        found = self.learn(new) if new else {}
-        if len(known) > CACHE_PIECES:
-            known = self.known = {}
-        known.update((w, x) for w, x in found.items() if len(w) <= LONGEST_PIECE)
-        return found
+        bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(names)]
+        self.bytes = [pa.array(x, pa.large_binary()) for x in (bytes_a, bytes_b)]
+        self.size = [np.array([*map(len, x)], np.int64) for x in (bytes_a, bytes_b)]
+        # an id and what follows it: another of its side, the other side, the next group, or nothing
+        self.second = 4 * len(bytes_a)
+        self.written = pa.array([f"{k}{m}" for n in (len(bytes_a), len(bytes_b)) for k in range(n) for m in (",", "|", ";", "")], pa.large_string())
+
+    @staticmethod
+    def _quick(path: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(x): int(k) for x, k in map(bytes.split, f)}
+        return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, texts: list[str]) -> list[list[list[int]]]:
+        """Ids of both sides. The first has a space put before each text, the second puts one there."""
+        if self.quick:
+            first = [self.quick.encode_ordinary(" " + t) if not _LONG_RUN.search(t) else self.a.encode(" " + t, add_special_tokens=False).ids for t in texts]
+        else:
+            first = [x.ids for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        return [first, self.b.encode(texts, num_threads=1)]
+
+    def spelt(self, side: int, ids: np.ndarray) -> np.ndarray:
+        """The bytes of tokens, joined."""
+        return joined(self.bytes[side], ids)[0]
 
 
 @lru_cache(1)
-def aligner(path_a: str | None, path_b: str | None) -> Aligner:
+def sides(path_a: str | None, path_b: str | None) -> Sides:
     """Without paths the tokenizers are looked for on the machine that encodes."""
+    ranks = None
     if path_a is None or path_b is None:
         import public_tokenizers
 
+        ranks = public_tokenizers.path(RANKS_A) if path_a is None else None
         path_a, path_b = path_a or public_tokenizers.path(TOKENIZER_A), path_b or public_tokenizers.path(TOKENIZER_B)
-    return Aligner(path_a, path_b)
+    return Sides(path_a, path_b, ranks)
+
+
+def joined(words: pa.Array, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of words[at], one after the other, and where each begins and the last ends."""
+    got = words.take(pa.array(at))
+    _, offsets, data = got.buffers()
+    if not len(got):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(offsets, np.int64)[got.offset : got.offset + len(got) + 1]
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8), offsets - offsets[0]
 
 
 class Batch:
-    """Documents of a batch as they are aligned: how often each has which piece, and the digest of its groups."""
+    """Documents of a batch."""
 
-    def __init__(self, by: Aligner):
-        self.by, self.info, self.waiting = by, {}, []
-        self.ids, self.counts, self.digests, self.bad = [], [], [], []
-        self.size = self.held = 0
+    def __init__(self, by: Sides):
+        self.by, self.ids, self.size = by, [], 0
+        self.waiting: list[tuple[int, str]] = []
+        self.held = 0
+        #: Of each side: ids and the documents they are of, in parts.
+        self.tokens: list[list[np.ndarray]] = [[], []]
+        self.docs: list[list[np.ndarray]] = [[], []]
+        self.bad: set[int] = set()
 
     def add(self, doc_id: int | None, text: str | None) -> None:
         self.ids.append(doc_id)
-        self.counts.append(Counter())
-        self.digests.append(hashlib.sha256())
-        self.bad.append(not text)
         for part in segments(text, SEGMENT_CHARS) if text else ():
-            self.waiting.append((len(self.ids) - 1, pieces(part)))
+            self.waiting.append((len(self.ids) - 1, part))
             self.held += len(part)
             self.size += len(part)
             if self.held >= SEGMENT_CHARS:
                 self.drain()
 
     def drain(self) -> None:
-        names = set().union(*(p for _, p in self.waiting)) - self.info.keys()
-        known = {w: self.by.known[w] for w in names if w in self.by.known}
-        self.info |= known | self.by.aligned(names - known.keys())
-        info = self.info
-        odd = {w for w in names if info[w] is None} | {w for w, x in info.items() if x is None}
-        for d, p in self.waiting:
-            if odd and not odd.isdisjoint(p):
-                self.bad[d] = True
-            if not self.bad[d]:
-                groups = ";".join([info[w][4] for w in p])
-                self.digests[d].update((";" * bool(self.counts[d]) + groups).encode())
-                self.counts[d].update(p)
+        """Encode what waits. A document of which a side spells other bytes than its text is bad."""
+        of, texts = [d for d, _ in self.waiting], [t for _, t in self.waiting]
+        whole = [(" " + t).encode() for t in texts]
+        ends = np.cumsum([0, *map(len, whole)])
+        text = np.frombuffer(b"".join(whole), np.uint8)
+        for side, ids in enumerate(self.by.encode(texts) if texts else ()):
+            n = [*map(len, ids)]
+            flat = np.fromiter(chain.from_iterable(ids), np.int64, sum(n))
+            lengths = self.by.size[side][flat]
+            spelt, cuts = self.by.spelt(side, flat), np.cumsum([0, *n])
+            upto = np.concatenate([[0], np.cumsum(lengths)])[cuts]
+            if len(spelt) != len(text) or (upto != ends).any() or (spelt != text).any():
+                self.bad |= {d for k, d in enumerate(of) if not np.array_equal(spelt[upto[k] : upto[k + 1]], text[ends[k] : ends[k + 1]])}
+            self.tokens[side].append(flat)
+            self.docs[side].append(np.repeat(np.array(of, np.int64), n))
         self.waiting, self.held = [], 0
 
     def row(self, batch: int) -> tuple:
         """As in BATCHES."""
         self.drain()
-        counts = [{} if bad else c for c, bad in zip(self.counts, self.bad)]
-        names = list(set().union(*counts))
-        at = {w: k for k, w in enumerate(names)}
-        info = [self.info[w] for w in names]
-        sizes = np.array([x[:4] for x in info], np.int64).reshape(-1, 4)
-        n = [len(c) for c in counts]
-        doc = np.repeat(np.arange(len(counts)), n)
-        word = np.fromiter((at[w] for c in counts for w in c), np.int64, sum(n))
-        times = np.fromiter(chain.from_iterable(c.values() for c in counts), np.int64, sum(n))
-        sums = np.zeros((4, len(counts)), np.int64)
-        for k in range(4):
-            np.add.at(sums[k], doc, sizes[word, k] * times)
-        # records of pieces -> records of pairs
-        links = np.array([len(x[5]) for x in info], np.int64)
-        pair = np.fromiter(chain.from_iterable(x[5] for x in info), np.int64, int(links.sum()))
-        often = np.fromiter(chain.from_iterable(x[6] for x in info), np.int64, int(links.sum()))
-        each = links[word]
-        of = np.repeat(np.arange(len(word)), each)
-        place = np.arange(len(of)) - np.repeat(np.cumsum(each) - each, each) + (np.cumsum(links) - links)[word[of]]
-        different, entry = np.unique(pair, return_inverse=True)
-        radix = radix_of(different)
-        order = np.lexsort((different, radix))
-        rank = np.empty_like(order)
-        rank[order] = np.arange(len(order))
-        key, back = np.unique(rank[entry[place]] * max(len(counts), 1) + doc[of], return_inverse=True)
-        total = np.zeros(len(key), np.int64)
-        np.add.at(total, back, often[place] * times[of])
-        entries = key // max(len(counts), 1)
-        held = np.bincount(entries, minlength=len(order))
-        different, radix = different[order], radix[order]
+        docs = len(self.ids)
+        good = np.ones(docs, bool)
+        good[list(self.bad)] = False
+        token, doc, end = [], [], []
+        for side in (0, 1):
+            t, d = (np.concatenate([np.zeros(0, np.int64), *x[side]]) for x in (self.tokens, self.docs))
+            t, d = t[good[d]], d[good[d]]
+            token.append(t)
+            doc.append(d)
+            end.append(np.cumsum(self.by.size[side][t]))
+        # offsets where tokens of both sides end, and the group of each token
+        both = np.zeros(int(end[0][-1]) + 1 if len(end[0]) else 1, np.int64)
+        both[end[0]] = 1
+        common = end[1][both[end[1]] == 1]
+        both[:] = 0
+        both[common] = 1
+        before = np.cumsum(both) - both
+        group = [before[e] for e in end]
+        n = [np.bincount(g, minlength=len(common)) for g in group]
+        of = doc[1][both[end[1]] == 1]  # the document of each group
+        sums = np.zeros((4, docs), np.int64)
+        for k, x in enumerate((n[0], n[1], np.ones(len(common), np.int64), n[0] * n[1])):
+            np.add.at(sums[k], of, x)
+        keys, times = self._records(token, group, n, of)
+        entry = np.flatnonzero(np.diff(keys >> DOC_BITS, prepend=-1))
+        pairs = keys[entry] >> DOC_BITS
+        held = np.diff(np.append(entry, len(keys)))
+        radix, pairs = pairs >> (2 * SIDE_BITS), pairs & ((1 << (2 * SIDE_BITS)) - 1)
         cuts = np.flatnonzero(np.diff(radix, prepend=-1))
-        runs = [{"radix": int(radix[i]), "pairs": steps(different[i:j]), "n": pack(held[i:j])} for i, j in zip(cuts, [*cuts[1:], len(radix)])]
-        digests = ["" if bad else h.hexdigest() for h, bad in zip(self.digests, self.bad)]
-        return batch, self.ids, pack(sums.ravel()), digests, runs, pack(key % max(len(counts), 1)), pack(total)
-
-
-def radix_of(pairs: np.ndarray) -> np.ndarray:
-    return (((pairs >> SIDE_BITS).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % RADICES
+        runs = [{"radix": int(radix[i]), "pairs": steps(pairs[i:j]), "n": pack(held[i:j])} for i, j in zip(cuts, [*cuts[1:], len(radix)])]
+        return batch, self.ids, pack(sums.ravel()), self._digests(token, group, n, of, docs), runs, pack(keys & ((1 << DOC_BITS) - 1)), pack(times)
+
+    @staticmethod
+    def _records(token: list, group: list, n: list, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Different (radix, pair, document), sorted, and how often each is linked."""
+        large = n[0] * n[1] > GROUP_LINKS
+        each = np.where(large, 0, n[1])[group[0]]
+        first = np.repeat(token[0], each)
+        start = (np.cumsum(n[1]) - n[1])[group[0]]
+        second = token[1][np.repeat(start - (np.cumsum(each) - each), each) + np.arange(len(first))]
+        keys = key_of(first, second, np.repeat(of[group[0]], each))
+        keys.sort()
+        cut = np.flatnonzero(np.diff(keys, prepend=-1))
+        keys, times = keys[cut], np.diff(np.append(cut, len(keys)))
+        if large.any():  # all pairs of the different ids of both sides
+            more: Counter[int] = Counter()
+            for g in np.flatnonzero(large):
+                (x, p), (y, q) = (np.unique(t[np.searchsorted(s, g) : np.searchsorted(s, g, "right")], return_counts=True) for t, s in zip(token, group))
+                for a, c in zip(x, p):
+                    more.update(dict(zip(key_of(np.full(len(y), a), y, np.full(len(y), of[g])).tolist(), (c * q).tolist())))
+            keys = np.concatenate([keys, np.fromiter(more.keys(), np.int64, len(more))])
+            times = np.concatenate([times, np.fromiter(more.values(), np.int64, len(more))])
+            keys, back = np.unique(keys, return_inverse=True)
+            total = np.zeros(len(keys), np.int64)
+            np.add.at(total, back, times)
+            times = total
+        return keys, times
+
+    def _digests(self, token: list, group: list, n: list, of: np.ndarray, docs: int) -> list[str]:
+        """SHA-256 of each document's groups as text."""
+        total = len(token[0]) + len(token[1])
+        code = np.zeros(total, np.int64)
+        start = [np.cumsum(x) - x for x in n]
+        last_of_doc = np.append(of[1:] != of[:-1], True) if len(of) else np.zeros(0, bool)
+        for side in (0, 1):
+            g = group[side]
+            inner = np.arange(len(g)) - start[side][g]
+            at_side = start[0][g] + start[1][g] + inner + (n[0][g] if side else 0)
+            last = inner == n[side][g] - 1
+            mark = np.where(last, (1 if side == 0 else np.where(last_of_doc[g], 3, 2)), 0)
+            code[at_side] = side * self.by.second + 4 * token[side] + mark
+        text, offsets = joined(self.by.written, code)
+        size = np.bincount(of, weights=n[0] + n[1], minlength=docs).astype(np.int64) if len(of) else np.zeros(docs, np.int64)
+        upto = np.concatenate([[0], np.cumsum(size)])
+        text = text.tobytes()
+        return [hashlib.sha256(text[offsets[i] : offsets[j]]).hexdigest() if j > i else "" for i, j in zip(upto[:-1], upto[1:])]
+
+
+def key_of(first: np.ndarray, second: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    return ((((radix_of(first) << SIDE_BITS) | first) << SIDE_BITS | second) << DOC_BITS) | doc
+
+
+def radix_of(first: np.ndarray) -> np.ndarray:
+    return ((first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % RADICES
 
 
 def _table(rows: list[tuple], like: str) -> pa.RecordBatch:
@@ -249,7 +294,7 @@ def batches_of(documents: DataFrame, path_a: str | None = None, path_b: str | No
     """documents -> BATCHES."""
 
     def run(arrow: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by = aligner(path_a, path_b)
+        by = sides(path_a, path_b)
         number = TaskContext.get().partitionId() << 32
         now = Batch(by)
         for b in arrow:
@@ -260,7 +305,6 @@ def batches_of(documents: DataFrame, path_a: str | None = None, path_b: str | No
                     number, now = number + 1, Batch(by)
         if now.ids:
             yield _table([now.row(number)], BATCHES)
-        by.known = {}
         give_back()
 
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, BATCHES)

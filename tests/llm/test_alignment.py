@@ -82,10 +82,11 @@ def test_pieces_give_what_whole_texts_give(spark, monkeypatch, seed):
     monkeypatch.setattr(alignment, "FAN", 3)
     monkeypatch.setattr(alignment, "BATCH_CHARS", 300)
     monkeypatch.setattr(alignment, "SEGMENT_CHARS", 60)
+    monkeypatch.setattr(alignment, "GROUP_LINKS", 3 if seed == 1 else 4096)
     rng = random.Random(seed)
     words = ["the", "of", "Zusammenhang", "déjà", "x1", "http://a.org/b?c=1", "中", "\n", "  ", "don't", "ﬁne", "\t", "UPPER", " ", "0.5%", "unbelievable", "-", "<s>", "▁"]
     texts = [*ODD, *("".join(rng.choice(words) + rng.choice(["", " ", " ", " ", "  "]) for _ in range(rng.randint(1, 40))) for _ in range(120))]
-    texts += ["the same text of all"] * 40
+    texts += ["the same text of all"] * 40 + ["x" * 1500 + " long run" + " " * 1200 + "ab" * 700]
     rows = [(None if k % 31 == 3 else k, t) for k, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({n: F.lit(1) for n in ("batch", "run", "radix", "n_a", "pairs", "into")}).repartition(3)
     docs, pairs = alignment.align(df)
@@ -108,5 +109,5 @@ def test_what_is_packed_is_unpacked():
 
     for x in ([], [0], [255, 256], [1 << 40, 0, 7]):
         assert alignment.unpack(alignment.pack(np.array(x, np.int64))).tolist() == x
-    assert alignment.pieces("a b\nc  d e ") == ["a", "b\nc  d", "e "]
+    assert " ".join(alignment.segments("a b\nc  d e ", 1)) == "a b\nc  d e " and [*alignment.segments("a b\nc  d e ", 2)] == ["a b\nc  d", "e "]
     assert [*alignment.segments("aa bb cc dd", 3)] == ["aa bb", "cc dd"] and [*alignment.segments("abcdef", 2)] == ["abcdef"]
