@@ -12,7 +12,7 @@ from tessera.functions import sequence as S
 from tessera.operators import facets, ranking, sets
 from tessera.plans import jobs, oracle, tables
 from tessera.plans.oracle import MASS, PEPTIDES, over_base, simple_fragments, trypsin_fragments
-from tessera.sources import files, sinks
+from tessera.sources import files, sinks, units
 from tessera.sources.scratch import materialized, scratch_path
 from tessera.streaming.exclusivity import ExclusivePeptides, follow
 from tessera.streaming.incremental import digest_new_files
@@ -409,9 +409,8 @@ def o6_o17_o79_fasta_round_trip(spark, sf_dir):
     return files.read_fasta(spark, path)
 
 
-@query(over_base("SELECT ab.disease, v_call, sequence_alignment_aa, unique_sequences AS n_unit, coalesce(m.subject, '') AS subject FROM ab JOIN meta m USING (filename)"))
-def o2_o3_o11_data_units(spark, sf_dir):
-    """Antibodies written as units, a quoted JSON line, a header and rows each, then rows and metadata read back and joined by path."""
+def _write_units(spark, sf_dir) -> str:
+    """Antibodies written as units: a quoted JSON line, a header and rows each."""
     ab, meta = tables.antibodies(spark, sf_dir), tables.metadata(spark, sf_dir)
     columns = ["v_call", "sequence_alignment_aa", "cdr3_aa"]
     quote = lambda k, v: F.concat(F.lit(f'""{k}"": ""'), F.coalesce(v, F.lit("")), F.lit('""'))
@@ -422,11 +421,45 @@ def o2_o3_o11_data_units(spark, sf_dir):
     parts = parts.unionByName(ab.select("filename", F.lit(2).alias("at"), F.concat_ws(",", *columns).alias("value")))
     path = scratch_path(spark, "units")
     parts.repartition("filename").sortWithinPartitions("filename", "at").select("filename", "value").write.partitionBy("filename").option("compression", "gzip").text(path)
-    units = files.read_unit_metadata(spark, path, ["Disease", "Subject", "Unique sequences", "Age"])
-    rows = files.read_units(spark, path, ["sequence_alignment_aa", "v_call"]).join(units.drop("filename"), "path")
+    return path
+
+
+@query(over_base("SELECT ab.disease, v_call, sequence_alignment_aa, unique_sequences AS n_unit, coalesce(m.subject, '') AS subject FROM ab JOIN meta m USING (filename)"))
+def o2_o3_o11_data_units(spark, sf_dir):
+    """Rows and metadata of units read back and joined by path."""
+    path = _write_units(spark, sf_dir)
+    found = files.read_unit_metadata(spark, path, ["Disease", "Subject", "Unique sequences", "Age"])
+    rows = files.read_units(spark, path, ["sequence_alignment_aa", "v_call"]).join(found.drop("filename"), "path")
     return rows.select(F.col("Disease").alias("disease"), "v_call", "sequence_alignment_aa", F.col("Unique sequences").cast("long").alias("n_unit"), F.col("Subject").alias("subject"))
 
 
+def _break_off(spark, folder: str) -> None:
+    """Cut the one file of a folder in half."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (file,) = (f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("part-"))
+    with_content = fs.open(file)
+    content = with_content.readAllBytes()
+    with_content.close()
+    out = fs.create(file, True)
+    out.write(content[: len(content) // 2])
+    out.close()
+
+
+@query(over_base("""SELECT m.filename, CASE WHEN m.filename = b.filename THEN 'broken' ELSE 'read' END AS status, CASE WHEN m.filename = b.filename THEN 0 ELSE unique_sequences END AS n_rows,
+    CASE WHEN m.filename = b.filename THEN NULL ELSE m.disease END AS disease FROM meta m, (SELECT min(filename) AS filename FROM meta) b"""))
+def o2_o3_o11_o12_units_in_one_pass(spark, sf_dir):
+    """Units of which one breaks off half-way: rows and metadata of the others in one read, and the outcome of each file."""
+    path = _write_units(spark, sf_dir)
+    _break_off(spark, f"{path}/filename={tables.metadata(spark, sf_dir).agg(F.min('filename')).first()[0]}")
+    rows, report = units.read_units_tolerant(spark, path, ["sequence_alignment_aa", "v_call"], ["Disease"])
+    unit = F.regexp_extract("path", "filename=([^/]*)/", 1).alias("filename")
+    rows = units.metadata_columns(rows, ["Disease"]).groupBy(unit).agg(F.count("*").alias("n_rows"), F.max("Disease").alias("disease"))
+    status = F.when(F.col("outcome") == "read", "read").otherwise("broken").alias("status")
+    return report.select(unit, status).join(rows, "filename", "left").select("filename", "status", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "disease")
+
+
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
 def o5_o14_o16_csv_inferred(spark, sf_dir):
     """Plain CSV in two appends, each file with its header, read with inferred types."""
@@ -559,10 +592,10 @@ served_then AS (SELECT s.step, sequence, min(disease) AS disease, count(*) AS n_
 
 
 @query(f"""WITH {oracle.BASE}, {_SERVED_THEN} SELECT step, 'served' AS what, disease, sequence, n_antibody FROM served_then
-    UNION ALL SELECT step, 'gained', disease, sequence, NULL FROM served_then a WHERE NOT EXISTS (SELECT 1 FROM served_then b WHERE b.step = a.step - 1 AND b.sequence = a.sequence)
-    UNION ALL SELECT step + 1, 'revoked', disease, sequence, NULL FROM served_then a WHERE step < 2 AND NOT EXISTS (SELECT 1 FROM served_then b WHERE b.step = a.step + 1 AND b.sequence = a.sequence)""")
+    UNION ALL SELECT step, 'gained', disease, sequence, 0 FROM served_then a WHERE NOT EXISTS (SELECT 1 FROM served_then b WHERE b.step = a.step - 1 AND b.sequence = a.sequence)
+    UNION ALL SELECT step + 1, 'revoked', disease, sequence, 0 FROM served_then a WHERE step < 2 AND NOT EXISTS (SELECT 1 FROM served_then b WHERE b.step = a.step + 1 AND b.sequence = a.sequence)""")
 def o33_o107_exclusive_increments(spark, sf_dir):
-    """Antibody files in three batches: after each, the exclusive peptides, and those it brought in and revoked."""
+    """Antibody files in three batches: after each, the exclusive peptides, and those it brought in and revoked (n_antibody 0)."""
     ab = tables.antibodies(spark, sf_dir).select("sequence_alignment_aa", "disease", "filename", "btype")
     stored, base, out = materialized(ab, "antibodies"), scratch_path(spark, "increments"), None
     standard = materialized(jobs.standard_peptides(tables.proteins(spark, sf_dir), RULE), "standard")
@@ -571,7 +604,7 @@ def o33_o107_exclusive_increments(spark, sf_dir):
         stored.filter(F.col("btype") == f"T{step}").drop("btype").write.mode("append").parquet(f"{base}/in")
         follow(spark, f"{base}/in", "sequence_alignment_aa string, disease string, filename string", standard, state, f"{base}/checkpoint", RULE)
         served = state.served().select(F.lit("served").alias("what"), "disease", "sequence", "n_antibody")
-        changed = state.changes(step).select(F.col("change").alias("what"), "disease", "sequence", F.lit(None).cast("long").alias("n_antibody"))
+        changed = state.changes(step).select(F.col("change").alias("what"), "disease", "sequence", F.lit(0).cast("long").alias("n_antibody"))
         found = materialized(served.unionByName(changed).select(F.lit(step).alias("step"), "*"), "step")
         out = found if out is None else out.unionByName(found)
     return out
