@@ -13,6 +13,15 @@ RESIDUE_MASS = {
     "S": 87.03203, "T": 101.04768, "V": 99.06841, "W": 186.07931, "Y": 163.06333,
 }
 WATER_MASS = 18.01056
+# The same residues' average masses, and water's.
+AVERAGE_MASS = {
+    "A": 71.0788, "C": 103.1388, "D": 115.0886, "E": 129.1155, "F": 147.1766,
+    "G": 57.0519, "H": 137.1411, "I": 113.1594, "K": 128.1741, "L": 113.1594,
+    "M": 131.1926, "N": 114.1038, "P": 97.1167, "Q": 128.1307, "R": 156.1875,
+    "S": 87.0782, "T": 101.1051, "V": 99.1326, "W": 186.2132, "Y": 163.1760,
+}
+AVERAGE_WATER = 18.01528
+MASSES = {"monoisotopic": (RESIDUE_MASS, WATER_MASS), "average": (AVERAGE_MASS, AVERAGE_WATER)}
 #: Where a sequence is cut. simple: after K or R, not before P. trypsin: with the enzyme's known exceptions.
 CUT_RULES = {
     "simple": r"(?<=[KR])(?=[^P])",
@@ -49,15 +58,50 @@ def peptides(df: DataFrame, sequence: str, keep: list[str], rule: str = "trypsin
     return df.select(*keep, F.col("__peptide").alias("sequence"))
 
 
-def peptide_mass(sequence: Column) -> Column:
-    """Monoisotopic mass; letters other than the standard residues weigh nothing."""
-    size = F.length(sequence)
-    total = F.lit(WATER_MASS)
-    for residue, mass in RESIDUE_MASS.items():
+def residues_mass(sequence: Column, kind: str = "monoisotopic") -> Column:
+    """Mass of a sequence's residues, without water; letters other than the standard residues weigh nothing."""
+    size, total = F.length(sequence), F.lit(0.0)
+    for residue, mass in MASSES[kind][0].items():
         total = total + (size - F.length(F.replace(sequence, F.lit(residue), F.lit("")))) * F.lit(mass)
     return total
 
 
+def peptide_mass(sequence: Column, kind: str = "monoisotopic") -> Column:
+    return residues_mass(sequence, kind) + F.lit(MASSES[kind][1])
+
+
+def peptides_by_mass(
+    df: DataFrame, sequence: str, keep: list[str], low: float, high: float, rule: str = "trypsin", missed: int = 0, kind: str = "monoisotopic",
+) -> DataFrame:
+    """Rows (keep..., sequence, mass): the different peptides of each row whose mass is low to high, with up to `missed` cuts left out.
+
+    A fragment is weighed once. A peptide of several weighs what they do, and peptides outside the window never become rows.
+    Masses are rounded to the five places that residues have, so that a peptide weighs the same however it is cut.
+    """
+    pieces = F.filter(F.split(F.coalesce(F.col(sequence), F.lit("")), CUT_RULES[rule]), lambda x: x != "")
+    df = df.withColumn("__fragments", F.transform(pieces, lambda x: F.struct(x.alias("sequence"), residues_mass(x, kind).alias("mass"))))
+    f = F.col("__fragments")
+
+    def run(m: int) -> Column:
+        """Peptides of m + 1 adjacent fragments."""
+        if not m:
+            return F.transform(f, lambda x: F.struct(x["sequence"].alias("sequence"), F.round(x["mass"] + F.lit(MASSES[kind][1]), 5).alias("mass")))
+
+        def at(i: Column) -> Column:
+            parts = [F.get(f, i + k) for k in range(m + 1)]
+            mass = F.lit(MASSES[kind][1])
+            for x in parts:
+                mass = mass + x["mass"]
+            return F.struct(F.concat(*(x["sequence"] for x in parts)).alias("sequence"), F.round(mass, 5).alias("mass"))
+
+        return F.transform(F.slice(f, 1, F.greatest(F.size(f) - m, F.lit(0))), lambda _, i: at(i))
+
+    df = df.withColumn("__found", F.array_distinct(F.concat(*map(run, range(missed + 1)))))
+    # the array is filtered within the generator: of a column, Spark would infer a filter and work the array out twice
+    inside = F.filter("__found", lambda x: x["mass"].between(low, high))
+    return df.select(*keep, F.explode(inside).alias("__peptide")).select(*keep, "__peptide.sequence", "__peptide.mass")
+
+
 def leucine_for_isoleucine(sequence: Column) -> Column:
     return F.translate(sequence, "I", "L")
 

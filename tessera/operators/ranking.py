@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.sources.scratch import materialized
@@ -47,15 +47,74 @@ def peptide_frequency(pairs: DataFrame, n_antibodies: int | None = None) -> Data
     return pairs.groupBy("sequence").agg(n.alias("n_abs"), F.round(n / F.lit(max(total, 1)) * 100, 6).alias("percent"))
 
 
+#: Letters by which a boundary class is refined at a time.
+PREFIX_STEP = 3
+
+
+class TopSelection:
+    """Which peptides are among the N most frequent, ties in order of sequence, for several N, without a sort of all peptides.
+
+    A histogram of counts tells the class in which a rank falls; classes above it are in. The class itself is refined by
+    prefixes of its sequences, of which one has the boundary each time, until a prefix is in as a whole.
+    """
+
+    def __init__(self, frequency: DataFrame, sizes: list[int]):
+        """frequency: sequence, n_abs, one row each, read several times."""
+        self.sizes = sorted(sizes)
+        classes = frequency.groupBy("n_abs").agg(F.count("*").alias("n"))  # n different counts take n * n / 2 rows at least
+        down = Window.orderBy(F.desc("n_abs")).rowsBetween(Window.unboundedPreceding, 0)
+        classes = classes.withColumn("upto", F.sum("n").over(down))
+        asked = F.explode(F.array(*(F.lit(n).cast("long") for n in self.sizes))).alias("size")
+        met = classes.select("*", asked).filter("upto >= size").groupBy("size").agg(F.max_by(F.struct("n_abs", "n", "upto"), "n_abs").alias("c"))
+        #: size -> (count of its class, letters compared, what they are at most); no letters: the whole class is in.
+        self.cuts = {r["size"]: (r["c"]["n_abs"], 0, "") for r in met.collect()}
+        still_open = {r["size"]: (r["size"] - r["c"]["upto"] + r["c"]["n"], "") for r in met.collect() if r["size"] < r["c"]["upto"]}
+        while still_open:
+            still_open = self._refined(frequency, still_open)
+
+    def _refined(self, frequency: DataFrame, still_open: dict[int, tuple[int, str]]) -> dict[int, tuple[int, str]]:
+        """size -> (rank left, prefix) with longer prefixes; closes those of which the rank is the prefix's last."""
+        rows = [(size, self.cuts[size][0], rank, prefix) for size, (rank, prefix) in still_open.items()]
+        asked = frequency.sparkSession.createDataFrame(rows, "size long, n_abs long, rank long, prefix string")
+        met = frequency.join(F.broadcast(asked), "n_abs").filter(F.startswith("sequence", "prefix"))
+        longer = F.substring("sequence", F.lit(1), F.length("prefix") + PREFIX_STEP).alias("longer")
+        counts = met.groupBy("size", "rank", longer).agg(F.count("*").alias("n"))
+        up = Window.partitionBy("size").orderBy("longer").rowsBetween(Window.unboundedPreceding, 0)  # 21^3 prefixes at most
+        over = counts.withColumn("upto", F.sum("n").over(up)).filter("upto >= rank")
+        left = {}
+        for r in over.groupBy("size").agg(F.min_by(F.struct("longer", "n", "upto", "rank"), "longer").alias("c")).collect():
+            size, c = r["size"], r["c"]
+            if c["upto"] == c["rank"]:
+                self.cuts[size] = self.cuts[size][0], len(still_open[size][1]) + PREFIX_STEP, c["longer"]
+            else:
+                left[size] = c["rank"] - c["upto"] + c["n"], c["longer"]
+        return left
+
+    def least(self) -> Column:
+        """The least of the sizes that a peptide is within; null if none."""
+        out = F.lit(None).cast("long")
+        for size in reversed(self.sizes):
+            count, letters, most = self.cuts.get(size, (0, 0, ""))  # a size beyond all peptides takes them all
+            inside = F.col("n_abs") > count
+            last = F.col("n_abs") == count
+            inside = inside | (last & (F.substring("sequence", 1, letters) <= most) if letters else last)
+            out = F.when(inside, F.lit(size).cast("long")).otherwise(out)
+        return out
+
+
+def stored_frequency(pairs: DataFrame) -> DataFrame:
+    return materialized(pairs.groupBy("sequence").agg(F.count("*").alias("n_abs")), "frequency")
+
+
 def coverage(pairs: DataFrame, sizes: list[int]) -> DataFrame:
     """Antibodies hit by the N most frequent peptides, for every N at once: n_peptides, n_antibodies, percent.
 
-    Each antibody keeps the best rank among its peptides, and those are counted against all N in one pass.
+    Each antibody keeps the least N that one of its peptides is within, and those are counted against all N in one pass.
     """
-    frequency = pairs.groupBy("sequence").agg(F.count("*").alias("n_abs"))
-    ranked = row_numbers(frequency, [F.desc("n_abs"), F.col("sequence")], "rank").select("sequence", "rank")
-    best = pairs.join(ranked, "sequence").groupBy("antibody_id").agg(F.min("rank").alias("rank"))
-    hits = best.agg(F.count("*").alias("total"), *(F.count_if(F.col("rank") <= n).alias(f"n{n}") for n in sizes))
+    frequency = stored_frequency(pairs)
+    within = frequency.select("sequence", TopSelection(frequency, sizes).least().alias("within"))
+    best = pairs.join(within, "sequence").groupBy("antibody_id").agg(F.min("within").alias("within"))
+    hits = best.agg(F.count("*").alias("total"), *(F.count_if(F.col("within") <= n).alias(f"n{n}") for n in sizes))
     rows = F.explode(F.array(*(F.struct(F.lit(n).cast("long").alias("n_peptides"), F.col(f"n{n}").alias("n_antibodies")) for n in sizes)))
     return hits.select("total", rows.alias("r")).select("r.*", F.round(F.col("r.n_antibodies") / F.col("total") * 100, 3).alias("percent"))
 

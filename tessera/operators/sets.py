@@ -2,18 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.ranking import row_numbers
+from tessera.sources.scratch import materialized
 
-#: Rows a side may have to be broadcast; beyond it joins shuffle.
-BROADCAST_ROWS = 500_000
+#: Rows and bytes a side may have to be broadcast; beyond them joins shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 64 << 20
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether rows and their bytes, both counted, are few; a count ends at the first row too many."""
+    width = F.lit(16 + 8 * len(df.columns))
+    for f in df.schema.fields:
+        if not isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
+    rows, size = df.select(width.cast("long").alias("n")).limit(max_rows + 1).agg(F.count("*"), F.sum("n")).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if a count shows that it is small."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def subtract(df: DataFrame, other: DataFrame, key: str = "sequence") -> DataFrame:
@@ -21,6 +33,53 @@ def subtract(df: DataFrame, other: DataFrame, key: str = "sequence") -> DataFram
     return df.join(other.select(key).distinct(), key, "left_anti")
 
 
+def subtract_reference(df: DataFrame, other: DataFrame, key: str = "sequence") -> DataFrame:
+    """subtract, for many rows and a reference set of which few rows are: only what may match is shuffled.
+
+    A small reference is broadcast, a larger one as a bitmap of its keys, as long as that has a bit in sixteen set at most.
+    Rows without their bit are kept where they lie; df is evaluated once for them and once for the rest, which meets the
+    reference in an exact join. A reference too large for a bitmap is joined as it is.
+    """
+    keys = materialized(other.select(key).distinct(), "reference")
+    if is_small(keys):
+        return df.join(F.broadcast(keys), key, "left_anti")
+    if (bits := KeyBitmap.bits_for(keys.count())) is None:
+        return df.join(keys.hint("merge"), key, "left_anti")
+    marked = KeyBitmap(keys, key, bits).mark(df, key, "__may")
+    exact = marked.filter("__may").join(keys.hint("merge"), key, "left_anti")
+    return marked.filter("NOT __may").unionByName(exact).select(*df.columns)
+
+
+class KeyBitmap:
+    """A bitmap of hashed keys, 32 MB at most, broadcast in pieces: a row whose bit is unset has none of the keys."""
+
+    LEAST, MOST = 20, 28
+
+    @classmethod
+    def bits_for(cls, keys: int) -> int | None:
+        """The power of two of a bitmap with 16 bits a key or more; None if that is too large."""
+        bits = max(cls.LEAST, (16 * keys - 1).bit_length())
+        return bits if bits <= cls.MOST else None
+
+    def __init__(self, keys: DataFrame, key: str, bits: int):
+        self.bits = bits
+        at = keys.select(self._bit(key).alias("b"))
+        pieces = at.groupBy(F.bitmap_bucket_number("b").alias("__piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("__set"))
+        self.pieces = materialized(pieces, "bitmap")
+
+    def _bit(self, key: str) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(F.col(f"`{key}`")), 64 - self.bits) + 1  # Spark numbers bits from 1
+
+    def mark(self, rows: DataFrame, key: str, out: str) -> DataFrame:
+        """rows and whether each may have one of the keys; a null key has none."""
+        at = F.bitmap_bit_position(self._bit(key))
+        rows = rows.withColumns({"__piece": F.bitmap_bucket_number(self._bit(key)), "__at": at}).join(F.broadcast(self.pieces), "__piece", "left")
+        byte = F.conv(F.hex(F.substring("__set", (F.floor(F.col("__at") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        held = F.getbit(byte, (F.col("__at") % 8).cast("int")) == 1
+        known = F.col(f"`{key}`").isNotNull() & F.coalesce(held, F.lit(False))
+        return rows.withColumn(out, known).drop("__piece", "__at", "__set")
+
+
 def restrict(df: DataFrame, other: DataFrame, key: str = "sequence") -> DataFrame:
     """Rows of df whose key is in other."""
     return df.join(other.select(key), key, "left_semi")

@@ -37,13 +37,13 @@ def digest(antibodies: DataFrame, standard: DataFrame, rule: str = "trypsin") ->
     """
     rows = antibodies.filter("sequence_alignment_aa <> ''").groupBy("disease", "sequence_alignment_aa").agg(F.collect_set("filename").alias("filenames"))
     rows = rows.withColumn("antibody_id", F.concat(F.lit("ab_"), F.sha2("sequence_alignment_aa", 256)))
-    return sets.subtract(S.peptides(rows, "sequence_alignment_aa", ["disease", "antibody_id", "filenames"], rule, 1, 3), standard)
+    return sets.subtract_reference(S.peptides(rows, "sequence_alignment_aa", ["disease", "antibody_id", "filenames"], rule, 1, 3), standard)
 
 
 def digest_by_antibody(antibodies: DataFrame, standard: DataFrame, rule: str = "trypsin") -> DataFrame:
     """disease, antibody_id, sequence: peptides over 3 long that no standard protein has."""
     pairs = S.peptides(antibody_ids(antibodies), "sequence_alignment_aa", ["disease", "antibody_id"], rule, 1, 3)
-    return sets.subtract(pairs, standard)
+    return sets.subtract_reference(pairs, standard)
 
 
 def by_file(digested: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def by_file(digested: DataFrame) -> DataFrame:
 def digest_by_file(antibodies: DataFrame, standard: DataFrame, rule: str = "trypsin") -> DataFrame:
     """disease, filename, sequence: as above, by file."""
     rows = antibodies.select("disease", "filename", "sequence_alignment_aa").distinct()
-    return sets.subtract(S.peptides(rows, "sequence_alignment_aa", ["disease", "filename"], rule, 1, 3).distinct(), standard)
+    return sets.subtract_reference(S.peptides(rows, "sequence_alignment_aa", ["disease", "filename"], rule, 1, 3).distinct(), standard)
 
 
 def control_peptides(by_file: DataFrame, control: str = "None") -> DataFrame:
@@ -151,9 +151,10 @@ def archived_build(digest: DataFrame, standard: DataFrame, units: DataFrame, ant
 
 
 def top_peptide_database(pairs: DataFrame, n: int) -> DataFrame:
-    """header, sequence of the n most frequent peptides, I read as L, numbered by falling frequency."""
-    frequency = pairs.groupBy("sequence").agg(F.count("*").alias("n_abs"))
-    top = ranking.row_numbers(frequency, [F.desc("n_abs"), F.col("sequence")], "rank").filter(F.col("rank") <= n)
+    """header, sequence of the n most frequent peptides, I read as L, numbered by falling frequency. Only those n are sorted."""
+    frequency = ranking.stored_frequency(pairs)
+    chosen = frequency.filter(ranking.TopSelection(frequency, [n]).least().isNotNull())
+    top = ranking.row_numbers(chosen, [F.desc("n_abs"), F.col("sequence")], "rank")
     return top.select(S.indexed_header(F.col("rank")).alias("header"), S.leucine_for_isoleucine(F.col("sequence")).alias("sequence"))
 
 

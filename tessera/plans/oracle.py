@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from tessera.functions.sequence import RESIDUE_MASS, WATER_MASS
 
 _LETTERS = "".join(RESIDUE_MASS)
@@ -30,7 +32,11 @@ def trypsin_fragments(s: str) -> str:
 PEPTIDES = "list_distinct(list_concat(f, list_transform(range(1, len(f)), lambda i: f[i] || f[i + 1])))"
 MASS = f"CAST({WATER_MASS} AS DOUBLE)" + "".join(f" + (length(sequence) - length(replace(sequence, '{r}', ''))) * CAST({m} AS DOUBLE)" for r, m in RESIDUE_MASS.items())
 
-BASE = f"""
+
+
+def base(fragments: Callable[[str], str]) -> str:
+    """The tables of the build, with the digest of a cut rule."""
+    return f"""
 ab AS (SELECT doc_id AS antibody_no, seq AS sequence_alignment_aa,
     'IGHV' || (doc_id % 7) || '*0' || (doc_id % 4) AS v_call, 'IGHJ' || (doc_id % 5) AS j_call, substring(seq, 20, 30) AS cdr3_aa,
     concat_ws('_', source, lang, CAST(doc_id % 3 AS VARCHAR)) AS filename,
@@ -45,19 +51,19 @@ totals AS (SELECT disease, CAST(sum(unique_sequences) AS BIGINT) AS total_unique
 cat AS (SELECT disease, total_unique_sequences, CASE WHEN disease = 'None' THEN 'None' ELSE 'D' || row_number() OVER
     (PARTITION BY disease = 'None' ORDER BY total_unique_sequences DESC, disease) END AS disease_no FROM totals),
 prot AS (SELECT 'sp|B' || item_id || '|ITEM_' || item_id AS name, {residues('text')} AS sequence FROM benchmark WHERE {residues('text')} <> ''),
-std AS (SELECT DISTINCT sequence FROM (SELECT unnest({PEPTIDES}) AS sequence FROM (SELECT {simple_fragments('sequence')} AS f FROM prot)) WHERE length(sequence) > 1),
+std AS (SELECT DISTINCT sequence FROM (SELECT unnest({PEPTIDES}) AS sequence FROM (SELECT {fragments('sequence')} AS f FROM prot)) WHERE length(sequence) > 1),
 ids AS (SELECT DISTINCT disease, sequence_alignment_aa, 'ab_' || sha256(sequence_alignment_aa) AS antibody_id FROM ab),
-pep_ab AS (SELECT * FROM (SELECT disease, antibody_id, unnest({PEPTIDES}) AS sequence FROM (SELECT disease, antibody_id, {simple_fragments('sequence_alignment_aa')} AS f FROM ids))
+pep_ab AS (SELECT * FROM (SELECT disease, antibody_id, unnest({PEPTIDES}) AS sequence FROM (SELECT disease, antibody_id, {fragments('sequence_alignment_aa')} AS f FROM ids))
     WHERE length(sequence) > 3 AND sequence NOT IN (SELECT sequence FROM std)),
 pep_file AS (SELECT DISTINCT * FROM (SELECT disease, filename, unnest({PEPTIDES}) AS sequence FROM
-    (SELECT disease, filename, {simple_fragments('sequence_alignment_aa')} AS f FROM (SELECT DISTINCT disease, filename, sequence_alignment_aa FROM ab)))
+    (SELECT disease, filename, {fragments('sequence_alignment_aa')} AS f FROM (SELECT DISTINCT disease, filename, sequence_alignment_aa FROM ab)))
     WHERE length(sequence) > 3 AND sequence NOT IN (SELECT sequence FROM std)),
 control AS (SELECT DISTINCT sequence FROM pep_file WHERE disease = 'None'),
 own AS (SELECT sequence FROM pep_ab WHERE disease <> 'None' GROUP BY 1 HAVING count(DISTINCT disease) = 1),
 specific AS (SELECT disease, antibody_id, sequence FROM pep_ab WHERE disease <> 'None' AND sequence IN (SELECT sequence FROM own)
     AND sequence NOT IN (SELECT sequence FROM control)),
 cdr3 AS (SELECT DISTINCT disease, sequence FROM (SELECT disease, unnest({PEPTIDES}) AS sequence FROM
-    (SELECT disease, {simple_fragments('cdr3_aa')} AS f FROM (SELECT DISTINCT disease, cdr3_aa FROM ab WHERE cdr3_aa <> '')))),
+    (SELECT disease, {fragments('cdr3_aa')} AS f FROM (SELECT DISTINCT disease, cdr3_aa FROM ab WHERE cdr3_aa <> '')))),
 stats AS (SELECT disease, sequence, count(*) AS n_antibody, length(sequence) AS length_aa,
     CASE WHEN EXISTS (SELECT 1 FROM cdr3 c WHERE c.disease = s.disease AND c.sequence = s.sequence) THEN 1 ELSE 0 END AS cdr3
     FROM specific s GROUP BY 1, 2),
@@ -72,5 +78,8 @@ isos AS (SELECT disease_no, {", ".join(f"count(DISTINCT CASE WHEN isotype = '{i}
 """
 
 
-def over_base(select: str) -> str:
-    return f"WITH {BASE} {select}"
+BASE = base(simple_fragments)
+
+
+def over_base(select: str, fragments: Callable[[str], str] = simple_fragments) -> str:
+    return f"WITH {base(fragments)} {select}"

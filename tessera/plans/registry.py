@@ -36,9 +36,9 @@ def query(sql: str):
 class Build:
     """The stages of the database build over one folder of tables; what several stages use is written once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.ab = tables.antibodies(spark, sf_dir)
-        self.standard = jobs.standard_peptides(tables.proteins(spark, sf_dir), RULE)
+    def __init__(self, spark: SparkSession, sf_dir: str, rule: str = RULE):
+        self.ab, self.rule = tables.antibodies(spark, sf_dir), rule
+        self.standard = jobs.standard_peptides(tables.proteins(spark, sf_dir), rule)
         self.source = spark, sf_dir
 
     @cached_property
@@ -56,15 +56,15 @@ class Build:
 
     @property
     def by_antibody(self) -> DataFrame:
-        return jobs.digest_by_antibody(self.ab, self.standard, RULE)
+        return jobs.digest_by_antibody(self.ab, self.standard, self.rule)
 
     @property
     def by_file(self) -> DataFrame:
-        return jobs.digest_by_file(self.ab, self.standard, RULE)
+        return jobs.digest_by_file(self.ab, self.standard, self.rule)
 
     @cached_property
     def digested(self) -> DataFrame:
-        return materialized(jobs.digest(self.stored, self.standard, RULE), "digested")
+        return materialized(jobs.digest(self.stored, self.standard, self.rule), "digested")
 
     @cached_property
     def pairs(self) -> DataFrame:
@@ -76,7 +76,7 @@ class Build:
 
     @property
     def served(self) -> DataFrame:
-        return jobs.peptide_table(jobs.specific_statistics(self.pairs), jobs.by_file(self.digested), jobs.cdr3_peptides(self.stored, RULE), self.meta, self.catalog)
+        return jobs.peptide_table(jobs.specific_statistics(self.pairs), jobs.by_file(self.digested), jobs.cdr3_peptides(self.stored, self.rule), self.meta, self.catalog)
 
     @property
     def isotypes(self) -> DataFrame:
@@ -129,11 +129,19 @@ def o76_digest_trypsin(spark, sf_dir):
 @query(over_base(f"""SELECT antibody_no, sequence, CAST(round((mass) * 100000) AS BIGINT) AS mass_1e5 FROM
     (SELECT *, {MASS} AS mass FROM (SELECT antibody_no, unnest(list_distinct({simple_fragments('sequence_alignment_aa')})) AS sequence FROM ab)) WHERE mass BETWEEN 400 AND 6000"""))
 def o77_o78_digest_by_mass(spark, sf_dir):
-    rows = S.peptides(tables.antibodies(spark, sf_dir), "sequence_alignment_aa", ["antibody_no"], "simple", 0)
-    rows = rows.withColumn("mass", S.peptide_mass(F.col("sequence"))).filter(F.col("mass").between(400, 6000))
+    rows = S.peptides_by_mass(tables.antibodies(spark, sf_dir), "sequence_alignment_aa", ["antibody_no"], 400, 6000, "simple")
     return rows.select("antibody_no", "sequence", F.round(F.col("mass") * 100000).cast("long").alias("mass_1e5"))
 
 
+@query(over_base(f"""SELECT antibody_no, count(*) AS n_peptides, CAST(round(sum(mass) * 100) AS BIGINT) AS mass_1e2 FROM
+    (SELECT *, {MASS} AS mass FROM (SELECT antibody_no, unnest({PEPTIDES}) AS sequence FROM (SELECT antibody_no, {simple_fragments('sequence_alignment_aa')} AS f FROM ab)))
+    WHERE mass BETWEEN 400 AND 6000 GROUP BY 1"""))
+def o76_o78_missed_by_mass(spark, sf_dir):
+    """Peptides with up to one missed cut in the mass window, counted and weighed by antibody."""
+    rows = S.peptides_by_mass(tables.antibodies(spark, sf_dir), "sequence_alignment_aa", ["antibody_no"], 400, 6000, "simple", 1)
+    return rows.groupBy("antibody_no").agg(F.count("*").alias("n_peptides"), F.round(F.sum("mass") * 100).cast("long").alias("mass_1e2"))
+
+
 # ---- database build
 
 @query(over_base("SELECT sequence FROM std"))
@@ -161,6 +169,12 @@ def o98_disease_specific(spark, sf_dir):
     return Build(spark, sf_dir).specific.select("disease", "antibody_id", "sequence")
 
 
+@query(over_base("SELECT disease, antibody_id, sequence FROM specific", trypsin_fragments))
+def o98_disease_specific_trypsin(spark, sf_dir):
+    """The build by the enzyme's rule with its exceptions, which is the library's default."""
+    return Build(spark, sf_dir, "trypsin").specific.select("disease", "antibody_id", "sequence")
+
+
 @query(over_base("SELECT disease, sequence FROM cdr3"))
 def o99_cdr3_peptides(spark, sf_dir):
     return jobs.cdr3_peptides(tables.antibodies(spark, sf_dir), RULE)

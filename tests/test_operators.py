@@ -120,3 +120,63 @@ def test_archived_build(spark):
     units = spark.createDataFrame([("f", "BP", "P1"), ("g", "BP", None)], "data_id string, bioproject string, patient_id string")
     ab = spark.createDataFrame([(1, "IGHV1*02"), (2, "IGHV2")], "antibody_id long, v_call string")
     assert _rows(jobs.archived_build(digest, std, units, ab, 0)) == [("AAAK", "f", 1, "BP", "P1", "IGHV1")]
+
+
+def test_patients_and_isotypes_need_no_window_and_no_copies(spark):
+    """Plans of the builds: distinct patients by two aggregates, isotypes by bits."""
+    keys = "disease string, sequence string"
+    stats = spark.createDataFrame([("Flu", "A", 1, 1)], f"{keys}, n_antibody long, length_aa int")
+    by_file = spark.createDataFrame([("Flu", "A", "f1"), ("Flu", "A", "f2")], f"{keys}, filename string")
+    meta = spark.createDataFrame([("f1", "P1", "b", "t", "IGHG"), ("f2", None, "b", "t", "Bulk")], "filename string, patient string, bsource string, btype string, isotype string")
+    catalog = spark.createDataFrame([("Flu", "D1")], "disease string, disease_no string")
+    table = jobs.peptide_table(stats, by_file, spark.createDataFrame([], keys), meta, catalog)
+    assert {(r["filename"], r["n_patient"], r["cdr3"]) for r in table.collect()} == {("f1", 2, 0), ("f2", 2, 0)}
+    antibodies = spark.createDataFrame([("D1", "AAA")], "disease_no string, sequence_alignment_aa string")
+    summary = jobs.disease_summary(table, antibodies, catalog, meta.withColumn("disease", F.lit("Flu")))
+    row = summary.first()
+    assert (row["no"], row["file_db"], row["n_peptide"], row["n_peptide_ighg"], row["n_peptide_bulk"], row["n_peptide_ighm"]) == (1, "D1_Flu", 1, 1, 1, 0)
+    for df in (table, facets.isotype_table(table)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Expand" not in plan
+    # n_antibody alone is counted by distinct values, of one column
+    assert "Expand" not in summary._jdf.queryExecution().executedPlan().toString()
+
+
+def test_isotypes_of_odd_rows(spark):
+    rows = [("D1", "A", "IGHG"), ("D1", "A", "IGHG"), ("D1", "B", None), ("D1", None, "IGHA"), ("D2", "A", "odd"), (None, "C", "Bulk")]
+    got = {r["disease_no"]: r.asDict() for r in facets.isotype_table(spark.createDataFrame(rows, "disease_no string, sequence string, isotype string")).collect()}
+    assert {k: (r["IGHG"], r["IGHA"], r["Bulk"]) for k, r in got.items()} == {"D1": (1, 0, 0), "D2": (0, 0, 0), None: (0, 0, 1)}
+
+
+@pytest.mark.parametrize("step", [1, 3])
+def test_top_selection_against_a_sort(spark, monkeypatch, step):
+    import random
+
+    monkeypatch.setattr(ranking, "PREFIX_STEP", step)
+    rng = random.Random(step)
+    rows = list({("".join(rng.choice("ABC") for _ in range(rng.randint(1, 7))), n) for n in (1, 1, 1, 2, 5) for _ in range(200)})
+    rows = [(s, n) for s, n in {s: n for s, n in rows}.items()]
+    df = spark.createDataFrame(rows, "sequence string, n_abs long").repartition(3)
+    order = sorted(rows, key=lambda r: (-r[1], r[0]))
+    sizes = [1, 2, 17, 100, len(rows) - 1, len(rows), len(rows) + 5, 10**9]
+    got = {r["sequence"]: r["top"] for r in df.select("sequence", ranking.TopSelection(df, sizes).least().alias("top")).collect()}
+    assert got == {s: min(n for n in sizes if n > k) for k, (s, _) in enumerate(order)}
+    assert df.limit(0).select(ranking.TopSelection(df.limit(0), [5]).least().alias("top")).count() == 0
+
+
+def test_large_reference_shuffles_what_may_match(spark, monkeypatch):
+    monkeypatch.setattr(sets, "is_small", lambda *a: False)
+    df = spark.range(20_000).select(F.concat(F.lit("P"), F.col("id").cast("string")).alias("sequence"), "id", F.lit(1).alias("__note"))
+    df = df.unionByName(spark.createDataFrame([(None, -1, 1)], "sequence string, id long, `__note` int"))
+    other = df.filter("id % 50 = 0").select("sequence").unionByName(spark.createDataFrame([(None,)], "sequence string"))
+    got = sets.subtract_reference(df, other)
+    assert got.columns == df.columns and got.count() == 20_001 - 400 and got.filter("id % 50 = 0").count() == 0 and got.filter("sequence IS NULL").count() == 1
+    bitmap = sets.KeyBitmap(other, "sequence", 20)
+    assert bitmap.mark(df, "sequence", "may").filter("may").count() < 400 + 60
+    monkeypatch.setattr(sets.KeyBitmap, "MOST", 3)
+    assert sets.subtract_reference(df, other).count() == 20_001 - 400
+
+
+def test_small_counts_bytes(spark):
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert sets.is_small(wide) and not sets.is_small(wide, max_bytes=50_000) and not sets.is_small(wide, max_rows=99)

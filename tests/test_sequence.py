@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -51,3 +53,28 @@ def test_mass_and_names(spark):
     assert row["mass"] == pytest.approx(2 * 57.02146 + 18.01056)
     assert (row["u"], row["r"], row["v"], row["file"], row["number"]) == ("P1", "NP_1.2", "IGHV1", "a", 12)
     assert (row["p"], row["part"], row["n"], row["res"]) == ("A_NA", "D1_SARS_COV_2", "1,234,567", "AK")
+
+
+@pytest.mark.parametrize("kind", ["monoisotopic", "average"])
+@pytest.mark.parametrize("missed", [0, 1, 2])
+def test_peptides_by_mass(spark, kind, missed):
+    """Against plain Python; the window is applied within the generator, and the fragments are worked out once."""
+    import random
+
+    rng = random.Random(missed)
+    rows = [(k, "".join(rng.choice("ACDEFGHIKLMNPQRSTVWYX") for _ in range(rng.choice([0, 3, 60])))) for k in range(60)] + [(60, None)]
+    masses, water = S.MASSES[kind]
+    want = set()
+    for k, s in rows:
+        parts = [p for p in re.split(r"(?<=[KR])(?=[^P])", s or "") if p]
+        for m in range(missed + 1):
+            for i in range(len(parts) - m):
+                peptide = "".join(parts[i : i + m + 1])
+                mass = water + sum(masses.get(c, 0) for c in peptide)
+                if 400 <= mass <= 2000:
+                    want.add((k, peptide, round(mass, 6)))
+    got = S.peptides_by_mass(spark.createDataFrame(rows, "id int, s string"), "s", ["id"], 400, 2000, "simple", missed, kind)
+    found = [(r["id"], r["sequence"], round(r["mass"], 6)) for r in got.collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 1 and "Filter" not in plan
