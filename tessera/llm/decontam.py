@@ -12,8 +12,8 @@ question; an item of one sentence has its last third as answer.
 The index is collected and broadcast in shards of at most MAX_POSTINGS postings by count (an item larger than that is
 a shard of its own), one at a time in the driver; beyond one shard the documents are scanned once a shard.
 
-Defined results: null or empty texts hold and are no leaks; an item of fewer than five words is one shingle; repeated
-items are reported each, repeated documents likewise; empty tables give an empty result. Of documents only doc_id and
+Defined results: null or empty texts hold and are no leaks; an item with a null item_id is searched for like any other and
+reported with a null; an item of fewer than five words is one shingle; repeated items are reported each, repeated documents likewise; empty tables give an empty result. Of documents only doc_id and
 text are read, of items item_id and text.
 """
 
@@ -161,7 +161,8 @@ class Index:
             if q < MIN_OVERLAP or a < MIN_ANSWER or overlap <= best.get((x, i), (0, 0, -1))[2]:
                 continue
             if overlap >= MIN_OVERLAP or edited and holds_in_order(question, answer, passage):
-                best[x, i] = (int(self.items["item_id"][i]), score, overlap, q, a, start)
+                name = self.items["item_id"][i]
+                best[x, i] = (None if name is None else int(name), score, overlap, q, a, start)
         for (x, _), leak in best.items():
             yield x, leak
 
@@ -200,8 +201,9 @@ def build(items: DataFrame) -> Iterator[list[Index]]:
             yield pd.DataFrame(rows, columns=["item_no", "term", "length"])
 
     # a name of its own for each row, as item ids may repeat
-    named = stash(items.filter("item_id IS NOT NULL AND text IS NOT NULL").select(
-        F.monotonically_increasing_id().alias("item_no"), F.col("item_id").cast("long"), "text"), "items")
+    # ids as text, as pandas has no null among whole numbers
+    named = stash(items.filter("text IS NOT NULL").select(
+        F.monotonically_increasing_id().alias("item_no"), F.col("item_id").cast("long").cast("string").alias("item_id"), "text"), "items")
     terms = named.select("item_no", "text").mapInPandas(tokens, "item_no long, term string, length long")
     tf = stash(terms.groupBy("item_no", "term").agg(F.count("*").alias("tf"), F.first("length").alias("length")), "tf")
     per_item = tf.groupBy("item_no").agg(F.first("length").alias("length"), F.count("*").alias("terms"))

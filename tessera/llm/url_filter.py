@@ -5,7 +5,8 @@ text. Word counts, class counts and scores are relations: nothing of the vocabul
 
 Defined results: a null url, or one without `://`, has an empty host and path and no rule; repeated rows are judged
 alike; with no rule-judged page of one class the method says allow; an empty table gives an empty result.
-Other columns of the input are ignored. A name of more than LONGEST_NAME letters is split into words in pieces of that length.
+Other columns of the input are ignored. A word has MAX_WORD letters at most; a name may have any number. Substrings of a name are
+looked up a piece of PIECE letters at a time, and Viterbi goes on from piece to piece, so only a byte a letter is held of it.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ RULES = [
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 ]
-MAX_WORD, LONGEST_NAME = 24, 200
+MAX_WORD, PIECE = 24, 256
 PIECES = r"[a-z0-9]+|[^\x00-\x7f]+"
 
 
@@ -56,40 +57,74 @@ def rule_columns(host: Column, path: Column, rules: list[tuple[str, str]]) -> tu
     return (rule, verdict) if rules else (F.lit(None).cast("string"),) * 2
 
 
+class Split:
+    """Viterbi over one name: the most likely split; of equals the one with the shortest last word, then the last but one."""
+
+    def __init__(self, name: str, total: int):
+        self.name, self.total, self.at = name, total, 0
+        self.best = [0.0] + [-math.inf] * MAX_WORD  # of the ends from `at` on
+        self.back = bytearray(len(name) + 1)
+        self.unknown = [math.log(10 / total) - size * math.log(10) for size in range(MAX_WORD + 1)]
+
+    def advance(self, upto: int, found: dict[tuple[int, int], int]) -> None:
+        """Go on with the words that start before `upto`; found maps (start, length) to a word's count."""
+        for start in range(self.at, min(upto, len(self.name))):
+            own = self.best[0]
+            for size in range(1, min(MAX_WORD, len(self.name) - start) + 1):
+                count = found.get((start, size), 0)
+                score = own + (math.log(count / self.total) if count else self.unknown[size])
+                if score >= self.best[size]:
+                    self.best[size], self.back[start + size] = score, size
+            self.best = [*self.best[1:], -math.inf]
+        self.at = max(self.at, min(upto, len(self.name)))
+
+    def words(self) -> list[str]:
+        self.advance(len(self.name), {})
+        out, end = [], len(self.name)
+        while end:
+            out.append(self.name[end - self.back[end] : end])
+            end -= self.back[end]
+        return out[::-1]
+
+
 def segment(name: str, found: dict[tuple[int, int], int], total: int) -> list[str]:
     """Most likely split of a name; found maps (start, length) to a word's count."""
-    best, back = [0.0] + [-math.inf] * len(name), [0] * (len(name) + 1)
-    for end in range(1, len(name) + 1):
-        for size in range(1, min(MAX_WORD, end) + 1):
-            count = found.get((end - size, size), 0)
-            logp = math.log(count / total) if count else math.log(10 / total) - size * math.log(10)
-            if best[end - size] + logp > best[end]:
-                best[end], back[end] = best[end - size] + logp, size
-    words, end = [], len(name)
-    while end:
-        words.append(name[end - back[end] : end])
-        end -= back[end]
-    return words[::-1]
+    split = Split(name, total)
+    split.advance(len(name), found)
+    return split.words()
 
 
 def segment_names(names: DataFrame, word_counts: DataFrame) -> DataFrame:
-    """(name) distinct and (word, n) -> (name, words). Substrings join the counts; Viterbi runs per name."""
+    """(name) distinct and (word, n) -> (name, words). Substrings join the counts; Viterbi runs per name, piece after piece."""
     total = word_counts.agg(F.sum("n")).first()[0] or 1
-    parts = names.filter("length(name) > 0").select(
-        "name", F.explode(F.expr("sequence(0, length(name) - 1)")).alias("start")
-    ).select("name", "start", F.explode(F.expr(f"sequence(1, least({MAX_WORD}, length(name) - start))")).alias("size"))
-    parts = parts.withColumn("word", F.expr("substring(name, start + 1, size)"))
-    hits = hot_safe_left_join(parts, word_counts, "word").filter("n IS NOT NULL").groupBy("name").agg(F.collect_list(F.struct("start", "size", "n")).alias("hits"))
+    keyed = names.filter("length(name) > 0").select(F.md5("name").alias("key"), "name")
+    parts = keyed.select("key", F.posexplode(F.expr(f"transform(sequence(0, (length(name) - 1) div {PIECE}), p -> substring(name, cast(p AS int) * {PIECE} + 1, {PIECE + MAX_WORD - 1}))")).alias("piece", "text"))
+    # a word starts in a piece's own letters and may end in those that the next piece starts with
+    words = F.expr(f"""flatten(transform(sequence(1, least({PIECE}, length(text))), i -> transform(sequence(1, least({MAX_WORD}, length(text) - i + 1)),
+        k -> struct(piece * {PIECE} + i - 1 AS start, k AS size, substring(text, i, k) AS word))))""")
+    parts = parts.select("key", "piece", F.explode(words).alias("w")).select("key", "piece", "w.*")
+    hits = hot_safe_left_join(parts, word_counts, "word").filter("n IS NOT NULL")
+    hits = hits.groupBy("key", "piece").agg(F.collect_list(F.struct("start", "size", "n")).alias("hits"))  # PIECE * MAX_WORD at most
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now = None
         for b in batches:
-            words = [
-                segment(name, {(h["start"], h["size"]): h["n"] for h in ([] if hits is None else hits)}, total)
-                for name, hits in zip(b["name"], b["hits"])
-            ]
-            yield pd.DataFrame({"name": b["name"], "words": words})
-
-    return names.join(hits, "name", "left").mapInPandas(run, "name string, words array<string>")
+            done = []
+            for name, piece, found in zip(b["name"], b["piece"], b["hits"]):
+                if piece < 0:  # a name comes before its pieces
+                    done += [(now.name, now.words())] if now else []
+                    now = Split(name, total)
+                else:
+                    now.advance(piece * PIECE, {})  # pieces without a known word are absent
+                    now.advance((piece + 1) * PIECE, {(h["start"], h["size"]): h["n"] for h in found})
+            yield pd.DataFrame(done, columns=["name", "words"])
+        if now:
+            yield pd.DataFrame([(now.name, now.words())], columns=["name", "words"])
+
+    kind = dict(hits.dtypes)["hits"]
+    rows = keyed.select("key", F.lit(-1).alias("piece"), "name", F.lit(None).cast(kind).alias("hits"))
+    rows = rows.unionByName(hits.select("key", "piece", F.lit(None).cast("string").alias("name"), "hits"))
+    return rows.repartition("key").sortWithinPartitions("key", "piece").mapInPandas(run, "name string, words array<string>")
 
 
 def text_words(html: Column) -> Column:
@@ -105,8 +140,6 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES) -> DataFr
     names = F.regexp_extract_all(F.lower(F.concat_ws("/", "host", "path")), F.lit(PIECES), F.lit(0))
     # digits say little but that they are digits
     names = F.transform(names, lambda x: F.when(x.rlike(r"^\d+$"), "0").otherwise(x))
-    cut = lambda x: F.transform(F.sequence(F.lit(0), ((F.length(x) - 1) / LONGEST_NAME).cast("int")), lambda k: F.substring(x, k * LONGEST_NAME + 1, F.lit(LONGEST_NAME)))
-    names = F.flatten(F.transform(names, cut))
     sites = stash(sites.withColumn("site", site_name()).withColumn("names", names), "sites")
     named = sites.select("site", "n", "ruled", F.explode("names").alias("name"))
     counts = pages.select(F.explode(text_words(F.col("html"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))

@@ -119,3 +119,28 @@ def test_mix_takes_what_a_sort_would_take(spark, seed):
         target[source] = got[k]["target"]
     for source, members in by_source.items():
         assert {k: got[k]["taken"] for k, _, _ in members} == _taken(members, target[source])
+
+
+def test_words_across_pieces_of_a_long_name(spark, monkeypatch):
+    """Names far longer than a piece are split as a whole; the pieces' ends cut no word."""
+    rng = random.Random(8)
+    words = {"garden": 40, "casino": 30, "gar": 5, "den": 5, "in": 9, "sin": 3, "or": 8, "abcdefghijklmnopqrstuvwx": 2}
+    names = ["garden" * 33 + "casino" * 3, "zq" * 300, "casino" * 500, "a", *("".join(rng.choice([*words, "x", "zz"]) for _ in range(rng.randint(1, 90))) for _ in range(40))]
+    total, want = sum(words.values()), {}
+    for name in names:
+        best = [(0.0, [])]
+        for end in range(1, len(name) + 1):
+            options = []
+            for size in range(1, min(24, end) + 1):
+                w = name[end - size : end]
+                logp = math.log(words[w] / total) if w in words else math.log(10 / total) - size * math.log(10)
+                options.append((best[end - size][0] + logp, -size))
+            score, size = max(options)
+            best.append((score, [*best[end + size][1], name[end + size : end]]))
+        want[name] = best[-1][1]
+    counts = spark.createDataFrame([*words.items()], "word string, n long")
+    for piece in (256, 25, 7):
+        monkeypatch.setattr(url_filter, "PIECE", piece)
+        got = url_filter.segment_names(spark.createDataFrame([(n,) for n in {*names}], "name string"), counts)
+        assert {r["name"]: list(r["words"]) for r in got.collect()} == want
+    assert want[names[0]][-3:] == ["casino"] * 3

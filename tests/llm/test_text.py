@@ -127,7 +127,7 @@ def test_leaks_against_brute_force(spark, odd_docs, no_docs):
     def text(n):
         return " ".join(rng.choice("bcdfg") + rng.choice("aeiou") + rng.choice("lmnrst") + str(rng.randint(0, 60)) for _ in range(n))
 
-    items = [(k, f"{text(rng.choice([3, 12, 30, 70, 200]))}. {text(8)}.") for k in range(80)] + [(80, None), (81, ""), (None, "no id")]
+    items = [(k, f"{text(rng.choice([3, 12, 30, 70, 200]))}. {text(8)}.") for k in range(80)] + [(80, None), (81, ""), (None, "zq zx zw of no document")]
     rows = []
     for k in range(150):
         parts = [text(rng.randint(0, 300))]
@@ -189,3 +189,12 @@ def test_edited_items_are_leaks(spark, tmp_path, changed):
     assert [(r["doc_id"], r["item_id"]) for r in decontam.op10_decontaminate(spark, str(tmp_path)).collect()] == [(1, 5)]
     docs, bench = (spark.read.parquet(f"{tmp_path}/{x}.parquet") for x in ("documents", "benchmark"))
     assert {r["doc_id"] for r in decontam.drop_leaks(docs, bench, edited=True).collect()} == {2, 3}
+
+
+def test_items_without_an_id_are_searched_for(spark):
+    rng = random.Random(4)
+    item = " ".join(f"word{rng.randint(0, 500)}" for _ in range(40))
+    docs = spark.createDataFrame([(1, f"before {item} after"), (2, "other words"), (None, item)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, item), (2**60 + 1, item)], "item_id long, text string")
+    assert sorted(((r["doc_id"], r["item_id"]) for r in decontam.find_leaks(docs, items).collect()), key=repr) == sorted([(1, None), (1, 2**60 + 1), (None, None), (None, 2**60 + 1)], key=repr)
+    assert [r["doc_id"] for r in decontam.drop_leaks(docs, items.filter("item_id IS NULL")).collect()] == [2]
