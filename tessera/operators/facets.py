@@ -42,19 +42,44 @@ def summary_card(rows: DataFrame) -> DataFrame:
         F.count_if(F.col("cdr3") == 1).alias("n_cdr3"), F.count_if(F.col("cdr3") == 0).alias("n_non_cdr3"))
 
 
+def facet_cells(served: DataFrame) -> DataFrame:
+    """The served table counted by all facets: a row for each combination, n rows of it, and its largest measures.
+
+    Cards, trees and ranges of choices are sums and maxima over these few rows, which are written beside the table.
+    """
+    n = F.col("n_antibody")
+    return served.groupBy("disease_no", "bsource", "btype", "isotype", uniqueness(n).alias("uniqueness"), "cdr3").agg(
+        F.count("*").alias("n"), F.max(n).alias("max_antibody"), F.max("n_patient").alias("max_patient"))
+
+
+def cells_card(cells: DataFrame) -> DataFrame:
+    """summary_card but for different peptides, which cells cannot tell."""
+    n_if = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    kind, cdr3 = F.col("uniqueness"), F.col("cdr3")
+    return cells.agg(
+        n_if(F.lit(True)).alias("n_rows"), n_if(kind == "Unique").alias("n_unique"), n_if(kind == "non-Unique").alias("n_non_unique"),
+        n_if(cdr3 == 1).alias("n_cdr3"), n_if(cdr3 == 0).alias("n_non_cdr3"))
+
+
+def _weight(rows: DataFrame) -> Column:
+    """Rows that a row stands for."""
+    return F.col("n") if {"n", "uniqueness"} <= {*rows.columns} else F.lit(1).cast("long")
+
+
 def hierarchy_counts(rows: DataFrame, upper: str, lower: str, root: str = "Total") -> DataFrame:
-    """label, parent, value of a two-level tree: a rollup gives all three levels in one pass. A null group is called NA."""
-    named = rows.select(F.coalesce(upper, F.lit("NA")).alias("u"), F.coalesce(lower, F.lit("NA")).alias("l"))
-    got = named.rollup("u", "l").agg(F.count("*").alias("value"), F.grouping_id().alias("level"))
+    """label, parent, value of a two-level tree, of rows or cells: a rollup gives all three levels in one pass. A null group is called NA."""
+    named = rows.select(F.coalesce(upper, F.lit("NA")).alias("u"), F.coalesce(lower, F.lit("NA")).alias("l"), _weight(rows).alias("n"))
+    got = named.rollup("u", "l").agg(F.sum("n").alias("value"), F.grouping_id().alias("level"))
     label = F.when(F.col("level") == 3, F.lit(root)).when(F.col("level") == 1, F.col("u")).otherwise(F.concat_ws(":", "u", "l"))
     parent = F.when(F.col("level") == 3, F.lit("")).when(F.col("level") == 1, F.lit(root)).otherwise(F.col("u"))
     return got.select(label.alias("label"), parent.alias("parent"), "value")
 
 
 def isotype_uniqueness(rows: DataFrame, root: str = "Total") -> DataFrame:
-    """label, parent, value: a root, isotypes and, in each, unique and other peptides; all twelve leaves, 0 where none."""
+    """label, parent, value, of rows or cells: a root, isotypes and, in each, unique and other peptides; all twelve leaves, 0 where none."""
     spark = rows.sparkSession
-    counts = rows.groupBy("isotype", uniqueness(F.col("n_antibody")).alias("kind")).agg(F.count("*").alias("value"))
+    kind = F.col("uniqueness") if "uniqueness" in rows.columns else uniqueness(F.col("n_antibody"))
+    counts = rows.groupBy("isotype", kind.alias("kind")).agg(F.sum(_weight(rows)).alias("value"))
     grid = spark.range(1).select(F.explode(F.array(*map(F.lit, ISOTYPES))).alias("isotype")).select(
         "isotype", F.explode(F.array(F.lit("Unique"), F.lit("non-Unique"))).alias("kind"))
     leaves = grid.join(counts, ["isotype", "kind"], "left").withColumn("value", F.coalesce("value", F.lit(0)))

@@ -13,6 +13,7 @@ from tessera.operators import facets, ranking, sets
 from tessera.plans import jobs, oracle, tables
 from tessera.plans.oracle import MASS, PEPTIDES, over_base, simple_fragments, trypsin_fragments
 from tessera.sources import files, sinks, units
+from tessera.sources.ledger import Ledger
 from tessera.sources.scratch import materialized, scratch_path
 from tessera.streaming.exclusivity import ExclusivePeptides, follow
 from tessera.streaming.incremental import digest_new_files
@@ -274,6 +275,28 @@ def o56_isotype_uniqueness(spark, sf_dir):
     return facets.isotype_uniqueness(Build(spark, sf_dir).served_table)
 
 
+_TREES = f"""SELECT 'card' AS what, 'rows' AS label, '' AS parent, count(*) AS value FROM datdb UNION ALL SELECT 'card', 'unique', '', count(*) FROM datdb WHERE n_antibody = 1
+    UNION ALL SELECT 'card', 'cdr3', '', count(*) FROM datdb WHERE cdr3 = 1
+    UNION ALL SELECT 'largest', 'antibody', disease_no, max(n_antibody) FROM datdb GROUP BY disease_no UNION ALL SELECT 'largest', 'patient', disease_no, max(n_patient) FROM datdb GROUP BY disease_no
+    UNION ALL SELECT 'sources', * FROM ({_SOURCES.format(root="Total", rows="datdb")})
+    UNION ALL SELECT 'isotypes', 'Total', '', CAST(sum(n) AS BIGINT) FROM leaves UNION ALL SELECT 'isotypes', isotype, 'Total', CAST(sum(n) AS BIGINT) FROM leaves GROUP BY isotype
+    UNION ALL SELECT 'isotypes', isotype || ':' || kind, isotype, n FROM leaves"""
+
+
+@query(over_base(_TREES).replace("isos AS (", _LEAVES, 1))
+def o51_o54_o56_from_cells(spark, sf_dir):
+    """Card, ranges and both trees from the cells that are written beside the served table."""
+    cells = materialized(facets.facet_cells(Build(spark, sf_dir).served), "cells")
+    rows = lambda what, df: df.select(F.lit(what).alias("what"), "label", "parent", F.col("value").cast("long").alias("value"))
+    pick = lambda *pairs: F.explode(F.array(*(F.struct(F.lit(n).alias("label"), F.col(c).cast("long").alias("value")) for n, c in pairs))).alias("r")
+    card = facets.cells_card(cells).select(pick(("rows", "n_rows"), ("unique", "n_unique"), ("cdr3", "n_cdr3"))).select("r.*", F.lit("").alias("parent"))
+    most = cells.groupBy("disease_no").agg(F.max("max_antibody").alias("a"), F.max("max_patient").alias("p"))
+    most = most.select(F.col("disease_no").alias("parent"), pick(("antibody", "a"), ("patient", "p"))).select("parent", "r.*")
+    out = rows("card", card).unionByName(rows("largest", most))
+    out = out.unionByName(rows("sources", facets.hierarchy_counts(cells, "bsource", "btype")))
+    return out.unionByName(rows("isotypes", facets.isotype_uniqueness(cells)))
+
+
 _FIRST = "(SELECT sequence, bsource, btype, isotype, n_patient, n_antibody, length_aa, cdr3 FROM datdb WHERE disease_no = 'D1' AND n_antibody = 1 AND cdr3 = 1)"
 _D1 = "(SELECT disease FROM cat WHERE disease_no = 'D1')"
 DAY = date(2024, 9, 1)
@@ -560,6 +583,22 @@ def o108_retry(spark, sf_dir):
     return spark.read.parquet(path).unionByName(left)
 
 
+@query(over_base("SELECT filename, count(*) AS n_peptides FROM pep_file WHERE disease IS NOT NULL GROUP BY 1"))
+def o107_o108_ledger(spark, sf_dir):
+    """Files digested by units, of which half fail at first; the ledger is what is committed, and no file is there twice."""
+    ab = materialized(tables.antibodies(spark, sf_dir).select("sequence_alignment_aa", "disease", "filename").filter("disease IS NOT NULL"), "antibodies")
+    standard = materialized(jobs.standard_peptides(tables.proteins(spark, sf_dir), RULE), "standard")
+    ledger, first = Ledger(spark, scratch_path(spark, "ledger"), "filename string, sequence string"), [True]
+
+    def work(files_left: DataFrame) -> tuple[DataFrame, DataFrame]:
+        done = files_left.filter(F.pmod(F.xxhash64("filename"), F.lit(2)) == 0) if first[0] else files_left
+        first[0] = False
+        return jobs.digest_by_file(ab.join(files_left, "filename", "left_semi"), standard, RULE).select("filename", "sequence"), done
+
+    ledger.run(ab.select("filename").distinct(), work)
+    return ledger.rows().groupBy("filename").agg(F.count("*").alias("n_peptides"))
+
+
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders")
 def o4_o13_csv_gz_round_trip(spark, sf_dir):
     path = scratch_path(spark, "csv")
