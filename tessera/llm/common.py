@@ -86,7 +86,9 @@ def row_bytes(df: DataFrame) -> Column:
             total = total + F.coalesce(F.octet_length(c), F.lit(0)) + 8
         elif isinstance(kind, T.ArrayType):
             inner = kind.elementType
-            total = total + F.greatest(F.size(c), F.lit(0)) * (8 * len(inner.fields) if isinstance(inner, T.StructType) else 32 if isinstance(inner, T.StringType) else 8) + 8
+            width = lambda t: 8 + 72 * isinstance(t, T.StringType)  # noqa: E731  a string in a struct: a hash in hex, about
+            each = sum(width(x.dataType) for x in inner.fields) if isinstance(inner, T.StructType) else 32 if isinstance(inner, T.StringType) else 8
+            total = total + F.greatest(F.size(c), F.lit(0)) * each + 8
         else:
             total = total + (8 * len(kind.fields) if isinstance(kind, T.StructType) else 8)
     return total
