@@ -13,12 +13,18 @@ def write_csv(df: DataFrame, path: str, gzip: bool = False, mode: str = "overwri
     df.write.mode(mode).option("header", "true").option("compression", "gzip" if gzip else "none").csv(path)
 
 
-def write_served(df: DataFrame, path: str, by: str = "disease_no") -> None:
+def write_served(df: DataFrame, path: str, by: str = "disease_no", lookup: str = "sequence") -> None:
     """Parquet partitioned by disease; only the partitions that df holds are replaced, so reruns add no rows twice.
 
-    Rows are dealt by disease first, so a disease has few files; large diseases are split again.
+    Rows are dealt by disease first, so a disease has few files; large diseases are split again. Files are in order of the
+    look-up column, if df has it, with a Bloom filter on it, so that a search for one value skips row groups and pages.
     """
-    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    rows, found = df.hint("rebalance", by), lookup in df.columns
+    # a writer of several partitions sorts by them anyway
+    writer = (rows.sortWithinPartitions(by, lookup) if found else rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    if found:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{lookup}", "true")
+    writer.partitionBy(by).parquet(path)
 
 
 def wrapped(sequence: Column, width: int) -> Column:

@@ -78,3 +78,26 @@ def test_report_tells_empty_from_unreadable(spark, tmp_path):
 def test_export_names():
     day = date(2024, 9, 1)
     assert [sinks.export_name("Flu", k, day) for k in ("csv", "fasta", "plus")] == ["Flu_filtered_2024-09-01.csv", "Flu_2024-09-01.fasta", "Flu_plus_2024-09-01.fasta"]
+
+
+def test_served_look_ups_skip_row_groups(spark, tmp_path):
+    """Files are in order of the sequence and have Bloom filters on it."""
+    import duckdb
+    import pyarrow.parquet as pq
+    from pyspark.sql import functions as F
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    df = spark.range(400_000).select(F.concat(F.lit("P"), F.sha2(F.col("id").cast("string"), 256)).alias("sequence"), F.lit("D1").alias("disease_no"), "id")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        sinks.write_served(df, str(tmp_path / "t"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    wanted, absent = df.filter("id = 77").first()["sequence"], "P" + "0" * 64
+    parts = [str(p) for p in (tmp_path / "t").rglob("*.parquet")]
+    for p in parts:
+        x = pq.read_table(p, columns=["sequence"])["sequence"].to_pylist()
+        assert x == sorted(x)
+    probe = lambda v: [r[0] for p in parts for r in duckdb.sql(f"SELECT bloom_filter_excludes FROM parquet_bloom_probe('{p}', 'sequence', '{v}')").fetchall()]
+    assert all(probe(absent)) and not all(probe(wanted))
+    assert spark.read.parquet(str(tmp_path / "t")).filter(F.col("sequence") == wanted).count() == 1
