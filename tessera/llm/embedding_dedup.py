@@ -5,6 +5,11 @@ and a Walsh-Hadamard transform), for FUNCTIONS rotations together. A vector is a
 TABLES tables and, by multiprobe, also goes to the PROBES - 1 next likely ones. Homes meet all rows of their bucket;
 each such pair of equal labels is verified by its cosine in double precision. All vectors are indexed.
 
+Vectors do not travel to all those buckets. What does is a sketch of BITS signs of random projections: where no row of a
+bucket has a sketch at most MOST_APART bits off, no vector of it can link but with a chance below one in ten million, as
+a pair at MIN_COSINE differs in 15 of 128 bits on average. Rows that have such a partner are marked by a bit for each of
+their buckets, and only these are sent again, with vectors, to be verified. No pair is ever a row.
+
 Equal vectors of a label are one class before hashing and count as links of each other. A hot bucket is cut into
 blocks that meet pair by pair. A group gives counts and the edges of a spanning forest, never its pairs; a pair that
 meets in several buckets counts in the first alone, which the hashes both rows carry tell.
@@ -26,11 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import components, deal_blocks, hot_safe_left_join, read, stash, whole_groups
+from tessera.llm.common import components, deal_blocks, hot_safe_left_join, read, sized_join, stash, whole_groups
 
 MIN_COSINE = 0.93
 TABLES, FUNCTIONS, PROBES, SEED = 6, 2, 4, 5
+BITS, MOST_APART = 128, 36
 BLOCK = 1024
+#: Pairs of sketches compared at a time in a task.
+PAIRS_AT_ONCE = 1 << 20
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -117,35 +125,88 @@ def classes(embeddings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.select("vec_id", "key"), stash(found.withColumn("cid", F.monotonically_increasing_id()), "vector_classes")
 
 
+def sketches(unit: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """Signs of BITS random projections of each row, as words of 64 bits."""
+    planes = np.random.default_rng([seed, unit.shape[1], BITS]).standard_normal((unit.shape[1], BITS))
+    return np.packbits(unit @ planes >= 0, axis=1).view(np.uint64)
+
+
+def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Slices of vectors of one length: the slice, its vectors as given, at length one, and their codes."""
+    for b in batches:
+        for at in range(0, len(b), 512):
+            part = b.slice(at, 512)
+            sizes = np.array([len(v) for v in part["embedding"]])
+            for dim in np.unique(sizes):
+                p = part.take(pa.array(np.flatnonzero(sizes == dim)))
+                x = p["embedding"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+                yield p, x, unit(x), hashes(unit(x))
+
+
+def bucketed(rows: DataFrame) -> DataFrame:
+    """Rows (label, dim, table, code, ...) with names of their buckets: those that clash in one hash are told apart by the other."""
+    key = ["label", "dim", "table", "code"]
+    return rows.withColumns({"bucket": F.xxhash64(*key), "bucket2": F.xxhash64(F.lit("b"), *key)}).drop("label", "dim", "code")
+
+
+def promising(found: DataFrame) -> DataFrame:
+    """Classes -> rows (cid, places): a bit for each bucket, table * PROBES + probe, in which a class has a partner by sketch."""
+    words = [f"s{i}" for i in range(BITS // 64)]
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p, _, x, codes in coded(batches):
+            # a probe that is the home again is left out
+            new = np.ones(codes.shape, bool)
+            new[:, :, 1:] = codes[:, :, 1:] != codes[:, :, :1]
+            row, table, probe = np.nonzero(new)
+            take, signs = pa.array(row), sketches(x).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [p["label"].take(take), pa.array(np.full(len(row), x.shape[1])), pa.array(table), pa.array(codes[new]), pa.array((table * PROBES + probe).astype(np.int32)),
+                 p["cid"].take(take)] + [pa.array(signs[row, i]) for i in range(len(words))], ["label", "dim", "table", "code", "place", "cid", *words])
+
+    rows = found.select("label", "cid", "embedding").mapInArrow(
+        spread, "label string, dim long, table long, code long, place int, cid long, " + ", ".join(f"{w} long" for w in words))
+    rows = bucketed(rows).withColumn("home", F.col("place") % PROBES == 0).drop("bucket2", "table")
+
+    def meet_sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g, bounds in whole_groups(batches, ["bucket", "i", "j"]):
+            node, signs = g["cid"].to_numpy(), g[words].to_numpy().view(np.uint64)
+            start, size = (np.repeat(x, np.diff(bounds)) for x in (bounds[:-1], np.diff(bounds)))
+            homes = np.flatnonzero(g["home"].to_numpy() & (size > 1))
+            slices = np.cumsum(size[homes]) // PAIRS_AT_ONCE
+            alive = np.zeros(len(g), bool)
+            for k in np.unique(slices):
+                h = homes[slices == k]
+                n = size[h]
+                a = np.repeat(h, n)
+                b = np.arange(len(a)) + np.repeat(start[h] - (np.cumsum(n) - n), n)
+                apart = np.zeros(len(a), np.uint8)
+                for i in range(len(words)):
+                    apart += np.bitwise_count(signs[a, i] ^ signs[b, i])
+                near = (apart <= MOST_APART) & (node[a] != node[b])
+                alive[a[near]] = alive[b[near]] = True
+            yield pd.DataFrame({"cid": node[alive], "place": g["place"].to_numpy()[alive]})
+
+    met = deal_blocks(rows, "bucket", "cid", BLOCK).mapInPandas(meet_sketches, "cid long, place int")
+    return met.groupBy("cid").agg(F.expr("bit_or(shiftleft(1L, place))").alias("places"))
+
+
 def links(found: DataFrame, least: float = MIN_COSINE) -> DataFrame:
-    """Classes -> rows (cid, root, gained): counts of vectors linked, and edges cid - root of forests."""
+    """Classes with places -> rows (cid, root, gained): counts of vectors linked, and edges cid - root of forests."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["label", "dim", "table", "code", "home", "cid", "n", "vec", "codes"]
-        for b in batches:
-            for at in range(0, len(b), 512):
-                part = b.slice(at, 512)
-                sizes = np.array([len(v) for v in part["embedding"]])
-                for dim in np.unique(sizes):
-                    p = part.take(pa.array(np.flatnonzero(sizes == dim)))
-                    x = p["embedding"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-                    vecs, x = [v.tobytes() for v in x], unit(x)
-                    codes = hashes(x)
-                    # a probe that is the home again is left out
-                    new = np.ones(codes.shape, bool)
-                    new[:, :, 1:] = codes[:, :, 1:] != codes[:, :, :1]
-                    row, table, probe = np.nonzero(new)
-                    take = pa.array(row)
-                    yield pa.RecordBatch.from_arrays([
-                        p["label"].take(take), pa.array(np.full(len(row), dim)), pa.array(table), pa.array(codes[new]), pa.array(probe == 0),
-                        p["cid"].take(take), p["n"].take(take), pa.array(vecs, pa.binary()).take(take), pa.array([c.tobytes() for c in codes], pa.binary()).take(take)], names)
+        for p, vecs, x, codes in coded(batches):
+            told = p["places"].to_numpy()[:, None] >> np.arange(TABLES * PROBES) & 1
+            row, table, probe = np.nonzero(told.reshape(codes.shape))
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays([
+                p["label"].take(take), pa.array(np.full(len(row), x.shape[1])), pa.array(table), pa.array(codes[row, table, probe]), pa.array(probe == 0), p["cid"].take(take),
+                p["n"].take(take), pa.array([v.tobytes() for v in vecs], pa.binary()).take(take), pa.array([c.tobytes() for c in codes], pa.binary()).take(take)], names)
 
     kind = "<f4" if found.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
-    rows = found.select("label", "cid", "n", "embedding").mapInArrow(
-        spread, "label string, dim long, table long, code long, home boolean, cid long, n long, vec binary, codes binary")
-    key = ["label", "dim", "table", "code"]
-    # two hashes: buckets that clash in the one are told apart by the other
-    rows = rows.withColumns({"bucket": F.xxhash64(*key), "bucket2": F.xxhash64(F.lit("b"), *key)}).drop("label", "dim", "code")
+    rows = bucketed(found.select("label", "cid", "n", "embedding", "places").mapInArrow(
+        spread, "label string, dim long, table long, code long, home boolean, cid long, n long, vec binary, codes binary"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g, bounds in whole_groups(batches, ["bucket", "i", "j"]):
@@ -168,16 +229,17 @@ def links(found: DataFrame, least: float = MIN_COSINE) -> DataFrame:
 
 
 def unit(x: np.ndarray) -> np.ndarray:
-    """Rows at length one, in double precision; scaled first, so that no square overflows."""
+    """Rows at length one, in double precision; scaled by a power of two first, which rounds nothing, so that no square overflows."""
     x = x.astype(np.float64)
-    x /= np.abs(x).max(axis=1, keepdims=True)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def near_duplicates(embeddings: DataFrame, least: float = MIN_COSINE) -> DataFrame:
     """embeddings(vec_id, embedding, label) -> vec_id, n_links, component_id, kept."""
     rows, found = classes(embeddings)
-    met = stash(links(found, least), "met")
+    marked = stash(promising(found), "promising")
+    met = stash(links(sized_join(found, marked, "cid", "inner"), least), "met")
     gained = met.groupBy("cid").agg(F.sum("gained").alias("gained"))
     roots = components(met.selectExpr("cid AS a", "root AS b")).withColumnRenamed("node", "cid")
     c = found.select("key", "cid", "n", "first").join(gained, "cid", "left").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))

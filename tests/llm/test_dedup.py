@@ -153,6 +153,30 @@ def test_cross_polytope_recall():
     assert met.mean() >= 0.98
 
 
+@pytest.mark.parametrize("dim", [2, 16, 64, 300])
+def test_sketches_lose_no_pair_at_the_least_cosine(dim):
+    rng = np.random.default_rng(dim)
+    a = embedding_dedup.unit(rng.normal(size=(20_000, dim)))
+    r = rng.normal(size=a.shape)
+    r = embedding_dedup.unit(r - (r * a).sum(1, keepdims=True) * a)
+    b = 0.93 * a + np.sqrt(1 - 0.93**2) * r
+    apart = np.bitwise_count(embedding_dedup.sketches(a) ^ embedding_dedup.sketches(b)).sum(axis=1)
+    assert apart.max() <= embedding_dedup.MOST_APART
+    if dim >= 64:  # and vectors with nothing in common are told apart
+        assert (np.bitwise_count(embedding_dedup.sketches(a) ^ embedding_dedup.sketches(r)).sum(axis=1) <= embedding_dedup.MOST_APART).mean() < 1e-3
+
+
+def test_embeddings_exact_cosine_repeated_ids_and_clashing_columns(spark):
+    """Vectors at a cosine of exactly 0.93, and just below; ids that repeat or are null; columns named as those inside."""
+    at, below = [93.0, 36.0, 7.0, 2.0, 1.0, 1.0], [93.0, 36.0, 7.0, 2.0, 1.0, 1.0001]
+    axis = [1.0, 0.0, 0.0, 0.0, 0.0, 0.0]
+    rows = [(1, 1, axis), (2, 1, at), (3, 2, axis), (4, 2, below), (5, 3, at), (5, 3, at), (None, 4, at), (None, 4, axis), (7, 5, axis), (None, 5, axis)]
+    df = spark.createDataFrame([(*r, "x", "y", 0, 1) for r in rows], "vec_id long, label int, embedding array<double>, key string, cid string, n int, bucket int")
+    got = sorted(((r["vec_id"] or 0, r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.near_duplicates(df).collect()), key=str)
+    want = [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 1, 5, True), (5, 1, 5, True), (0, 1, None, False), (0, 1, None, False), (7, 1, 7, True), (0, 1, 7, False)]
+    assert got == sorted(want, key=str)
+
+
 def _strip(texts: list[bytes], length: int):
     n = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     for t in texts:
