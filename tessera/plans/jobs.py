@@ -83,12 +83,31 @@ def specific_statistics(pairs: DataFrame, control: str = "None") -> DataFrame:
     return found.select("disease", "sequence", "n_antibody", F.length("sequence").alias("length_aa"))
 
 
+def peptide_files(digested: DataFrame) -> DataFrame:
+    """disease, sequence, filename, n_antibody: a row for each peptide and file of a digest.
+
+    An antibody of several files counts in the first of its row, so the numbers of a peptide's files sum up to its
+    antibodies. A hot peptide is as many rows as files have it, so these rows can be bucketed by sequence.
+    """
+    rows = digested.select("disease", "sequence", F.posexplode("filenames").alias("pos", "filename"))
+    return rows.groupBy("disease", "sequence", "filename").agg(F.count_if(F.col("pos") == 0).alias("n_antibody"))
+
+
+def file_statistics(files: DataFrame, control: str = "None") -> DataFrame:
+    """specific_statistics of what peptide_files gave; needs no exchange where the rows are bucketed by sequence."""
+    known = files.filter(F.col("disease").isNotNull())
+    found = known.groupBy("sequence").agg(F.min("disease").alias("disease"), F.max("disease").alias("last"), F.sum("n_antibody").alias("n_antibody"))
+    found = found.filter((F.col("disease") == F.col("last")) & (F.col("disease") != control))
+    return found.select("disease", "sequence", "n_antibody", F.length("sequence").alias("length_aa"))
+
+
 def surviving_rows(stats: DataFrame, files: DataFrame, metadata: DataFrame, catalog: DataFrame, *columns: str) -> DataFrame:
     """A row for each surviving peptide and file: disease, disease_no, sequence, filename, columns of the metadata, and those of stats.
 
-    The statistics are of surviving peptides, so their join keeps what a semi join would.
+    The statistics are of surviving peptides, so their join keeps what a semi join would. These have one disease each, so
+    the sequence alone is the key, and rows bucketed by it need no exchange.
     """
-    rows = files.select("disease", "sequence", "filename").join(stats, ["disease", "sequence"])
+    rows = files.filter(F.col("disease").isNotNull()).select("disease", "sequence", "filename").join(stats.drop("disease"), "sequence")
     rows = rows.join(sets.small(metadata.select("filename", *columns)), "filename", "left")
     return rows.join(sets.small(catalog.select("disease", "disease_no")), "disease")
 
@@ -96,11 +115,14 @@ def surviving_rows(stats: DataFrame, files: DataFrame, metadata: DataFrame, cata
 def peptide_table(stats: DataFrame, files: DataFrame, cdr3: DataFrame, metadata: DataFrame, catalog: DataFrame) -> DataFrame:
     """Served peptide table, a row for each peptide and file, from statistics of the surviving peptides and rows by file.
 
-    Patients are counted and CDR3 peptides marked where a peptide is one row, before the join with its files.
+    Patients are counted and CDR3 peptides marked where a peptide is one row, before the join with its files. Where files
+    are bucketed by sequence, the CDR3 peptides alone have exchanges.
     """
-    keys = ["disease", "sequence"]
-    patients = files.select(*keys, "filename").join(sets.small(metadata.select("filename", "patient")), "filename", "left")
-    stats = sets.flag_members(stats, cdr3, keys, "cdr3").join(sets.distinct_counts(patients, keys, "patient", "n_patient"), keys)
+    known = files.filter(F.col("disease").isNotNull())
+    patients = known.select("sequence", "filename").join(sets.small(metadata.select("filename", "patient")), "filename", "left")
+    marks = cdr3.groupBy("sequence").agg(F.collect_set("disease").alias("__diseases"))  # as many as diseases, at most
+    stats = stats.join(marks, "sequence", "left").withColumn("cdr3", F.coalesce(F.array_contains("__diseases", F.col("disease")), F.lit(False)).cast("int"))
+    stats = stats.drop("__diseases").join(sets.distinct_counts(patients, "sequence", "patient", "n_patient"), "sequence")
     rows = surviving_rows(stats, files, metadata, catalog, "patient", "bsource", "btype", "isotype")
     return rows.select("disease_no", "sequence", "filename", "patient", "bsource", "btype", "isotype", "n_patient", F.col("n_antibody"), "length_aa", "cdr3")
 

@@ -75,14 +75,20 @@ class Build:
     def specific(self) -> DataFrame:
         return jobs.disease_specific(self.pairs, self.pairs.filter("disease = 'None'").select("sequence"))
 
+    @cached_property
+    def files(self) -> DataFrame:
+        """Peptides by file, bucketed by sequence, off which statistics, patients and served rows are read without an exchange."""
+        rows = jobs.peptide_files(jobs.digest(self.stored, self.standard, self.rule))
+        return sinks.write_bucketed(rows, scratch_path(self.source[0], "peptide_files"))
+
     @property
     def served(self) -> DataFrame:
-        return jobs.peptide_table(jobs.specific_statistics(self.pairs), jobs.by_file(self.digested), jobs.cdr3_peptides(self.stored, self.rule), self.meta, self.catalog)
+        return jobs.peptide_table(jobs.file_statistics(self.files), self.files, jobs.cdr3_peptides(self.stored, self.rule), self.meta, self.catalog)
 
     @property
     def isotypes(self) -> DataFrame:
         """Isotypes of surviving peptides, which need no served table."""
-        return jobs.surviving_rows(jobs.specific_statistics(self.pairs), jobs.by_file(self.digested), self.meta, self.catalog, "isotype")
+        return jobs.surviving_rows(jobs.file_statistics(self.files), self.files, self.meta, self.catalog, "isotype")
 
     @property
     def served_antibodies(self) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -27,6 +28,31 @@ def write_served(df: DataFrame, path: str, by: str = "disease_no", lookup: str =
     writer.partitionBy(by).parquet(path)
 
 
+def write_bucketed(df: DataFrame, path: str, by: str = "sequence", buckets: int | None = None) -> DataFrame:
+    """Parquet bucketed and sorted by a column, a file a bucket, as a table: groupings and joins on it need no exchange.
+
+    For rows of which no value of the column holds many, as a bucket is a task; aggregate others first. Without a number
+    of buckets they are as many as shuffles have partitions. The table is external; `open_bucketed` opens its path again.
+    """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.repartition(buckets, by).write.format("parquet").bucketBy(buckets, by).sortBy(by)
+    writer.mode("overwrite").option("path", path).option("compression", "zstd").saveAsTable(bucketed_name(path))
+    return df.sparkSession.table(bucketed_name(path))
+
+
+def bucketed_name(path: str) -> str:
+    return "bucketed_" + hashlib.sha256(path.encode()).hexdigest()[:16]
+
+
+def open_bucketed(spark: SparkSession, path: str, by: str, buckets: int) -> DataFrame:
+    """What write_bucketed wrote, in a session whose catalog does not know it."""
+    name = bucketed_name(path)
+    if not spark.catalog.tableExists(name):
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (`{by}`) SORTED BY (`{by}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)
+
+
 def wrapped(sequence: Column, width: int) -> Column:
     return F.regexp_replace(sequence, f"(.{{{width}}})(?=.)", "$1\n")
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import facets, ranking, sets
 from tessera.plans import jobs
+from tessera.sources import sinks
 
 
 def _rows(df):
@@ -142,6 +143,43 @@ def test_patients_and_isotypes_need_no_window_and_no_copies(spark):
     assert "Expand" not in summary._jdf.queryExecution().executedPlan().toString()
 
 
+def test_bucketed_peptide_files_need_no_exchange(spark, tmp_path):
+    """The served table off rows bucketed by sequence: equal to plain Python, a third of the antibodies hold one peptide; exchanges are the CDR3 side's."""
+    import random
+
+    rng = random.Random(4)
+    digested = [(rng.choice(["Flu", "HIV", "None", None]), f"ab{k}", rng.choice(["AAAK", "HOTK"]) if k % 3 else f"P{rng.randint(1, 40)}K", rng.sample(["f1", "f2", "f3"], rng.randint(1, 3))) for k in range(600)]
+    digested = [(d if s != "HOTK" else "Flu", a, s, f) for d, a, s, f in digested] + [(None, "odd", "HOTK", ["f1"]), ("Flu", "odd2", "P1K", [])]
+    df = spark.createDataFrame(digested, "disease string, antibody_id string, sequence string, filenames array<string>")
+    df = df.filter(F.size("filenames") > 0)
+    meta = spark.createDataFrame([("f1", "P1", "b", "t", "IGHG"), ("f2", "P1", "b", "t", "Bulk"), ("f3", None, "b", "t", "Bulk")], "filename string, patient string, bsource string, btype string, isotype string")
+    catalog = spark.createDataFrame([("Flu", "D1"), ("HIV", "D2")], "disease string, disease_no string")
+    cdr3 = spark.createDataFrame([("Flu", "HOTK"), ("HIV", "HOTK"), ("HIV", "P2K"), (None, "P3K")], "disease string, sequence string")
+    path = str(tmp_path / "files")
+    files = sinks.write_bucketed(jobs.peptide_files(df), path, buckets=3)
+    stats = jobs.file_statistics(files)
+    assert _rows(stats) == _rows(jobs.specific_statistics(df))
+    table = jobs.peptide_table(stats, files, cdr3, meta, catalog)
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 1, plan  # of the CDR3 peptides
+    patient, want = {"f1": "P1", "f2": "P1", "f3": None}, set()
+    for s in {r[2] for r in digested}:
+        rows = [r for r in digested if r[2] == s and r[0] is not None and r[3]]
+        if len({r[0] for r in rows}) == 1 and rows[0][0] != "None":
+            d, held = rows[0][0], {f for r in rows for f in r[3]}
+            mark = int((d, s) in {("Flu", "HOTK"), ("HIV", "HOTK"), ("HIV", "P2K")})
+            want |= {({"Flu": "D1", "HIV": "D2"}[d], s, f, len({patient[x] for x in held}), len(rows), len(s), mark) for f in held}
+    got = table.select("disease_no", "sequence", "filename", "n_patient", "n_antibody", "length_aa", "cdr3").collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want) and any(r[1] == "HOTK" for r in want)
+    # a session that does not know the table opens its path again; a rewrite replaces it
+    spark.sql(f"DROP TABLE {sinks.bucketed_name(path)}")
+    again = sinks.open_bucketed(spark, path, "sequence", 3)
+    assert _rows(again) == _rows(jobs.peptide_files(df))
+    assert "Exchange" not in again.groupBy("sequence").count()._jdf.queryExecution().executedPlan().toString()
+    assert sinks.write_bucketed(jobs.peptide_files(df.limit(0)), path, buckets=3).count() == 0
+    spark.sql(f"DROP TABLE {sinks.bucketed_name(path)}")
+
+
 def test_isotypes_of_odd_rows(spark):
     rows = [("D1", "A", "IGHG"), ("D1", "A", "IGHG"), ("D1", "B", None), ("D1", None, "IGHA"), ("D2", "A", "odd"), (None, "C", "Bulk")]
     got = {r["disease_no"]: r.asDict() for r in facets.isotype_table(spark.createDataFrame(rows, "disease_no string, sequence string, isotype string")).collect()}
