@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from tessera.functions.sequence import peptides
 from tessera.operators import sets
 from tessera.plans import jobs
+from tessera.sources.scratch import COMPACT
 
 #: How two values of a key become one; either may be null.
 MERGE = {
@@ -79,7 +80,7 @@ class KeyedRuns:
         self.drop(run)
         rows = rows if dealt else rows.repartition(self.buckets, *self.keys)
         writer = rows.select(*self.keys, *self.values).write.bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
-        writer.format("parquet").option("path", self.place(run)).saveAsTable(f"{self.name}_{run[0]}_{run[1]}")
+        writer.format("parquet").options(**COMPACT).option("path", self.place(run)).saveAsTable(f"{self.name}_{run[0]}_{run[1]}")
 
     def drop(self, run: tuple[int, int]) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}_{run[0]}_{run[1]}")
@@ -138,11 +139,14 @@ class ExclusivePeptides:
         """
         changes, run = f"{self.path}/changes/batch={number}", (number, number)
         if not self.peptides.exists(f"{changes}/_SUCCESS"):
-            rows = jobs.antibody_ids(antibodies.filter(F.col("disease").isNotNull()))
-            self.antibodies.write(rows, run)
-            new = self.antibodies.lacking(rows, self.antibodies.runs(number))
+            rows = jobs.with_antibody_id(antibodies.filter(F.col("disease").isNotNull()))
+            self.antibodies.write(rows.select("disease", "antibody_id").distinct(), run)
+            # sequences and peptides are dealt as their runs are, once each
+            dealt = rows.repartition(self.antibodies.buckets, "disease", "antibody_id").dropDuplicates(["disease", "antibody_id"])
+            new = self.antibodies.lacking(dealt, self.antibodies.runs(number))
             found = sets.subtract(peptides(new, "sequence_alignment_aa", ["disease"], rule, 1, 3), standard)
-            self.peptides.write(found.groupBy("sequence").agg(F.min("disease").alias("first"), F.max("disease").alias("last"), F.count("*").alias("n_antibody")), run)
+            found = found.repartition(self.peptides.buckets, "sequence").groupBy("sequence")
+            self.peptides.write(found.agg(F.min("disease").alias("first"), F.max("disease").alias("last"), F.count("*").alias("n_antibody")), run, dealt=True)
             delta = self.peptides.table(run)
             was = self.peptides.lookup(delta, self.peptides.runs(number)).withColumnsRenamed({"first": "was_first", "last": "was_last"})
             met = was.drop("n_antibody").join(delta.hint("merge"), "sequence")
@@ -150,7 +154,7 @@ class ExclusivePeptides:
             after = self._exclusive(F.least("first", "was_first"), F.greatest("last", "was_last"))
             change = F.when(after & ~before, "gained").when(before & ~after, "revoked")
             met = met.select(F.coalesce("was_first", "first").alias("disease"), "sequence", change.alias("change")).filter("change IS NOT NULL")
-            met.write.mode("overwrite").parquet(changes)
+            met.write.mode("overwrite").options(**COMPACT).parquet(changes)
         for runs in (self.antibodies, self.peptides):
             runs.compact()
 

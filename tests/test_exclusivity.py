@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans import jobs
+from tessera.streaming import exclusivity
 from tessera.streaming.exclusivity import ExclusivePeptides, KeyedRuns, follow
 
 
@@ -102,3 +103,15 @@ def test_empty_state(spark, tmp_path, standard):
     assert state.served().count() == 0
     state.absorb(0, spark.createDataFrame([(None, "AAAK"), ("Flu", ""), ("Flu", None)], "disease string, sequence_alignment_aa string"), standard, "simple")
     assert state.served().count() == 0 and state.changes(0).filter(F.col("change").isNotNull()).count() == 0
+
+
+def test_a_batch_deals_sequences_and_peptides_once(spark, tmp_path, monkeypatch):
+    """Peptides of a run have the exchange to their buckets alone, not a second one to be summed."""
+    plans, write = [], exclusivity.KeyedRuns.write
+    monkeypatch.setattr(exclusivity.KeyedRuns, "write", lambda self, rows, run, dealt=False: (plans.append((self.keys, dealt, rows._jdf.queryExecution().executedPlan().toString())), write(self, rows, run, dealt)))
+    state = exclusivity.ExclusivePeptides(spark, str(tmp_path / "dealt"), buckets=2)
+    standard = spark.createDataFrame([("STDK",)], "sequence string")
+    state.absorb(0, spark.createDataFrame([("Flu", "AAAAKCCCCK"), ("Flu", "AAAAKCCCCK"), ("HIV", "CCCCKDDDDK")], "disease string, sequence_alignment_aa string"), standard, "simple")
+    (plan,) = [p for keys, dealt, p in plans if keys == ["sequence"] and dealt]
+    assert plan.count("Exchange hashpartitioning(sequence") == 2  # the other is of the proteome
+    assert {(r["disease"], r["sequence"], r["n_antibody"]) for r in state.served().collect()} == {("Flu", "AAAAK", 1), ("Flu", "AAAAKCCCCK", 1), ("HIV", "DDDDK", 1), ("HIV", "CCCCKDDDDK", 1)}
