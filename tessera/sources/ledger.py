@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators import sets
+
 MARK = "__done"
 
 
@@ -56,7 +58,8 @@ class Ledger:
         rows, finished = work(units)
         finished = finished.select(self.key).distinct()
         marks = finished.withColumn(MARK, F.lit(True))
-        kept = rows.join(finished, self.key, "left_semi").withColumn(MARK, F.lit(False))
+        # few units are broadcast; dealt by unit, all rows of one would be a task's
+        kept = rows.join(sets.small(finished), self.key, "left_semi").withColumn(MARK, F.lit(False))
         kept.unionByName(marks, allowMissingColumns=True).write.parquet(f"{self.path}/{uuid.uuid4().hex}")
 
     def run(self, listing: DataFrame, work: Callable[[DataFrame], tuple[DataFrame, DataFrame]], passes: int = 2) -> DataFrame:

@@ -57,3 +57,18 @@ def test_cells_answer_what_rows_do(spark):
         assert sorted(map(tuple, f(cells).collect())) == sorted(map(tuple, f(served).collect()))
     assert facets.cells_card(cells).first().asDict() == facets.summary_card(served).drop("n_sequences").first().asDict()
     assert facets.cells_card(cells.limit(0)).first()["n_rows"] == 0
+
+
+def test_rows_of_one_unit_are_not_one_task(spark, tmp_path):
+    """A join that deals by unit would bring all rows of a unit to one task, and so to one file."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ledger = Ledger(spark, str(tmp_path / "one"), "filename string, x long")
+        rows = spark.range(0, 4000, 1, 4).selectExpr("'f' AS filename", "id AS x")
+        units = spark.createDataFrame([("f",)], "filename string")
+        assert ledger.run(units, lambda left: (rows, left)).isEmpty()
+        got = ledger.rows()
+        assert got.count() == 4000 and got.selectExpr("input_file_name() AS f").distinct().count() == 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
