@@ -218,3 +218,54 @@ def test_large_reference_shuffles_what_may_match(spark, monkeypatch):
 def test_small_counts_bytes(spark):
     wide = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("s"))
     assert sets.is_small(wide) and not sets.is_small(wide, max_bytes=50_000) and not sets.is_small(wide, max_rows=99)
+
+
+def _digest(spark, seed=5):
+    import random
+
+    rng = random.Random(seed)
+    rows = [(rng.choice(["Flu", "HIV", "None", None]), f"ab{k}", rng.choice(["AAAK", "HOTK"]) if k % 3 == 0 else f"P{rng.randint(1, 60)}K", rng.sample(["f1", "f2", "f3", "f4"], rng.randint(1, 4))) for k in range(300)]
+    rows = [("Flu" if s == "HOTK" else d, "ab_" + f"{k:064x}", s, f) for k, (d, _, s, f) in enumerate(rows)] + [("Flu", "ab_" + "f" * 64, "HOTK", ["f1"])]
+    return spark.createDataFrame(rows, "disease string, antibody_id string, sequence string, filenames array<string>")
+
+
+def test_specific_table_has_one_exchange_of_rows(spark):
+    """Equal to the table off peptides by file; a build's rows are dealt once, by sequence, besides the CDR3 peptides."""
+    df = _digest(spark)
+    meta = spark.createDataFrame([("f1", "P1", "b", "t", "IGHG"), ("f2", "P1", "b", "t", "Bulk"), ("f3", None, "b", "t", "Bulk")], "filename string, patient string, bsource string, btype string, isotype string")
+    catalog = spark.createDataFrame([("Flu", "D1"), ("HIV", "D2")], "disease string, disease_no string")
+    cdr3 = spark.createDataFrame([("Flu", "HOTK"), ("HIV", "HOTK"), ("HIV", "P2K"), (None, "P3K")], "disease string, sequence string")
+    files = jobs.peptide_files(df)
+    want, got = jobs.peptide_table(jobs.file_statistics(files), files, cdr3, meta, catalog), jobs.specific_table(df, cdr3, meta, catalog)
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2
+    assert got.columns == want.columns and _rows(got) == _rows(want) and got.count() > 0
+    assert got.filter("sequence = 'HOTK' AND n_patient = 2").count() == 4  # P1 and none, of four files
+
+
+def test_specific_pairs_and_stages_in_one_pass(spark):
+    pairs = _digest(spark).select("disease", "antibody_id", "sequence")
+    got = jobs.specific_pairs(pairs)
+    want = jobs.disease_specific(pairs, pairs.filter("disease = 'None'").select("sequence"))
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert _rows(got) == _rows(want.select(*got.columns)) and got.count() > 0
+    known = pairs.filter("disease <> 'None'")
+    stages = facets.stage_counts(digested=known, exclusive=sets.exclusive(known, "disease"), specific=want)
+    assert jobs.specific_counts(pairs)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert _rows(jobs.specific_counts(pairs)) == _rows(stages)
+    assert [r["n_rows"] for r in jobs.specific_counts(pairs.limit(0)).collect()] == [0, 0, 0]
+
+
+def test_coverage_looks_further_where_frequent_peptides_miss(spark, monkeypatch):
+    import random
+
+    rng = random.Random(3)
+    rows = list({(f"P{int(rng.paretovariate(0.5)) % 300}", str(rng.randint(1, 80))) for _ in range(500)}) + [("RARE", "alone"), (None, "none")]
+    pairs = spark.createDataFrame(rows, "sequence string, antibody_id string")
+    want = {r["n_peptides"]: r["n_antibodies"] for r in ranking.coverage(pairs, [1, 5, 20, 50, 100_000]).collect()}
+    rank = {}
+    for s, _ in rows:
+        rank[s] = rank.get(s, 0) - 1
+    order = {s: k for k, s in enumerate(sorted((s for s in rank if s), key=lambda s: (rank[s], s)))}
+    assert want == {n: len({a for s, a in rows if s and order[s] < n}) for n in want}
+    monkeypatch.setattr(ranking, "NEAR_ROWS", 5)
+    assert {r["n_peptides"]: r["n_antibodies"] for r in ranking.coverage(pairs, [1, 5, 20, 50, 100_000]).collect()} == want
