@@ -5,7 +5,7 @@ first n - ceil(0.8 n) + 1 of the one and the like of the other share a member (p
 frequent shingles, which are counted first, come last: a passage that many documents share is in the prefix of hardly
 any. Sizes differ by at most a quarter, and the bits that differ in the two parity bitmaps are at most the shingles that
 only one of them has; a bitmap has a bit for each shingle or more, and is folded in halves to compare it with a shorter
-one. What passes links candidates; in each component of candidates all pairs are compared on their whole sets.
+one. What passes links candidates, as do the fingerprints that simhash.py finds near, where it is given; in each component of candidates all pairs are compared on their whole sets.
 
 Equal sets are one class before comparing. Of the shingles that hold the same classes one is looked at. A hot shingle,
 and a large component of candidates, is cut into blocks; groups give edges of a spanning forest, never all pairs.
@@ -16,7 +16,7 @@ null, empty and blank texts are one class. Only doc_id and text are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -114,8 +114,8 @@ def frequent(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return h[order], np.log2(np.maximum(n[order], 1)).astype(np.int64)
 
 
-def sketches(documents: DataFrame) -> DataFrame:
-    """documents -> doc_id, rid, set (hash of the set), n, bits (parity bitmap), prefix (of one document of a set in a slice)."""
+def sketches(documents: DataFrame, fingerprint: Callable[[bytes], int] | None = None) -> DataFrame:
+    """documents -> doc_id, rid, set (hash of the set), n, bits (parity bitmap), prefix and fp (of one document of a set in a slice)."""
     often = documents.sparkSession.sparkContext.broadcast(frequent(documents))  # 3 MB at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,21 +128,22 @@ def sketches(documents: DataFrame) -> DataFrame:
             at = np.searchsorted(late, flat)
             at[at == len(late)] = 0
             rank = np.where(late[at] == flat, how[at], 0) if len(late) else np.zeros(len(flat), np.int64)
-            names, bits, prefixes, met = [], [], [], set()
-            for s, r in zip(sets, np.split(rank, np.cumsum(count)[:-1])):
+            names, bits, prefixes, fps, met = [], [], [], [], set()
+            for s, r, text in zip(sets, np.split(rank, np.cumsum(count)[:-1]), texts):
                 names.append(int.from_bytes(xxhash.xxh64_digest(s.tobytes(), SEED), "big", signed=True))
                 size = max(LEAST_BITS, 1 << (len(s) - 1).bit_length())
                 bits.append(np.packbits((np.bincount(s & (size - 1), minlength=size) & 1).astype(bool)).tobytes())
                 first = s if not r.any() else s[np.argsort(r, kind="stable")]
                 prefixes.append(first[: 0 if names[-1] in met else len(s) - -(-PART * len(s) // OF) + 1])
+                fps.append(None if fingerprint is None or names[-1] in met else fingerprint(text))
                 met.add(names[-1])
             cut = np.cumsum([0] + [len(p) for p in prefixes])
             prefix = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(np.concatenate(prefixes)))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["rid"], pa.array(names, pa.int64()), pa.array(count, pa.int32()), pa.array(bits, pa.binary()), prefix],
-                                             ["doc_id", "rid", "set", "n", "bits", "prefix"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["rid"], pa.array(names, pa.int64()), pa.array(count, pa.int32()), pa.array(bits, pa.binary()), prefix, pa.array(fps, pa.int64())],
+                                             ["doc_id", "rid", "set", "n", "bits", "prefix", "fp"])
 
     rows = documents.select(F.col("doc_id").cast("long"), row_name().alias("rid"), F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, rid struct<a:long,b:long>, set long, n int, bits binary, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, rid struct<a:long,b:long>, set long, n int, bits binary, prefix array<long>, fp long")
 
 
 def forest(a: np.ndarray, b: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
@@ -239,9 +240,23 @@ def candidates(docs: DataFrame) -> DataFrame:
     return compared(deal_blocks(rows, "shingle", "set", BLOCK), "shingle", link)
 
 
-def links(documents: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """a, b: spanning links of the graph of the sets of similarity PART / OF or more."""
-    roots = stash(components(candidates(docs)).withColumnRenamed("node", "set"), "candidates")
+def fingerprint_candidates(docs: DataFrame, near_fingerprints: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Sketches -> a, b: links of the sets whose fingerprints are equal or near."""
+    marks = docs.filter("fp IS NOT NULL").select("set", "fp")
+    first = stash(marks.groupBy("fp").agg(F.min("set").alias("first")), "fingerprints")
+    equal = sized_join(marks, first, "fp", "inner").filter("set <> first").select(F.col("set").alias("a"), F.col("first").alias("b"))
+    found = near_fingerprints(first.select("fp"))
+    for end in ("a", "b"):
+        found = sized_join(found, first.select(F.col("fp").alias(end), F.col("first").alias(f"set_{end}")), end, "inner")
+    return equal.unionByName(found.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")))
+
+
+def links(documents: DataFrame, docs: DataFrame, classes: DataFrame, near_fingerprints: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """a, b: spanning links of the graph of the sets of similarity PART / OF or more, among the candidates of both kinds."""
+    proposed = candidates(docs)
+    if near_fingerprints is not None:
+        proposed = fingerprint_candidates(docs, near_fingerprints).unionByName(proposed)
+    roots = stash(components(proposed).withColumnRenamed("node", "set"), "candidates")
     members = stash(sized_join(classes.select("set", "rid"), roots, "set", "inner"), "members", (roots,))
     named = documents.select(row_name().alias("rid"), F.col("text").cast("binary").alias("text"))
     named = Bitmap(members, F.col("rid.a")).split(named, "rid.a")
@@ -262,11 +277,13 @@ def links(documents: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     return compared(deal_blocks(rows, "root", "set", BLOCK), "root", link)
 
 
-def near_copy_groups(documents: DataFrame) -> DataFrame:
+def near_copy_groups(
+    documents: DataFrame, fingerprint: Callable[[bytes], int] | None = None, near_fingerprints: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """documents -> doc_id, rid, component_id (least doc_id), root (a name of the component, unlike its id never shared)."""
-    docs = stash(sketches(documents), "sketches")
+    docs = stash(sketches(documents, fingerprint), "sketches")
     classes = stash(docs.groupBy("set").agg(F.min("doc_id").alias("first"), F.min("rid").alias("rid")), "classes")
-    roots = components(links(documents, docs, classes)).withColumnRenamed("node", "set")
+    roots = components(links(documents, docs, classes, near_fingerprints)).withColumnRenamed("node", "set")
     joined = sized_join(classes.select("set", "first"), roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
     least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stash(joined.join(least, "root").select("set", "component_id", "root"), "named", (classes,))

@@ -139,10 +139,10 @@ def simhash_groups(documents: DataFrame) -> DataFrame:
 def drop_near_duplicates(documents: DataFrame) -> DataFrame:
     """One document of each component of near copies, that of the smallest doc_id, with all its columns.
 
-    The components are those of five-word Jaccard similarity (near_copies.py), not of op8's fingerprints. Of rows alike in
-    doc_id and text one stays. Texts of which none is dropped, as a bitmap of the dropped ones tells, are not shuffled.
+    SimHash's links propose near copies, a prefix filter (near_copies.py) those that 64 bits miss, and an exact five-word
+    Jaccard similarity decides on both. Of rows alike in doc_id and text one stays. Texts of which none is dropped, as a bitmap of the dropped ones tells, are not shuffled.
     """
-    found = near_copy_groups(documents)
+    found = near_copy_groups(documents, fingerprint, links)
     groups = stash(found, "near_copies", found.made_from)
     first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min("rid").alias("rid"))
     size = groups.groupBy("rid").agg(F.count("*").alias("n"))

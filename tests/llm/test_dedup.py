@@ -211,3 +211,24 @@ def test_index_family_levels(spark):
     family = suffix_dedup.IndexFamily(spark)
     met = [sorted(r["key"] for r in family.add(spark.createDataFrame([(k,) for k in keys], "key long")).collect()) for keys in ([1, 1, 2], [2, 3], [3, 9], [9, 1, 7])]
     assert met == [[1], [2], [3], [1, 9]] and list(family.levels) == [2]
+
+
+def test_near_duplicates_are_proposed_by_fingerprints(spark, monkeypatch):
+    """Without the prefix filter near copies at 3 bits still go, as SimHash proposes them."""
+    import random
+
+    from tessera.llm import near_copies, simhash
+
+    rng = random.Random(8)
+    texts = []
+    while len(texts) < 8:
+        words = [f"w{rng.randint(0, 500)}" for _ in range(400)]
+        other = words[:200] + ["changed"] + words[201:]
+        pair = [" ".join(words), " ".join(other)]
+        a, b = (simhash.fingerprint(t.encode()) for t in pair)
+        if bin((a ^ b) & (1 << 64) - 1).count("1") <= simhash.MAX_DIFF:
+            texts += pair
+    texts += ["only two", "two only"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(near_copies, "candidates", lambda docs: docs.sparkSession.createDataFrame([], "a long, b long"))
+    assert {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()} == {0, 2, 4, 6, 8, 9}
