@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, row_name, sized_join, stash
+from tessera.llm.common import is_small, read, row_name, sized_join, stash
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
@@ -55,14 +55,16 @@ def thresholds(rows: DataFrame, budgets: DataFrame) -> DataFrame:
     h is a 60-bit hash. Each level sums tokens in 2**BITS buckets of the boundary bucket alone.
     """
     edge = budgets.select("sid", "budget", F.lit(0).cast("long").alias("low"), F.lit(0).cast("long").alias("used"))
+    few = is_small(edge)  # of each level's, which has the same sources
     for level in range(LEVELS):
         shift = BITS * (LEVELS - 1 - level)
-        here = sized_join(rows, edge.drop("n"), "sid", "inner")
+        side = F.broadcast(edge.drop("n")) if few else edge.drop("n").hint("merge")
+        here = rows.join(side, "sid")
         if level:
             here = here.filter(F.shiftright("h", shift + BITS) == F.shiftright("low", shift + BITS))
         bucket = F.shiftright("h", shift)
         sums = here.groupBy("sid", bucket.alias("b")).agg(F.sum("size").alias("t"), F.count("*").alias("n"))
-        sums = sized_join(sums, edge.drop("n"), "sid", "inner")
+        sums = sums.join(side, "sid")
         w = Window.partitionBy("sid").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
         run = sums.withColumn("upto", F.col("used") + F.sum("t").over(w))
         over = run.filter(F.col("upto") > F.col("budget"))

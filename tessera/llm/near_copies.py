@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Bitmap, components, deal_blocks, give_back, hot_safe_left_join, row_name, sized_join, stash, unstash, whole_groups
+from tessera.llm.common import Bitmap, components, deal_blocks, give_back, hot_safe_left_join, is_small, row_name, sized_join, stash, unstash, whole_groups
 
 #: Least similarity, as a fraction.
 SHINGLE_WORDS, SEED, PART, OF = 5, 42, 4, 5
@@ -244,10 +244,12 @@ def fingerprint_candidates(docs: DataFrame, near_fingerprints: Callable[[DataFra
     """Sketches -> a, b: links of the sets whose fingerprints are equal or near."""
     marks = docs.filter("fp IS NOT NULL").select("set", "fp")
     first = stash(marks.groupBy("fp").agg(F.min("set").alias("first")), "fingerprints")
-    equal = sized_join(marks, first, "fp", "inner").filter("set <> first").select(F.col("set").alias("a"), F.col("first").alias("b"))
+    few = is_small(first)
+    side = lambda x: F.broadcast(x) if few else x.hint("merge")  # noqa: E731  x: first, its columns renamed
+    equal = marks.join(side(first), "fp").filter("set <> first").select(F.col("set").alias("a"), F.col("first").alias("b"))
     found = near_fingerprints(first.select("fp"))
     for end in ("a", "b"):
-        found = sized_join(found, first.select(F.col("fp").alias(end), F.col("first").alias(f"set_{end}")), end, "inner")
+        found = found.join(side(first.select(F.col("fp").alias(end), F.col("first").alias(f"set_{end}"))), end)
     return equal.unionByName(found.select(F.col("set_a").alias("a"), F.col("set_b").alias("b")))
 
 

@@ -90,17 +90,16 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
     ids: dict[bytes, int] = {}
     docs = [np.array([ids.setdefault(w, len(ids)) for w in words_of(t)] or [ids.setdefault(b"", len(ids))], np.int32) for t in texts]
     words = list(ids)
-    parts = [word_grams(words[at : at + BLOCK_WORDS]) for at in range(0, len(words), BLOCK_WORDS)]
-    bucket, count = (np.concatenate(x).astype(np.int32) for x in zip(*parts))
-    del ids, words, parts
+    parts = [tuple(x.astype(np.int32) for x in word_grams(words[at : at + BLOCK_WORDS])) for at in range(0, len(words), BLOCK_WORDS)]
+    del ids, words
     size = np.array([len(d) for d in docs])
     tokens = np.concatenate(docs)
     start = np.cumsum(size) - size
     blocks = np.searchsorted(np.cumsum(size), np.arange(BLOCK_TOKENS, len(tokens) + BLOCK_TOKENS, BLOCK_TOKENS))
     blocks = np.unique(np.concatenate([[0], np.minimum(blocks + 1, len(docs))]))
     del docs
-    word_at = np.cumsum(count) - count
-    filled = count > 0
+    count = np.concatenate([n for _, n in parts])
+    upto = np.cumsum([0] + [len(n) for _, n in parts])
     rng = np.random.default_rng(SEED)
     vec = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
     out, bias = rng.normal(0, 0.1, DIM).astype(np.float32), 0.0
@@ -112,12 +111,17 @@ def train(texts: list[bytes], labels: np.ndarray) -> tuple[np.ndarray, float]:
         sharp = 0.2 + 6 * epoch / EPOCHS
         score = vec @ out
         of_word = np.zeros(len(count))
-        of_word[filled] = np.add.reduceat(score[bucket], word_at[filled]) if filled.any() else 0
+        for at, (bucket, n) in zip(upto, parts):
+            if (n > 0).any():
+                of_word[at : at + len(n)][n > 0] = np.add.reduceat(score[bucket], (np.cumsum(n) - n)[n > 0])
         per_word, gb = np.zeros(len(count)), 0.0
         for i, j in zip(blocks[:-1], blocks[1:]):
             part = tokens[start[i] : start[i] + size[i:j].sum()]
             gb += add_gradient(per_word, part, size[i:j], labels[i:j], weight[i:j], of_word, count, sharp, bias)
-        delta = np.bincount(bucket, np.repeat(per_word, count), BUCKETS).astype(np.float32)
+        delta = np.zeros(BUCKETS)
+        for at, (bucket, n) in zip(upto, parts):
+            np.add.at(delta, bucket, np.repeat(per_word[at : at + len(n)], n))
+        delta = delta.astype(np.float32)
         gv, go = np.outer(delta, out) + DECAY / len(labels) * vec, delta @ vec
         g2v, g2o, g2b = g2v + gv * gv, g2o + go * go, g2b + gb * gb
         vec -= RATE * gv / np.sqrt(g2v)
@@ -207,6 +211,7 @@ def toxicity_scorer(documents: DataFrame, labels: DataFrame):
         share = float(y.mean()) if len(y) else 0.0
         weights, bias = np.zeros(BUCKETS), float(np.log(max(share, 1e-9) / max(1 - share, 1e-9)))
     del texts
+    give_back()
     model = documents.sparkSession.sparkContext.broadcast((weights, bias))  # BUCKETS doubles: 512 kB
 
     @F.pandas_udf("double")

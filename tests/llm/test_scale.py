@@ -87,3 +87,34 @@ def test_reading_counts_leaves_ids_alone(spark, tmp_path):
     path = tokens.token_files(docs)[1]
     plan = spark.read.parquet(path).select("doc_id", "n_tokens").filter("doc_id = 7")._jdf.queryExecution().executedPlan().toString()
     assert "ids" not in plan.split("ReadSchema")[1] and "EqualTo(doc_id,7)" in plan
+
+
+def test_training_holds_the_grams_of_few_words_at_a_time(monkeypatch):
+    """Besides the vectors, training holds four bytes for each n-gram of the vocabulary and what a block of words needs."""
+    import tracemalloc
+
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklm") for _ in range(16)) for _ in range(40_000)]
+    texts = [" ".join(words[at : at + 100]).encode() for at in range(0, len(words), 100)]
+    grams = toxicity.word_grams([w.encode() for w in words])[1].sum()
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    monkeypatch.setattr(toxicity, "BLOCK_WORDS", 1000)
+    tracemalloc.start()
+    toxicity.train(texts, toxicity.np.arange(len(texts)) % 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6 * 4 * toxicity.BUCKETS * toxicity.DIM + 8 * grams
+
+
+def test_thresholds_count_their_small_side_once(spark, monkeypatch):
+    from tessera.llm import common
+
+    counted, is_small = [], common.is_small
+    for module in (common, mixing):
+        monkeypatch.setattr(module, "is_small", lambda *a: counted.append(1) or is_small(*a), raising=False)
+    rows = spark.range(300).selectExpr("id % 2 AS sid", "shiftrightunsigned(xxhash64(id), 4) AS h", "cast(1 AS bigint) AS size")
+    budgets = spark.createDataFrame([(0, 70.0), (1, 500.0)], "sid long, budget double")
+    found = {r["sid"]: r for r in mixing.thresholds(rows, budgets).collect()}
+    assert found[0]["used"] == 70 and rows.filter("sid = 0").filter(F.col("h") < found[0]["cut"]).count() == 70
+    assert found[1]["used"] is None and found[1]["cut"] == 1 << 60
+    assert len(counted) == 1
