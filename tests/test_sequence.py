@@ -78,3 +78,23 @@ def test_peptides_by_mass(spark, kind, missed):
     assert len(found) == len(set(found)) and set(found) == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("split(") == 1 and "Filter" not in plan
+
+
+def test_masses_of_an_antibody_are_summed_exactly(spark, tmp_path):
+    """Sums that end in half a hundredth go up, in whatever order doubles would have been added."""
+    from tessera.plans import registry
+
+    texts = ["IQALHKESLCR", "QVLKFCSYKIQTNK", "NGFTKYMYVVRYEIHCK", "AAQKVFCNK"]
+    rows = [(k, x, "en", "src1") for k, x in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.o76_o78_missed_by_mass(spark, str(tmp_path))
+    units = {r: round(m * 100_000) for r, m in S.RESIDUE_MASS.items()}
+    want = []
+    for k, x in enumerate(texts):
+        parts = re.split(r"(?<=[KR])(?=[^P])", x)
+        weights = [1_801_056 + sum(units[c] for c in p) for p in dict.fromkeys(parts + [a + b for a, b in zip(parts, parts[1:])])]
+        inside = [w for w in weights if 40_000_000 <= w <= 600_000_000]
+        assert sum(inside) % 1000 == 500
+        want.append((k, len(inside), sum(inside) // 1000 + 1))
+    assert sorted(map(tuple, got.collect())) == want
+    assert dict(got.dtypes) == {"antibody_no": "bigint", "n_peptides": "bigint", "mass_1e2": "bigint"}
